@@ -1,4 +1,4 @@
-"""Event times as epoch milliseconds."""
+"""Columns by name, and event times as epoch milliseconds."""
 
 from __future__ import annotations
 
@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 UNIT_MS = {"minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
 
 
+def column(name: str) -> Column:
+    """A top-level column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def event_time_ms(df: DataFrame, name: str) -> Column:
     """Milliseconds since the epoch from a timestamp column; a bigint column already holds them.
 
@@ -16,11 +21,11 @@ def event_time_ms(df: DataFrame, name: str) -> Column:
     """
     kind = df.schema[name].dataType
     if isinstance(kind, T.LongType):
-        return F.col(name)
+        return column(name)
     if isinstance(kind, T.TimestampType):
-        return F.unix_millis(F.col(name))
+        return F.unix_millis(column(name))
     if isinstance(kind, T.TimestampNTZType):
-        return F.unix_millis(F.col(name).cast("timestamp"))
+        return F.unix_millis(column(name).cast("timestamp"))
     raise ValueError(f"time column '{name}' has type {kind.simpleString()}; need timestamp or bigint")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsetrail.config import ReplayConfig
 from pulsetrail.functions.encoders import Encoder, choose_encoder
-from pulsetrail.functions.times import event_time_ms
+from pulsetrail.functions.columns import column, event_time_ms
 from pulsetrail.operators.roles import Roles, resolve_roles, value_columns
 
 NULL_KEY = "null_key"
@@ -20,12 +20,18 @@ def envelope(df: DataFrame, config: ReplayConfig, encoder: Encoder | None = None
     Key, value and time come from the same row in a single projection, so nothing is joined or
     shuffled and a value can not end up under another row's key.
     """
+    return df.select(*message_columns(df, config, encoder))
+
+
+def message_columns(df: DataFrame, config: ReplayConfig, encoder: Encoder | None = None) -> list[Column]:
+    """The columns of ``envelope``, to be selected from ``df`` or from ``df`` with more columns."""
     config.validate()
     roles = resolve_roles(df, config)
-    columns = [_key(roles, config).alias("key"), _value(df, roles, config, encoder).alias("value")]
+    value = _value(df, value_columns(df, roles, config), config, encoder)
+    columns = [_key(roles, config).alias("key"), value.alias("value")]
     if roles.time:
         columns.append(event_time_ms(df, roles.time).alias("event_time_ms"))
-    return df.select(*columns)
+    return columns
 
 
 def split_rejects(df: DataFrame, config: ReplayConfig) -> tuple[DataFrame, DataFrame]:
@@ -33,23 +39,22 @@ def split_rejects(df: DataFrame, config: ReplayConfig) -> tuple[DataFrame, DataF
     roles = resolve_roles(df, config)
     reason = F.lit(None).cast("string")
     if roles.time:
-        reason = F.when(F.col(roles.time).isNull(), NULL_EVENT_TIME)
+        reason = F.when(column(roles.time).isNull(), NULL_EVENT_TIME)
     if config.key_literal is None:
-        reason = F.when(F.col(roles.key).isNull(), NULL_KEY).otherwise(reason)
+        reason = F.when(column(roles.key).isNull(), NULL_KEY).otherwise(reason)
     marked = df.withColumn("reason", reason)
     return marked.filter("reason IS NULL").drop("reason"), marked.filter("reason IS NOT NULL")
 
 
 def _key(roles: Roles, config: ReplayConfig) -> Column:
-    source = F.col(roles.key) if config.key_literal is None else F.lit(config.key_literal)
+    source = column(roles.key) if config.key_literal is None else F.lit(config.key_literal)
     if config.key_format.lower() == "string":
         return source.cast("string")
     encode = choose_encoder(config.key_format, schema=config.key_schema, descriptor=config.key_descriptor)
     return encode([source.alias(roles.key)])
 
 
-def _value(df: DataFrame, roles: Roles, config: ReplayConfig, encoder: Encoder | None) -> Column:
-    names = value_columns(df, roles, config)
+def _value(df: DataFrame, names: list[str], config: ReplayConfig, encoder: Encoder | None) -> Column:
     if encoder is None:
         if config.value_format.lower() == "binary" and config.payload_column not in df.columns:
             raise ValueError(
@@ -64,4 +69,4 @@ def _value(df: DataFrame, roles: Roles, config: ReplayConfig, encoder: Encoder |
         )
     if not names:
         raise ValueError("no column is left for the value")
-    return encoder([F.col(name) for name in names])
+    return encoder([column(name) for name in names])

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsetrail.config import Sink
-from pulsetrail.functions.times import UNIT_MS, floor_to
+from pulsetrail.config import ReplayConfig, Sink
+from pulsetrail.functions.columns import UNIT_MS, event_time_ms, floor_to
+from pulsetrail.operators.envelope import message_columns
 from pulsetrail.operators.ordering import range_sorted
+from pulsetrail.operators.roles import resolve_roles
 from pulsetrail.operators.schedule import pending_slices, replay_slices
 from pulsetrail.sources.tables import between
 from pulsetrail.workspace import path_exists
@@ -34,22 +36,29 @@ def write_to(df: DataFrame, sink: Sink) -> None:
     writer.save(sink.path) if sink.path else writer.save()
 
 
-def prepare_chunks(df: DataFrame, path: str, unit: str = "hour", *, unique_key: bool = False) -> DataFrame:
-    """Write messages once as Parquet for any number of replays, and return the table read back: a folder
-    per ``unit`` of event time, files sorted by time, then key and value.
+def prepare_chunks(
+    df: DataFrame, path: str, config: ReplayConfig, unit: str = "hour", *, unique_key: bool = False
+) -> DataFrame:
+    """Write the messages of a paced replay once as Parquet for any number of replays, and return the
+    table read back: a folder (``chunk``) per ``unit`` of event time, files sorted by time, then key.
 
-    Tasks take ranges of the order, so a busy hour is spread over several files and a quiet one shares
-    its task with others. Pass ``unique_key=True`` when time and key together never repeat. Rows without
-    an event time can not be placed (``split_rejects``).
+    Rows are put in order first and turned into messages after the shuffle. Tasks take ranges of the
+    order, so a busy hour is spread over several files and a quiet one shares its task with others. Pass
+    ``unique_key=True`` when time and key together never repeat. Rows without an event time can not be
+    placed (``split_rejects``).
     """
-    order = ["event_time_ms", "key"] if unique_key else ["event_time_ms", "key", "value"]
+    roles = resolve_roles(df, config)
+    if roles.time is None:
+        raise ValueError("chunks need an event time; max_speed has to be off")
     spark = df.sparkSession
+    at = event_time_ms(df, roles.time)
+    timed = df.withColumns({"_at": at, "_chunk": floor_to(at, UNIT_MS[unit])}).filter("_at IS NOT NULL")
     # A task opens one file after another, so even a small day is spread over all of them.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = range_sorted(df.filter("event_time_ms IS NOT NULL"), order, unique=unique_key, ranges=tasks)
-    chunked = placed.withColumn("chunk", floor_to(F.col("event_time_ms"), UNIT_MS[unit]))
-    chunked.sortWithinPartitions("chunk", *order).write.partitionBy("chunk").parquet(path)
-    return spark.read.schema(chunked.schema).parquet(path)
+    placed = range_sorted(timed, ["_chunk", "_at", roles.key], unique=unique_key, ranges=tasks)
+    messages = placed.select(*message_columns(df, config), F.col("_chunk").alias("chunk"))
+    messages.write.partitionBy("chunk").parquet(path)
+    return spark.read.schema(messages.schema).parquet(path)
 
 
 def chunk_manifest(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.times import floor_to
+from pulsetrail.functions.columns import floor_to
 from pulsetrail.workspace import stage
 
 # monotonically_increasing_id() puts the row's place within its partition into the lower 33 bits.
@@ -17,17 +17,20 @@ PLACE_BITS = 33
 def range_sorted(df: DataFrame, order: Sequence[str], *, unique: bool, ranges: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``.
 
-    Equal sort keys always share a range, so copies could pile up in one. Unless ``order`` is
-    ``unique``, rows get a number within their input partition as the last sort key, which lets the
-    ranges cut through the copies. The numbers are given in sorted order: a task that runs again
-    numbers its rows the same way. With a number of ``ranges`` small ones are not merged.
+    Equal sort keys always share a range, so copies could pile up in one. Unless ``order`` is ``unique``,
+    two more sort keys tell such rows apart: a hash of the row, and for full copies a number given in
+    sorted order within the input partition, so that a task that runs again numbers them the same way.
+    Sort keys should be short, as a sample of them goes through the driver. With a number of ``ranges``
+    small ones are not merged.
     """
     keys = list(order)
     if not unique:
-        df = df.sortWithinPartitions(*order).withColumn("_copy", F.monotonically_increasing_id())
-        keys.append("_copy")
+        hashable = [name for name, kind in df.dtypes if "map<" not in kind]
+        hashed = df.withColumn("_row", F.xxhash64(*hashable)).sortWithinPartitions(*order, "_row")
+        df = hashed.withColumn("_copy", F.monotonically_increasing_id())
+        keys += ["_row", "_copy"]
     split = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
-    return split.sortWithinPartitions(*keys).drop("_copy")
+    return split.sortWithinPartitions(*keys).drop("_row", "_copy")
 
 
 def staged_in_order(df: DataFrame, order: Sequence[str], *, unique: bool, label: str) -> DataFrame:
@@ -47,11 +50,12 @@ def staged_in_order(df: DataFrame, order: Sequence[str], *, unique: bool, label:
 
 
 def global_rank(
-    df: DataFrame, order: str = "event_time_ms", tiebreak: Sequence[str] = ("key", "value"), *, unique: bool = False
+    df: DataFrame, order: str = "event_time_ms", tiebreak: Sequence[str] = ("key",), *, unique: bool = False
 ) -> DataFrame:
     """``df`` with ``rank``, the row's number from 1 in the order of ``order`` and ``tiebreak``.
 
-    Pass ``unique=True`` when no two rows agree in all these columns; it saves a local sort.
+    Rows that agree in these columns are ranked by a hash of the row. Pass ``unique=True`` when no two do;
+    it saves a local sort.
     """
     rows = staged_in_order(df, [order, *tiebreak], unique=unique, label="rank")
     # One row per written range, at most spark.sql.shuffle.partitions of them: small by construction.
@@ -70,16 +74,22 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, str], width:
 
     ``order`` is a bigint column without repeats, so a block of ``width`` consecutive numbers holds at
     most ``width`` rows: each block is summed by one task, and only the block totals, one row per block,
-    are added up in a single task. ``totals`` maps a value column to the name of its running sum.
+    are added up in a single task. ``totals`` maps a value column to the name of its running sum; the sum
+    over all rows comes along under that name with ``_total``.
     """
     blocked = df.withColumn("_block", floor_to(F.col(order), width))
     sums = blocked.groupBy("_block").agg(*[F.sum(v).alias(f"_sum_{v}") for v in totals])
+    every = Window.partitionBy()
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(
-        "_block", *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_start_{v}") for v in totals]
+        "_block",
+        *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_start_{v}") for v in totals],
+        *[F.sum(f"_sum_{v}").over(every).alias(f"{out}_total") for v, out in totals.items()],
     )
     so_far = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     inner = {out: F.sum(v).over(so_far) for v, out in totals.items()}
     outer = {out: F.col(out) + F.col(f"_start_{v}") for v, out in totals.items()}
-    joined = blocked.withColumns(inner).join(starts, "_block").withColumns(outer)
+    # Every block has a start. As a left join it puts no condition on the rows, so that both sides keep
+    # the same plan for ``df`` and Spark runs it once.
+    joined = blocked.withColumns(inner).join(starts, "_block", "left").withColumns(outer)
     return joined.drop("_block", *[f"_start_{v}" for v in totals])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsetrail.fixed_values import MAX_PAUSE_S, MIN_PAUSE_S
-from pulsetrail.functions.times import UNIT_MS
+from pulsetrail.functions.columns import UNIT_MS
 from pulsetrail.operators.ordering import running_totals
 
 # Running totals of one row per millisecond go by the hour, those of batches by this many batches.
@@ -86,13 +86,12 @@ def replay_batches(df: DataFrame, batch_size: int, speed: float, time: str = "ev
 
 def replay_progress(batches: DataFrame) -> DataFrame:
     """Planned progress after each batch and its pause: rows sent, percent, seconds, rows per second."""
-    total = batches.agg(F.sum("rows")).scalar()
     run = running_totals(batches, "batch_id", {"rows": "sent", "pause_s": "elapsed_s"}, BATCH_BLOCK)
     return run.select(
         "batch_id",
         "rows",
         "sent",
-        (F.col("sent") * 100.0 / total).alias("percent"),
+        (F.col("sent") * 100.0 / F.col("sent_total")).alias("percent"),
         "elapsed_s",
         F.when(F.col("elapsed_s") > 0, F.col("sent") / F.col("elapsed_s")).alias("rows_per_s"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsetrail.config import ReplayConfig, Sink
 from pulsetrail.fixed_values import PARAM_COLUMNS, SUMMARY_ARRAYS, SUMMARY_GROUP, TRACE_ARRAYS, TRACE_COLUMNS
-from pulsetrail.functions.times import UNIT_MS, event_time_ms
+from pulsetrail.functions.columns import UNIT_MS, event_time_ms
 from pulsetrail.operators.delivery import reconcile
 from pulsetrail.operators.envelope import envelope, split_rejects
 from pulsetrail.operators.generate import gen_events, gen_trace
@@ -119,7 +119,7 @@ def _load_day_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "chunks")
-    prepare_chunks(_messages(spark, sf_dir), path, unique_key=True)
+    prepare_chunks(events_with_date(spark, sf_dir), path, TIMED, unique_key=True)
     return _readable(load_chunks(spark, path, to_ms=SPLIT_MS).unionByName(load_chunks(spark, path, SPLIT_MS)))
 
 
@@ -134,10 +134,6 @@ def _gen_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- messages -----------------------------------------------------------------------------------
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope(events_with_date(spark, sf_dir), TIMED)
-
-
 def _envelope_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = ReplayConfig(
         source_table="db.events", key_column="event_id", max_speed=True, value_format="binary", payload_column="props"
@@ -216,7 +212,7 @@ def _replay_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks, path = new_path(spark, "chunks"), new_path(spark, "streamed")
-    prepare_chunks(_messages(spark, sf_dir), chunks, "day", unique_key=True)
+    prepare_chunks(events_with_date(spark, sf_dir), chunks, TIMED, "day", unique_key=True)
     query = stream_replay(
         spark, chunks, Sink("parquet", path), new_path(spark, "stream-checkpoint"), files_per_trigger=20
     )
@@ -225,7 +221,8 @@ def _stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, sf_dir: str, unit: str = "hour") -> DataFrame:
-    return prepare_chunks(_messages(spark, sf_dir), new_path(spark, "chunks"), unit, unique_key=True)
+    events = events_with_date(spark, sf_dir)
+    return prepare_chunks(events, new_path(spark, "chunks"), TIMED, unit, unique_key=True)
 
 
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:

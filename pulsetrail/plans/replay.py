@@ -37,14 +37,13 @@ def run_replay(
     good, rejected = split_rejects(day, config)
     if rejects is not None:
         write_to(rejected, rejects)
-    messages = envelope(good, config)
     if config.max_speed:
-        write_messages(messages, sink)
+        write_messages(envelope(good, config), sink)
         return
     if chunks_path and path_exists(spark, f"{chunks_path}/_SUCCESS"):
         chunks = load_chunks(spark, chunks_path)
     else:
-        chunks = prepare_chunks(messages, chunks_path or new_path(spark, "chunks"))
+        chunks = prepare_chunks(good, chunks_path or new_path(spark, "chunks"), config)
     write_paced(
         chunks,
         sink,

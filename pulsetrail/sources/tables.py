@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.times import UNIT_MS
+from pulsetrail.functions.columns import UNIT_MS
 
 
 def load_day(
