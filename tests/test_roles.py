@@ -1,0 +1,106 @@
+"""Key and time detection, value columns, settings."""
+
+import pytest
+from pyspark.sql import types as T
+
+from pulsetrail.config import ReplayConfig
+from pulsetrail.operators.roles import Roles, detect_key, detect_time, resolve_roles, schema_name, value_columns
+
+
+def frame(spark, schema):
+    return spark.createDataFrame([], schema)
+
+
+@pytest.mark.parametrize(
+    "schema, key",
+    [
+        ("lot_id int, event_key string, other string", "lot_id"),
+        ("eqp_id string, event_key int, other string", "event_key"),
+        ("other string, eqp_id int", "eqp_id"),
+        ("col1 string, col2 string", "col1"),
+        ("a string, LOT_ID string", "a"),
+    ],
+)
+def test_key_by_name(spark, schema, key):
+    assert detect_key(frame(spark, schema)) == key
+
+
+@pytest.mark.parametrize(
+    "schema, time",
+    [
+        ("event_time bigint, ts bigint", "ts"),
+        ("other bigint, event_time bigint", "event_time"),
+        ("start_dtts timestamp, create_dtts timestamp", "create_dtts"),
+        ("x bigint, start_dtts timestamp", "start_dtts"),
+        ("name string, created_at timestamp", "created_at"),
+        ("name string, created_at timestamp_ntz", "created_at"),
+        ("id int, timestamp_ms bigint", "timestamp_ms"),
+        ("ts string, event_time bigint", "ts"),
+    ],
+)
+def test_time_by_name_then_type(spark, schema, time):
+    assert detect_time(frame(spark, schema)) == time
+
+
+def test_no_time_column_names_the_columns(spark):
+    with pytest.raises(ValueError, match="name, size"):
+        detect_time(frame(spark, "name string, size int"))
+
+
+def test_named_columns_must_exist(spark):
+    df = frame(spark, "a string, ts timestamp")
+    with pytest.raises(ValueError, match="key column 'b' not found; available columns: a, ts"):
+        resolve_roles(df, ReplayConfig(key_column="b"))
+    with pytest.raises(ValueError, match="time column 'b' not found"):
+        resolve_roles(df, ReplayConfig(time_column="b"))
+
+
+def test_time_is_not_looked_for_at_full_speed(spark):
+    df = frame(spark, "a string, b string")
+    assert resolve_roles(df, ReplayConfig(max_speed=True)) == Roles("a")
+
+
+def test_value_columns_keep_their_order(spark):
+    df = frame(spark, "z string, lot_id string, ts timestamp, a int, dt string, fab string")
+    roles = Roles("lot_id", "ts")
+    assert value_columns(df, roles, ReplayConfig()) == ["z", "a"]
+    assert value_columns(df, roles, ReplayConfig(time_in_value=True)) == ["z", "ts", "a"]
+    assert value_columns(df, roles, ReplayConfig(key_in_value=True)) == ["z", "lot_id", "a"]
+    assert value_columns(df, Roles("lot_id"), ReplayConfig(max_speed=True)) == ["z", "ts", "a"]
+    assert value_columns(df, roles, ReplayConfig(exclude_columns=("a", "missing"))) == ["z", "dt", "fab"]
+
+
+def test_schema_name():
+    assert schema_name(ReplayConfig(source_table="mydb.events")) == "events.value"
+    assert schema_name(ReplayConfig(source_table="events")) == "events.value"
+    assert schema_name(ReplayConfig(source_table="mydb.events", schema_name="custom.schema")) == "custom.schema"
+
+
+@pytest.mark.parametrize(
+    "settings, message",
+    [
+        ({"speed": 0}, "speed"),
+        ({"speed": -1.0}, "speed"),
+        ({"batch_size": 0}, "batch_size"),
+        ({"slice_ms": 10}, "slice_ms"),
+        ({"value_format": "xml"}, "unknown value_format 'xml'"),
+        ({"value_format": "avro"}, "value_schema"),
+        ({"value_format": "Protobuf", "value_schema": "Event"}, "value_descriptor"),
+        ({"key_format": "binary"}, "unknown key_format"),
+        ({"key_format": "avro"}, "key_schema"),
+    ],
+)
+def test_wrong_settings(settings, message):
+    with pytest.raises(ValueError, match=message):
+        ReplayConfig(**settings).validate()
+
+
+def test_defaults():
+    config = ReplayConfig().validate()
+    assert (config.speed, config.batch_size, config.max_speed) == (1.0, 10_000, False)
+    assert config.exclude_columns == ("dt", "fab")
+    assert ReplayConfig(value_format="JSON").validate()
+
+
+def test_types_with_time(spark):
+    assert isinstance(frame(spark, "ts timestamp_ntz").schema["ts"].dataType, T.TimestampNTZType)
