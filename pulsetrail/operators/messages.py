@@ -5,7 +5,7 @@ from __future__ import annotations
 import time as wall
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException, IllegalArgumentException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,15 +37,21 @@ def write_to(df: DataFrame, sink: Sink) -> None:
 
 
 def prepare_chunks(
-    df: DataFrame, path: str, config: ReplayConfig, unit: str = "hour", *, unique_key: bool = False
+    df: DataFrame,
+    path: str,
+    config: ReplayConfig,
+    unit: str = "hour",
+    *,
+    unique_key: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Write the messages of a paced replay once as Parquet for any number of replays, and return the
     table read back: a folder (``chunk``) per ``unit`` of event time, files sorted by time, then key.
 
     Rows are put in order first and turned into messages after the shuffle. Tasks take ranges of the
-    order, so a busy hour is spread over several files and a quiet one shares its task with others. Pass
-    ``unique_key=True`` when time and key together never repeat. Rows without an event time can not be
-    placed (``split_rejects``).
+    order, as many as ``ranges`` or else shuffle partitions, so a busy hour is spread over several files
+    and a quiet one shares its task with others. Pass ``unique_key=True`` when time and key together never
+    repeat. Rows without an event time can not be placed (``split_rejects``).
     """
     roles = resolve_roles(df, config)
     if roles.time is None:
@@ -54,8 +60,8 @@ def prepare_chunks(
     at = event_time_ms(df, roles.time)
     timed = df.withColumns({"_at": at, "_chunk": floor_to(at, UNIT_MS[unit])}).filter("_at IS NOT NULL")
     # A task opens one file after another, so even a small day is spread over all of them.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = range_sorted(timed, ["_chunk", "_at", roles.key], unique=unique_key, ranges=tasks)
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = range_sorted(timed, ["_chunk", "_at", roles.key], unique=unique_key, ranges=ranges)
     messages = placed.select(*message_columns(df, config), F.col("_chunk").alias("chunk"))
     messages.write.partitionBy("chunk").parquet(path)
     return spark.read.schema(messages.schema).parquet(path)
@@ -122,7 +128,7 @@ def check_sink(spark: SparkSession, sink: Sink) -> None:
     """Fail before any work is done when Spark does not know the sink's format."""
     try:
         spark.read.format(sink.format).load()
-    except (AnalysisException, IllegalArgumentException) as error:
+    except PySparkException as error:
         # Any other complaint, such as a missing path, comes from a format that is there.
         if "Failed to find data source" in str(error):
             raise RuntimeError(f"the connector for '{sink.format}' is not on the class path") from error

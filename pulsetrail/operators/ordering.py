@@ -33,16 +33,18 @@ def range_sorted(df: DataFrame, order: Sequence[str], *, unique: bool, ranges: i
     return split.sortWithinPartitions(*keys).drop("_row", "_copy")
 
 
-def staged_in_order(df: DataFrame, order: Sequence[str], *, unique: bool, label: str) -> DataFrame:
+def staged_in_order(
+    df: DataFrame, order: Sequence[str], *, unique: bool, label: str, ranges: int | None = None
+) -> DataFrame:
     """``df`` written out in global order, with the number of its range (``_part``) and the place in it
     (``_place``, from 0).
 
     The range limits come from a sample and would differ if they were drawn twice; the written table
     makes sure that counting the ranges and reading them back sees the same ones.
     """
-    sorted_rows = range_sorted(df, order, unique=unique).withColumn("_at", F.monotonically_increasing_id())
+    rows = range_sorted(df, order, unique=unique, ranges=ranges)
     return (
-        stage(sorted_rows, label)
+        stage(rows.withColumn("_at", F.monotonically_increasing_id()), label)
         .withColumn("_part", F.shiftright("_at", PLACE_BITS))
         .withColumn("_place", F.col("_at").bitwiseAND((1 << PLACE_BITS) - 1))
         .drop("_at")
@@ -50,15 +52,20 @@ def staged_in_order(df: DataFrame, order: Sequence[str], *, unique: bool, label:
 
 
 def global_rank(
-    df: DataFrame, order: str = "event_time_ms", tiebreak: Sequence[str] = ("key",), *, unique: bool = False
+    df: DataFrame,
+    order: str = "event_time_ms",
+    tiebreak: Sequence[str] = ("key",),
+    *,
+    unique: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``df`` with ``rank``, the row's number from 1 in the order of ``order`` and ``tiebreak``.
 
     Rows that agree in these columns are ranked by a hash of the row. Pass ``unique=True`` when no two do;
-    it saves a local sort.
+    it saves a local sort. Without a number of ``ranges`` there are as many as shuffle partitions.
     """
-    rows = staged_in_order(df, [order, *tiebreak], unique=unique, label="rank")
-    # One row per written range, at most spark.sql.shuffle.partitions of them: small by construction.
+    rows = staged_in_order(df, [order, *tiebreak], unique=unique, label="rank", ranges=ranges)
+    # One row per written range, so its size is bounded by their number and not by the data.
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))

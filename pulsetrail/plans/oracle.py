@@ -19,7 +19,7 @@ from pulsetrail.fixed_values import (
     TRACE_ARRAYS,
     TRACE_COLUMNS,
 )
-from pulsetrail.plans.queries import BATCH_SIZE, DAY, FAST, OFF_HALF, SLICE_MS, SLICE_SPEED, SPEED, START, STATION
+from pulsetrail.plans.queries import BATCH_SIZE, DAY, FAST, OFF_HALF, SLICE_MS, SLICE_SPEED, SPEED, START, STATION, digits_of
 from pulsetrail.sources.samples import LIMITS
 
 EVENTS = "SELECT *, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS dt FROM events"
@@ -102,8 +102,8 @@ def all_sql() -> dict[str, str]:
                  r AS (SELECT batch_id, rows, (sum(rows) OVER w)::BIGINT AS sent,
                               (sum(pause_s) OVER w)::BIGINT AS elapsed_s, sum(rows) OVER () AS total
                        FROM b WINDOW w AS (ORDER BY batch_id))
-            SELECT batch_id, rows, sent, {_rounded("sent * 100.0::DOUBLE / total")} AS percent, elapsed_s,
-                   CASE WHEN elapsed_s > 0 THEN {_rounded("sent::DOUBLE / elapsed_s")} END AS rows_per_s
+            SELECT batch_id, rows, sent, {_rounded("percent", "sent * 100.0::DOUBLE / total")}, elapsed_s,
+                   {_rounded("rows_per_s", "CASE WHEN elapsed_s > 0 THEN sent::DOUBLE / elapsed_s END")}
             FROM r""",
         "replay_slices": slices,
         "pending_slices": f"WITH s AS ({slices}) SELECT * FROM s WHERE rows < (SELECT avg(rows) FROM s)",
@@ -125,8 +125,8 @@ def all_sql() -> dict[str, str]:
         "trace_flatten": _flatten(),
         "param_summary": f"SELECT * EXCLUDE (integral_val) FROM ({_summary(_trace(), STATION)})",
         "param_integral": f"SELECT {station}, integral_val FROM ({_summary(_trace(), STATION)})",
-        "summary_packed": _packed(_summary(_trace(), STATION), STATION, ()),
-        "summary_by_lot": _packed(_summary(_gen_trace(), SUMMARY_GROUP), SUMMARY_GROUP, ("slope_val", "stddev_val")),
+        "summary_packed": _packed(_summary(_trace(), STATION), STATION),
+        "summary_by_lot": _packed(_summary(_gen_trace(), SUMMARY_GROUP), SUMMARY_GROUP),
     }
 
 
@@ -314,7 +314,7 @@ def _flatten() -> str:
 
 def _summary(trace: str, group: tuple[str, ...]) -> str:
     keys = ", ".join((*group, *PARAM_COLUMNS))
-    percentiles = ", ".join(f"{_rounded(f'quantile_cont(v, {p})')} AS {name}" for name, p in SUMMARY_PERCENTILES)
+    percentiles = ", ".join(_rounded(name, f"quantile_cont(v, {p})") for name, p in SUMMARY_PERCENTILES)
     slope = "regr_slope(v, us / 1e6)"
     return f"""
         WITH flat AS (
@@ -326,33 +326,31 @@ def _summary(trace: str, group: tuple[str, ...]) -> str:
                  SELECT *, (v + lag(v) OVER w) / 2 * ((us - lag(us) OVER w) / 1e6) AS area
                  FROM flat WHERE v IS NOT NULL
                  WINDOW w AS (PARTITION BY {keys} ORDER BY us, v))
-        SELECT {keys}, {_rounded("max(v)")} AS max_val, {_rounded("min(v)")} AS min_val,
-               {_rounded("avg(v)")} AS mean_val, {_rounded("stddev_samp(v)")} AS stddev_val,
-               {_rounded("max(v) - min(v)")} AS range_val, {percentiles},
-               {_rounded("coalesce(sum(area), 0)")} AS integral_val,
-               CASE WHEN NOT isnan({slope}) THEN {_rounded(slope)} END AS slope_val,
-               count(v) AS count_val, {_rounded("sum(v * v)")} AS sumsq_val,
+        SELECT {keys}, {_rounded("max_val", "max(v)")}, {_rounded("min_val", "min(v)")},
+               {_rounded("mean_val", "avg(v)")}, {_rounded("stddev_val", "stddev_samp(v)")},
+               {_rounded("range_val", "max(v) - min(v)")}, {percentiles},
+               {_rounded("integral_val", "coalesce(sum(area), 0)")},
+               {_rounded("slope_val", f"CASE WHEN NOT isnan({slope}) THEN {slope} END")},
+               count(v) AS count_val, {_rounded("sumsq_val", "sum(v * v)")},
                min(us) // 1000 AS start_time, max(us) // 1000 AS end_time
         FROM steps GROUP BY {keys}"""
 
 
-def _packed(summary: str, group: tuple[str, ...], left_out: tuple[str, ...]) -> str:
+def _packed(summary: str, group: tuple[str, ...]) -> str:
     texts = []
     for name in SUMMARY_ARRAYS:
-        if name in left_out:
-            continue
         plain = name in PARAM_COLUMNS or name in ("count_val", "start_time")
-        shown = f"{name}::VARCHAR" if plain else f"coalesce({_ten_digits(name)}, '-')"
+        shown = f"{name}::VARCHAR" if plain else f"coalesce({_digits(name, name)}, '-')"
         texts.append(f"string_agg({shown}, '|' ORDER BY param_name, param_svid) AS {name}")
     return f"""
         SELECT {", ".join(group)}, max(end_time) AS end_time, {", ".join(texts)}
         FROM ({summary}) GROUP BY {", ".join(group)}"""
 
 
-def _rounded(expression: str) -> str:
-    """Ten significant digits, as in the queries."""
-    return f"{_ten_digits(expression)}::DOUBLE"
+def _rounded(name: str, expression: str) -> str:
+    """The value cut to the digits that the queries keep, under its name."""
+    return f"{_digits(name, expression)}::DOUBLE AS {name}"
 
 
-def _ten_digits(expression: str) -> str:
-    return f"printf('%.9e', ({expression})::DOUBLE * {OFF_HALF!r}::DOUBLE)"
+def _digits(name: str, expression: str) -> str:
+    return f"printf('%.{digits_of(name) - 1}e', ({expression})::DOUBLE * {OFF_HALF!r}::DOUBLE)"

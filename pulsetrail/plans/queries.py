@@ -43,7 +43,7 @@ SPLIT_MS = 1_705_276_800_000  # 2024-01-15 00:00:00
 SLICE_SPEED = 86_400.0
 SLICE_MS = 1000
 START = datetime(2024, 3, 1, 8, 0, 0)
-OFF_HALF = 1.000000000001
+OFF_HALF = 1.00000000001
 STATION = ("eqp_id", "module_name", "step_id", "fab")
 
 MAX_SPEED = ReplayConfig(source_table="db.events", key_column="event_id", max_speed=True)
@@ -271,10 +271,10 @@ def _summary_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary_by_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full declared grouping, on generated traces; no slope, as its groups are single samples."""
+    """The full declared grouping, on generated traces."""
     stats = summarize_params(_param_rows(gen_trace(_event_numbers(spark, sf_dir), START)))
     packed = pack_summary(_readable_stats(stats), SUMMARY_GROUP)
-    return _text_arrays(packed.drop("slope_val", "stddev_val"))
+    return _text_arrays(packed)
 
 
 # --- forms that compare across engines ----------------------------------------------------------
@@ -286,13 +286,18 @@ def _readable(messages: DataFrame) -> DataFrame:
 
 
 def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
-    """Ten significant digits: sums of doubles depend on their order beyond that."""
-    return df.withColumns({n: F.when(F.col(n).isNotNull(), _ten_digits(F.col(n)).cast("double")) for n in names})
+    """Doubles cut to the digits that do not depend on the order in which they were added up."""
+    return df.withColumns({n: F.when(F.col(n).isNotNull(), _digits(n, F.col(n)).cast("double")) for n in names})
 
 
-def _ten_digits(x: Column) -> Column:
+def digits_of(name: str) -> int:
+    """Significant digits to compare; a slope near zero is a difference of large numbers."""
+    return 6 if name == "slope_val" else 8
+
+
+def _digits(name: str, x: Column) -> Column:
     # Engines round an exact half up or to even; the factor moves it to one side.
-    return F.format_string("%.9e", x * OFF_HALF)
+    return F.format_string(f"%.{digits_of(name) - 1}e", x * OFF_HALF)
 
 
 def _readable_stats(stats: DataFrame) -> DataFrame:
@@ -306,16 +311,16 @@ def _text_times(df: DataFrame) -> DataFrame:
 
 
 def _text_arrays(df: DataFrame) -> DataFrame:
-    """Arrays as one text, elements between bars; numbers with ten digits, NULL as a minus."""
+    """Arrays as one text, elements between bars, NULL as a minus."""
 
-    def element(kind: str) -> Callable[[Column], Column]:
+    def element(name: str, kind: str) -> Callable[[Column], Column]:
         if "double" in kind:
-            return lambda x: F.coalesce(F.when(x.isNotNull(), _ten_digits(x)), F.lit("-"))
+            return lambda x: F.coalesce(F.when(x.isNotNull(), _digits(name, x)), F.lit("-"))
         return lambda x: F.coalesce(x.cast("string"), F.lit("-"))
 
     return df.withColumns(
         {
-            name: F.array_join(F.transform(name, element(kind)), "|")
+            name: F.array_join(F.transform(name, element(name, kind)), "|")
             for name, kind in df.dtypes
             if kind.startswith("array")
         }

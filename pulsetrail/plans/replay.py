@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import time as wall
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from pulsetrail.config import ReplayConfig, Sink
 from pulsetrail.operators.envelope import envelope, split_rejects
 from pulsetrail.operators.messages import check_sink, prepare_chunks, write_messages, write_paced, write_to
-from pulsetrail.sources.tables import load_chunks, load_day
+from pulsetrail.operators.roles import schema_name
+from pulsetrail.sources.tables import load_chunks, load_day, lookup_schema
 from pulsetrail.workspace import new_path, path_exists
 
 
@@ -19,6 +21,7 @@ def run_replay(
     config: ReplayConfig,
     sink: Sink,
     *,
+    schemas: DataFrame | None = None,
     rejects: Sink | None = None,
     chunks_path: str | None = None,
     log_path: str | None = None,
@@ -27,10 +30,13 @@ def run_replay(
 ) -> None:
     """Replay one day of ``config.source_table`` to ``sink``, at full speed or paced.
 
-    Rows without a key or, when paced, without an event time go to ``rejects`` with the reason. Paced
+    Avro and Protobuf values without a ``value_schema`` take theirs from the table ``schemas`` (artifact,
+    content) by ``schema_name``. Rows without a key or, when paced, without an event time go to ``rejects`` with the reason. Paced
     messages are staged at ``chunks_path`` first; finished chunks found there are used again, and together
     with ``log_path`` a replay that broke off goes on where it was.
     """
+    if schemas is not None and config.value_schema is None and config.value_format.lower() in ("avro", "protobuf"):
+        config = replace(config, value_schema=lookup_schema(schemas, schema_name(config)))
     config.validate()
     check_sink(spark, sink)
     day = load_day(spark, config.source_table, config.target_date, config.date_column)

@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pulsetrail import workspace
@@ -117,6 +118,7 @@ def test_unknown_sink_is_refused_at_once(spark):
         check_sink(spark, Sink("kafka", options={"kafka.bootstrap.servers": "x:9092", "topic": "t"}))
     check_sink(spark, Sink("parquet", "/nowhere"))
     check_sink(spark, Sink("json", "/nowhere"))
+    check_sink(spark, Sink("noop"))
 
 
 def test_reconcile_counts_lost_repeated_and_null_keys(spark):
@@ -251,6 +253,20 @@ def test_paced_replay_uses_its_chunks_again(spark, tmp_path):
         assert contents(read_delivered(spark, "parquet", sink.path)) == contents(envelope(events(spark), config))
 
 
+def test_avro_replay_looks_its_schema_up(spark, tmp_path):
+    day_table(spark, "replay_avro")
+    config = ReplayConfig(source_table="replay_avro", target_date="2024-01-01", max_speed=True, value_format="avro")
+    sink = Sink("parquet", str(tmp_path / "topic"))
+    schema = '{"type":"record","name":"E","fields":[{"name":"event_time","type":"long"},{"name":"n","type":"long"}]}'
+    with pytest.raises(ValueError, match="value_schema"):
+        run_replay(spark, config, sink)
+    with pytest.raises(ValueError, match="no schema named 'replay_avro.value'"):
+        run_replay(spark, config, sink, schemas=spark.createDataFrame([], "artifact string, content string"))
+    found = spark.createDataFrame([("replay_avro.value", schema)], "artifact string, content string")
+    with pytest.raises(AnalysisException, match="spark-avro"):  # the connector is not installed here
+        run_replay(spark, config, sink, schemas=found)
+
+
 def test_empty_day_writes_nothing(spark, tmp_path):
     day_table(spark, "replay_empty")
     config = ReplayConfig(source_table="replay_empty", target_date="1999-01-01")
