@@ -1,4 +1,4 @@
-"""What was sent against what arrived."""
+"""What was sent against what arrived, and how a paced write went."""
 
 from __future__ import annotations
 
@@ -18,3 +18,16 @@ def reconcile(sent: DataFrame, delivered: DataFrame, key: str = "key") -> DataFr
     )
     totals = both.groupBy(key).agg(F.sum("sent").alias("sent"), F.sum("delivered").alias("delivered"))
     return totals.withColumn("missing", F.col("sent") - F.col("delivered"))
+
+
+def delivery_report(log: DataFrame) -> DataFrame:
+    """One row about a paced write from its log: slices, rows, seconds, rows per second, worst delay."""
+    start = F.min(F.struct("slice_id", "due_ms")).getField("due_ms")
+    seconds = (F.max("sent_ms") - F.min("sent_ms")) / 1000
+    return log.agg(
+        F.count(F.lit(1)).alias("slices"),
+        F.sum("rows").alias("rows"),
+        seconds.alias("seconds"),
+        F.when(seconds > 0, F.sum("rows") / seconds).alias("rows_per_s"),
+        (F.max(F.col("sent_ms") - F.col("due_ms")) + start).alias("latest_ms"),
+    )

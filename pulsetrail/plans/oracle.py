@@ -19,7 +19,20 @@ from pulsetrail.fixed_values import (
     TRACE_ARRAYS,
     TRACE_COLUMNS,
 )
-from pulsetrail.plans.queries import BATCH_SIZE, DAY, FAST, OFF_HALF, SLICE_MS, SLICE_SPEED, SPEED, START, STATION, digits_of
+from pulsetrail.plans.queries import (
+    BATCH_SIZE,
+    DAY,
+    FAST,
+    OFF_HALF,
+    SLICE_MS,
+    SLICE_SPEED,
+    SPEED,
+    START,
+    STATION,
+    TRACE_BATCH,
+    TRACE_SPEED,
+    digits_of,
+)
 from pulsetrail.sources.samples import LIMITS
 
 EVENTS = "SELECT *, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS dt FROM events"
@@ -44,10 +57,14 @@ def all_sql() -> dict[str, str]:
         "chunk_scan": hourly,
         "gen_events": _gen_events(),
         "gen_trace": f"SELECT {_text_trace()} FROM ({_gen_trace()})",
+        "csv_export": f"SELECT event_id, user_id, event_type, value, props, dt FROM ({EVENTS})",
         "envelope_json": f"{timed} FROM e",
         "envelope_max_speed": full,
         "envelope_binary": "SELECT event_id::VARCHAR AS key, props AS value FROM events",
-        "envelope_trace": _envelope_trace(),
+        "envelope_trace": _envelope_trace("lot_id", ("lot_id", "dt", "fab"), ""),
+        "envelope_trace_timed": _envelope_trace(
+            "eqp_id", ("eqp_id", "ts", "dt", "fab"), ", epoch_us(ts) // 1000 AS event_time_ms"
+        ),
         "envelope_key_json": f"""
             WITH e AS ({EVENTS})
             SELECT to_json({{'user_id': user_id}})::VARCHAR AS key,
@@ -95,10 +112,13 @@ def all_sql() -> dict[str, str]:
             SELECT event_id, ms AS event_time_ms,
                    floor((ms - (SELECT min(ms) FROM e)) / {SPEED})::BIGINT AS due_ms
             FROM e""",
-        "replay_batches": _batches(SPEED),
-        "replay_batches_fast": _batches(FAST),
+        "replay_batches": _batches(EVENTS, BATCH_SIZE, SPEED),
+        "replay_batches_fast": _batches(EVENTS, BATCH_SIZE, FAST),
+        "replay_batches_trace": _batches(
+            f"SELECT epoch_us(ts) // 1000 AS ms FROM ({_trace()})", TRACE_BATCH, TRACE_SPEED
+        ),
         "replay_progress": f"""
-            WITH b AS ({_batches(SPEED)}),
+            WITH b AS ({_batches(EVENTS, BATCH_SIZE, SPEED)}),
                  r AS (SELECT batch_id, rows, (sum(rows) OVER w)::BIGINT AS sent,
                               (sum(pause_s) OVER w)::BIGINT AS elapsed_s, sum(rows) OVER () AS total
                        FROM b WINDOW w AS (ORDER BY batch_id))
@@ -110,6 +130,9 @@ def all_sql() -> dict[str, str]:
         "day_profile": f"""
             SELECT count(*) AS total, count(DISTINCT dt) AS distinct_dt, count(DISTINCT lot_id) AS distinct_lot_id
             FROM ({_trace()})""",
+        "event_profile": f"""
+            SELECT count(*) AS total, count(DISTINCT dt) AS distinct_dt, count(DISTINCT event_type) AS distinct_event_type
+            FROM ({EVENTS})""",
         "count_by_date": f"SELECT dt, count(*) AS cnt FROM ({EVENTS}) GROUP BY 1",
         "count_by_date_type": f"SELECT dt, event_type, count(*) AS cnt FROM ({EVENTS}) GROUP BY 1, 2",
         "count_by_lot": f"SELECT lot_id, count(*) AS cnt FROM ({_trace()}) GROUP BY 1",
@@ -123,7 +146,8 @@ def all_sql() -> dict[str, str]:
                    array_to_string(param_name, '|') AS param_name, array_to_string(param_value, '|') AS param_value
             FROM ({_trace()})""",
         "trace_flatten": _flatten(),
-        "param_summary": f"SELECT * EXCLUDE (integral_val) FROM ({_summary(_trace(), STATION)})",
+        "param_summary": _summary(_trace(), STATION),
+        "param_summary_cut": _summary(_trace(), STATION),
         "param_integral": f"SELECT {station}, integral_val FROM ({_summary(_trace(), STATION)})",
         "summary_packed": _packed(_summary(_trace(), STATION), STATION),
         "summary_by_lot": _packed(_summary(_gen_trace(), SUMMARY_GROUP), SUMMARY_GROUP),
@@ -133,9 +157,9 @@ def all_sql() -> dict[str, str]:
 # --- schedule -----------------------------------------------------------------------------------
 
 
-def _batches(speed: float) -> str:
+def _batches(times: str, size: int, speed: float) -> str:
     return f"""
-        WITH ranked AS (SELECT ms, (row_number() OVER (ORDER BY ms) - 1) // {BATCH_SIZE} AS batch_id FROM ({EVENTS})),
+        WITH ranked AS (SELECT ms, (row_number() OVER (ORDER BY ms) - 1) // {size} AS batch_id FROM ({times})),
              b AS (SELECT batch_id, count(*) AS rows, min(ms) AS first_ms, max(ms) AS last_ms
                    FROM ranked GROUP BY 1),
              g AS (SELECT *, last_ms - coalesce(lag(last_ms) OVER (ORDER BY batch_id), first_ms) AS gap FROM b)
@@ -280,11 +304,14 @@ def _trace() -> str:
     return f"SELECT {', '.join(f'{columns[name]} AS {name}' for name in TRACE_COLUMNS)} FROM lineitem"
 
 
-def _envelope_trace() -> str:
-    shown = [c for c in TRACE_COLUMNS if c not in ("lot_id", "dt", "fab")]
+def _envelope_trace(key: str, left_out: tuple[str, ...], more: str) -> str:
     times = ("ts", "start_dtts", "create_dtts")
-    fields = [f"'{c}': " + (f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')" if c in times else c) for c in shown]
-    return f"SELECT lot_id AS key, to_json({{{', '.join(fields)}}})::VARCHAR AS value FROM ({_trace()})"
+    fields = [
+        f"'{c}': " + (f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')" if c in times else c)
+        for c in TRACE_COLUMNS
+        if c not in left_out
+    ]
+    return f"SELECT {key} AS key, to_json({{{', '.join(fields)}}})::VARCHAR AS value{more} FROM ({_trace()})"
 
 
 def _text_trace() -> str:

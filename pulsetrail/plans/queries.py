@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsetrail.config import ReplayConfig, Sink
-from pulsetrail.fixed_values import PARAM_COLUMNS, SUMMARY_ARRAYS, SUMMARY_GROUP, TRACE_ARRAYS, TRACE_COLUMNS
-from pulsetrail.functions.columns import UNIT_MS, event_time_ms
+from pulsetrail.fixed_values import PARAM_COLUMNS, SUMMARY_GROUP
+from pulsetrail.functions.columns import event_time_ms
 from pulsetrail.operators.delivery import reconcile
 from pulsetrail.operators.envelope import envelope, split_rejects
 from pulsetrail.operators.generate import gen_events, gen_trace
 from pulsetrail.operators.inventory import day_profile, inventory, latest_date, param_count, preview
-from pulsetrail.operators.messages import chunk_manifest, prepare_chunks, write_messages, write_paced
+from pulsetrail.operators.messages import chunk_manifest, prepare_chunks, write_messages, write_paced, write_to
 from pulsetrail.operators.ordering import global_rank
 from pulsetrail.operators.schedule import (
     pending_slices,
@@ -38,6 +38,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 BATCH_SIZE = 10
 SPEED = 60.0
 FAST = 6000.0
+TRACE_BATCH = 100
+TRACE_SPEED = 20_000.0
 DAY = "2024-01-15"
 SPLIT_MS = 1_705_276_800_000  # 2024-01-15 00:00:00
 SLICE_SPEED = 86_400.0
@@ -55,6 +57,7 @@ def all_queries() -> dict[str, Query]:
         "load_day": _load_day,
         "load_day_orc": _load_day_orc,
         "chunk_scan": _chunk_scan,
+        "csv_export": _csv_export,
         "gen_events": lambda spark, sf: gen_events(_event_numbers(spark, sf), START),
         "gen_trace": _gen_trace,
         "envelope_json": lambda spark, sf: _readable(envelope(events_with_date(spark, sf), TIMED)),
@@ -63,6 +66,9 @@ def all_queries() -> dict[str, Query]:
         "envelope_trace": lambda spark, sf: _readable(
             envelope(trace_of_lineitem(spark, sf), ReplayConfig(source_table="db.trace", max_speed=True))
         ),
+        "envelope_trace_timed": lambda spark, sf: _readable(
+            envelope(trace_of_lineitem(spark, sf), ReplayConfig(source_table="db.trace", key_column="eqp_id"))
+        ),
         "envelope_key_json": _envelope_key_json,
         "envelope_key_literal": _envelope_key_literal,
         "event_time_ms": _event_time_ms,
@@ -78,12 +84,14 @@ def all_queries() -> dict[str, Query]:
         "replay_schedule": lambda spark, sf: replay_schedule(_event_times(spark, sf), SPEED),
         "replay_batches": lambda spark, sf: replay_batches(_event_times(spark, sf), BATCH_SIZE, SPEED),
         "replay_batches_fast": lambda spark, sf: replay_batches(_event_times(spark, sf), BATCH_SIZE, FAST),
+        "replay_batches_trace": _replay_batches_trace,
         "replay_progress": lambda spark, sf: _rounded(
             replay_progress(replay_batches(_event_times(spark, sf), BATCH_SIZE, SPEED)), ["percent", "rows_per_s"]
         ),
         "replay_slices": lambda spark, sf: replay_slices(_event_times(spark, sf), SLICE_SPEED, SLICE_MS),
         "pending_slices": _pending_slices,
         "day_profile": lambda spark, sf: day_profile(trace_of_lineitem(spark, sf), ["dt", "lot_id"]),
+        "event_profile": lambda spark, sf: day_profile(events_with_date(spark, sf), ["dt", "event_type"]),
         "count_by_date": lambda spark, sf: inventory(events_with_date(spark, sf), "dt"),
         "count_by_date_type": lambda spark, sf: inventory(events_with_date(spark, sf), ["dt", "event_type"]),
         "count_by_lot": lambda spark, sf: inventory(trace_of_lineitem(spark, sf), "lot_id"),
@@ -93,7 +101,8 @@ def all_queries() -> dict[str, Query]:
         "preview": lambda spark, sf: preview(events_with_date(spark, sf).drop("ts"), 10, "event_id"),
         "param_count": lambda spark, sf: _text_times(_text_arrays(param_count(trace_of_lineitem(spark, sf)))),
         "trace_flatten": _trace_flatten,
-        "param_summary": lambda spark, sf: _station_summary(spark, sf, drop=["integral_val"]),
+        "param_summary": _station_summary,
+        "param_summary_cut": lambda spark, sf: _station_summary(spark, sf, group_limit=0),
         "param_integral": lambda spark, sf: _station_summary(spark, sf).select(
             *STATION, *PARAM_COLUMNS, "integral_val"
         ),
@@ -123,6 +132,13 @@ def _chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readable(load_chunks(spark, path, to_ms=SPLIT_MS).unionByName(load_chunks(spark, path, SPLIT_MS)))
 
 
+def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "events-csv")
+    events = events_with_date(spark, sf_dir).drop("ts")
+    write_to(events, Sink("csv", path, options={"header": "true"}))
+    return spark.read.schema(events.schema).option("header", True).csv(path)
+
+
 def _event_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_with_date(spark, sf_dir).select(F.col("event_id").alias("s"))
 
@@ -242,6 +258,11 @@ def _global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_rank(_event_times(spark, sf_dir), "event_time_ms", ["event_id"], unique=True)
 
 
+def _replay_batches_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trace = trace_of_lineitem(spark, sf_dir)
+    return replay_batches(trace.select(event_time_ms(trace, "ts").alias("event_time_ms")), TRACE_BATCH, TRACE_SPEED)
+
+
 def _pending_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     slices = replay_slices(_event_times(spark, sf_dir), SLICE_SPEED, SLICE_MS)
     # As if the slices of at least average size had been sent.
@@ -260,14 +281,12 @@ def _param_rows(trace: DataFrame) -> DataFrame:
     return flatten_trace(trace, [*PARAM_COLUMNS, "param_value"])
 
 
-def _station_summary(spark: SparkSession, sf_dir: str, drop: list[str] | None = None) -> DataFrame:
-    stats = summarize_params(_param_rows(trace_of_lineitem(spark, sf_dir)), STATION)
-    return _readable_stats(stats.drop(*(drop or [])))
+def _station_summary(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
+    return _readable_stats(summarize_params(_param_rows(trace_of_lineitem(spark, sf_dir)), STATION, **options))
 
 
 def _summary_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = _readable_stats(summarize_params(_param_rows(trace_of_lineitem(spark, sf_dir)), STATION))
-    return _text_arrays(pack_summary(stats, STATION))
+    return _text_arrays(pack_summary(_station_summary(spark, sf_dir), STATION))
 
 
 def _summary_by_lot(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsetrail import workspace
 from pulsetrail.config import ReplayConfig, Sink
-from pulsetrail.operators.delivery import reconcile
+from pulsetrail.operators.delivery import delivery_report, reconcile
 from pulsetrail.operators.envelope import envelope
 from pulsetrail.operators.messages import (
     chunk_manifest,
@@ -190,6 +190,11 @@ def test_paced_write_keeps_the_rhythm(spark, tmp_path):
     assert sum(r["rows"] for r in notes) == 600
     # A slice never starts early and lateness does not add up.
     assert all(r["due_ms"] - notes[0]["due_ms"] <= r["sent_ms"] <= r["due_ms"] - notes[0]["due_ms"] + 50 for r in notes)
+    report = delivery_report(read_log(spark, log)).first()
+    assert (report["slices"], report["rows"]) == (sent, 600)
+    assert report["seconds"] == (notes[-1]["sent_ms"] - notes[0]["sent_ms"]) / 1000
+    assert report["rows_per_s"] == pytest.approx(600 / report["seconds"])
+    assert report["latest_ms"] == max(r["sent_ms"] - r["due_ms"] for r in notes) <= 50
 
 
 def test_paced_write_goes_on_after_a_failure(spark, tmp_path):
