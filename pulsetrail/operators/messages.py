@@ -19,7 +19,7 @@ from pulsetrail.operators.schedule import pending_slices, replay_slices
 from pulsetrail.sources.tables import between
 from pulsetrail.workspace import path_exists
 
-DELIVERY_LOG = "slice_id bigint, rows bigint, due_ms bigint, sent_ms bigint"
+DELIVERY_LOG = "slice_id bigint, rows bigint, due_ms bigint, late_ms bigint"
 
 
 def write_messages(df: DataFrame, sink: Sink) -> None:
@@ -107,12 +107,12 @@ def write_paced(
         wait = (one["due_ms"] - first_due) / 1000 - (clock() - started)
         if wait > 0:
             sleep(wait)
-        sent_ms = round((clock() - started) * 1000)
+        late_ms = round((clock() - started) * 1000) - (one["due_ms"] - first_due)
         messages = between(chunks, one["from_ms"], one["to_ms"], unit)
         write_messages(messages, sink.under(f"slice_id={one['slice_id']}"))
         sent += 1
         if log_path:
-            note = [(one["slice_id"], one["rows"], one["due_ms"], sent_ms)]
+            note = [(one["slice_id"], one["rows"], one["due_ms"], late_ms)]
             spark.createDataFrame(note, DELIVERY_LOG).coalesce(1).write.mode("append").json(log_path)
     return sent
 
