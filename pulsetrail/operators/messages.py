@@ -58,11 +58,11 @@ def prepare_chunks(
         raise ValueError("chunks need an event time; max_speed has to be off")
     spark = df.sparkSession
     at = event_time_ms(df, roles.time)
-    timed = df.withColumns({"_at": at, "_chunk": floor_to(at, UNIT_MS[unit])}).filter("_at IS NOT NULL")
+    timed = df.withColumns({"_pt_at": at, "_pt_chunk": floor_to(at, UNIT_MS[unit])}).filter("_pt_at IS NOT NULL")
     # A task opens one file after another, so even a small day is spread over all of them.
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = range_sorted(timed, ["_chunk", "_at", roles.key], unique=unique_key, ranges=ranges)
-    messages = placed.select(*message_columns(df, config), F.col("_chunk").alias("chunk"))
+    placed = range_sorted(timed, ["_pt_chunk", "_pt_at", roles.key], unique=unique_key, ranges=ranges)
+    messages = placed.select(*message_columns(df, config), F.col("_pt_chunk").alias("chunk"))
     messages.write.partitionBy("chunk").parquet(path)
     return spark.read.schema(messages.schema).parquet(path)
 
@@ -101,9 +101,11 @@ def write_paced(
     slices = replay_slices(chunks, speed, slice_ms)
     if log_path:
         slices = pending_slices(slices, read_log(spark, log_path))
-    started, first_due, sent = clock(), None, 0
+    started = first_due = None
+    sent = 0
     for one in slices.orderBy("slice_id").toLocalIterator():
-        first_due = one["due_ms"] if first_due is None else first_due
+        if started is None:
+            started, first_due = clock(), one["due_ms"]
         wait = (one["due_ms"] - first_due) / 1000 - (clock() - started)
         if wait > 0:
             sleep(wait)

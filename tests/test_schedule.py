@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsetrail.operators import schedule
-from pulsetrail.operators.ordering import global_rank, range_sorted, running_totals
+from pulsetrail.operators.ordering import global_rank, range_sorted, running_totals, tell_apart
 from pulsetrail.operators.schedule import (
     pending_slices,
     replay_batches,
@@ -137,6 +137,17 @@ def test_copies_are_spread_over_ranges(spark):
     assert max(r["count"] for r in parts) < 6_000
 
 
+def test_copies_are_numbered_alike_when_a_task_runs_again(spark):
+    """A partition with the same rows in another order gives every row the same sort keys."""
+    rows = [(5, "a", "x")] * 40 + [(i % 7, "b", str(i % 3)) for i in range(100)]
+    again = rows[::-1]
+    keys = [
+        sorted(map(tuple, tell_apart(spark.createDataFrame(r, "t int, key string, `v.w` string").coalesce(1), ["t"]).collect()))
+        for r in (rows, again)
+    ]
+    assert keys[0] == keys[1] and len({k[-1] for k in keys[0]}) == 140
+
+
 def test_rank_has_no_single_task_over_rows(spark):
     df = spark.range(100).select(F.col("id").alias("event_time_ms"), F.col("id").cast("string").alias("key"))
     plan = global_rank(df, unique=True)._jdf.queryExecution().executedPlan().toString()
