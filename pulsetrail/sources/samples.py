@@ -10,6 +10,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over more tasks when its files come in fewer pieces than there are cores.
+
+    A file with a single row group is read by one task, which would then do all the work on its rows.
+    Large tables come in many pieces and are left as they are.
+    """
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, SMALL_TABLE_TASKS)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def events_with_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with its date partition column ``dt``."""
     events = read_table(spark, sf_dir, "events")
@@ -21,7 +31,7 @@ def trace_of_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A tax of zero is written as text that is no number, and ``spec_model_name`` has one element only.
     """
-    lines = read_table(spark, sf_dir, "lineitem")
+    lines = spread(read_table(spark, sf_dir, "lineitem"))
     supplier, part, order = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey")
     ts = F.timestamp_seconds(F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + order % 86400)
     even = F.col("l_linenumber") % 2 == 0
@@ -68,6 +78,7 @@ def trace_of_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SMALL_TABLE_TASKS = 32
 # Limits per parameter, in the order of the parameters.
 LIMITS = {
     "target": ("25", "50000", "0.05", "0.04"),
