@@ -51,14 +51,15 @@ def prepare_chunks(
     Rows are put in order first and turned into messages after the shuffle. Tasks take ranges of the
     order, as many as ``ranges`` or else shuffle partitions, so a busy hour is spread over several files
     and a quiet one shares its task with others. Pass ``unique_key=True`` when time and key together never
-    repeat. Rows without an event time can not be placed (``split_rejects``).
+    repeat. Rows without an event time are kept in a chunk of their own (NULL), which no stretch of time
+    takes in; ``split_rejects`` sorts them out beforehand.
     """
     roles = resolve_roles(df, config)
     if roles.time is None:
         raise ValueError("chunks need an event time; max_speed has to be off")
     spark = df.sparkSession
     at = event_time_ms(df, roles.time)
-    timed = df.withColumns({"_pt_at": at, "_pt_chunk": floor_to(at, UNIT_MS[unit])}).filter("_pt_at IS NOT NULL")
+    timed = df.withColumns({"_pt_at": at, "_pt_chunk": floor_to(at, UNIT_MS[unit])})
     # A task opens one file after another, so even a small day is spread over all of them.
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = range_sorted(timed, ["_pt_chunk", "_pt_at", roles.key], unique=unique_key, ranges=ranges)

@@ -9,9 +9,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsetrail.config import ReplayConfig, Sink
+from pulsetrail.functions.columns import column
 from pulsetrail.operators.envelope import envelope, split_rejects
 from pulsetrail.operators.messages import check_sink, prepare_chunks, write_messages, write_paced, write_to
-from pulsetrail.operators.roles import schema_name
+from pulsetrail.operators.roles import resolve_roles, schema_name
 from pulsetrail.sources.tables import load_chunks, load_day, lookup_schema
 from pulsetrail.workspace import new_path, path_exists
 
@@ -31,7 +32,8 @@ def run_replay(
     """Replay one day of ``config.source_table`` to ``sink``, at full speed or paced.
 
     Avro and Protobuf values without a ``value_schema`` take theirs from the table ``schemas`` (artifact,
-    content) by ``schema_name``. Rows without a key or, when paced, without an event time go to ``rejects`` with the reason. Paced
+    content) by ``schema_name``. With ``rejects``, rows without a key or, when paced, without an event time
+    go there with the reason; without it, keys may be NULL and a missing event time is an error. Paced
     messages are staged at ``chunks_path`` first; finished chunks found there are used again, and together
     with ``log_path`` a replay that broke off goes on where it was.
     """
@@ -40,9 +42,12 @@ def run_replay(
     config.validate()
     check_sink(spark, sink)
     day = load_day(spark, config.source_table, config.target_date, config.date_column)
-    good, rejected = split_rejects(day, config)
     if rejects is not None:
+        good, rejected = split_rejects(day, config)
         write_to(rejected, rejects)
+    else:
+        good = day
+        _check_times(good, config)
     if config.max_speed:
         write_messages(envelope(good, config), sink)
         return
@@ -59,3 +64,10 @@ def run_replay(
         clock=clock,
         sleep=sleep,
     )
+
+
+def _check_times(day: DataFrame, config: ReplayConfig) -> None:
+    """No row may be left behind unnoticed: without an event time it has no place in a paced replay."""
+    time = resolve_roles(day, config).time
+    if time and not day.filter(column(time).isNull()).isEmpty():
+        raise ValueError(f"rows without '{time}' can not be paced; give a sink for rejects")

@@ -170,3 +170,15 @@ def test_pending_slices(spark):
     slices = replay_slices(frame(spark, [0, 1000, 2000, 3000]), 1.0, 1000)
     delivered = spark.createDataFrame([(0,), (2,), (2,)], "slice_id bigint")
     assert sorted(r["slice_id"] for r in pending_slices(slices, delivered).collect()) == [1, 3]
+
+
+def test_batches_count_once_and_never_gather_rows(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    times = df.select(F.unix_millis(F.col("ts").cast("timestamp")).alias("event_time_ms"))
+    batches = replay_batches(times, 10, 1.0)
+    batches.collect()
+    plan = batches._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # The table is read once, and the only single-partition step is the one over the sums per hour.
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    assert plan.count("Exchange SinglePartition") == 1
+    assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
