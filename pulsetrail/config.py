@@ -36,6 +36,9 @@ class Sink:
 class ReplayConfig:
     """One replay of one day of a table.
 
+    ``batch_size`` rows make a batch of ``replay_batches``; a paced write goes by slices that take about
+    ``slice_ms`` each. Schemas are the Avro schema text or the Protobuf message name, descriptors the path of
+    a Protobuf descriptor file.
     ``time_in_value`` and ``key_in_value`` say whether the value repeats the time and key columns.
     ``time_in_value=None`` follows the mode: kept at full speed, left out when paced (where the time
     travels as ``event_time_ms``).

@@ -25,6 +25,7 @@ def run_replay(
     schemas: DataFrame | None = None,
     rejects: Sink | None = None,
     chunks_path: str | None = None,
+    unit: str = "hour",
     log_path: str | None = None,
     clock: Callable[[], float] = wall.monotonic,
     sleep: Callable[[float], None] = wall.sleep,
@@ -35,7 +36,8 @@ def run_replay(
     content) by ``schema_name``. With ``rejects``, rows without a key or, when paced, without an event time
     go there with the reason; without it, keys may be NULL and a missing event time is an error. Paced
     messages are staged at ``chunks_path`` first; finished chunks found there are used again, and together
-    with ``log_path`` a replay that broke off goes on where it was.
+    with ``log_path`` a replay that broke off goes on where it was. A slice looks into every file of its
+    chunk: make the ``unit`` a minute when an hour fills more than some hundred files.
     """
     if schemas is not None and config.value_schema is None and config.value_format.lower() in ("avro", "protobuf"):
         config = replace(config, value_schema=lookup_schema(schemas, schema_name(config)))
@@ -54,12 +56,13 @@ def run_replay(
     if chunks_path and path_exists(spark, f"{chunks_path}/_SUCCESS"):
         chunks = load_chunks(spark, chunks_path)
     else:
-        chunks = prepare_chunks(good, chunks_path or new_path(spark, "chunks"), config)
+        chunks = prepare_chunks(good, chunks_path or new_path(spark, "chunks"), config, unit)
     write_paced(
         chunks,
         sink,
         speed=config.speed,
         slice_ms=config.slice_ms,
+        unit=unit,
         log_path=log_path,
         clock=clock,
         sleep=sleep,

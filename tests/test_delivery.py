@@ -282,7 +282,7 @@ def test_paced_replay_uses_its_chunks_again(spark, tmp_path):
     chunks = str(tmp_path / "chunks")
     for turn in ("first", "second"):
         clock, sink = Clock(), Sink("parquet", str(tmp_path / turn))
-        run_replay(spark, config, sink, chunks_path=chunks, clock=clock, sleep=clock.sleep)
+        run_replay(spark, config, sink, chunks_path=chunks, unit="minute", clock=clock, sleep=clock.sleep)
         assert read_delivered(spark, "parquet", sink.path).count() == 601
 
 
