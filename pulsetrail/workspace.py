@@ -1,4 +1,4 @@
-"""Tables a job writes for itself in the shared folder named by ``spark.checkpoint.dir``.
+"""Tables a job writes for itself in the shared folder named by ``spark.checkpoint.dir``, or else in the warehouse.
 
 Writing a table cuts the lineage: what is read back does not have to be computed again when an
 executor is lost, and every later step sees the very same rows.
@@ -6,20 +6,18 @@ executor is lost, and every later step sees the very same rows.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Folder of this application below the shared checkpoint folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="pulsetrail-")
-        spark.sparkContext.setCheckpointDir(root)
+    """Folder of this application below the shared checkpoint folder, or else below the warehouse."""
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     return f"{root.rstrip('/')}/pulsetrail-{spark.sparkContext.applicationId}"
 
 

