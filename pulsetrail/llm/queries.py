@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from pulsetrail.llm.common import table
 from pulsetrail.llm.mixing import mix
 from pulsetrail.llm.quality import METRICS, quality
+from pulsetrail.llm.token_store import read_tokens, write_tokens
+from pulsetrail.llm.warc import read_warc, resolve_revisits, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op3_warc": _warc,
+        "op4_token_store": _tokens,
         "op5_mixing": _mixing,
         "op6_quality_rules": _quality,
     }
@@ -29,3 +33,20 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select("_row.doc_id", *METRICS, "base_failed", "kept")
+
+
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_warc(table(spark, sf_dir, "pages"))
+    records = resolve_revisits(read_warc(spark, files, with_payload=False))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = write_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+    return read_tokens(spark, store, with_ids=False)
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
