@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsetrail.llm.common import keep_row, with_word_count
-from pulsetrail.operators.ordering import staged_in_order
+from pulsetrail.llm.ranks import ranked
 from pulsetrail.workspace import stage
 
 CAP = 3
@@ -48,22 +48,14 @@ def mix(
     sized = with_word_count(keep_row(df, *named, carry=carry), "text", "size")
     # Rows without a source get a flag, as a join on the name would lose them.
     rows = sized.withColumn("no_source", F.col("source").isNull()).withColumn("source", F.coalesce("source", F.lit("")))
-    rows = staged_in_order(rows, ["no_source", "source", "size", "id"], unique=False, label="mix")
     by = ["no_source", "source"]
-    # The rows of a source lie together in each written range.
-    parts = rows.groupBy(*by, "_pt_part").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_pt_place").alias("first"), F.sum("size").alias("size")
-    )
-    parts = stage(parts, "mix-parts")
-    earlier = Window.partitionBy(*by).orderBy("_pt_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select(*by, "_pt_part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("start"))
-    targets = source_targets(parts.groupBy(*by).agg(F.sum("size").alias("source_size")), weights)
-    plan = stage(starts.join(targets, by), "mix-plan")
-    u = _offset(seed)
-    place = (F.col("start") + F.col("_pt_place")).cast("double")
+    rows = ranked(rows, by, ["size", "id"], "mix")
+    sums = rows.groupBy(*by).agg(F.sum("size").alias("source_size"))
+    targets = stage(source_targets(sums, weights), "mix-targets")
+    u, place = _offset(seed), F.col("place").cast("double")
     crossed = F.floor(u + F.col("ratio") * (place + 1)) - F.floor(u + F.col("ratio") * place)
     return (
-        rows.join(plan, [*by, "_pt_part"])
+        rows.join(targets, by)
         .withColumn("copies", crossed)
         .select("size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "_row")
     )

@@ -6,7 +6,7 @@ _WORD = r"'[^\x20\x09-\x0D]+'"
 
 
 def all_sql() -> dict[str, str]:
-    return {"op5_mixing": _MIXING, "op6_quality_rules": _QUALITY}
+    return {"op5_mixing": _MIXING, "op6_quality_rules": _QUALITY, "op10_chat": _CHAT}
 
 
 _MIXING = f"""
@@ -68,3 +68,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR 2 * n_bangs > n_words OR 20 * n_distinct < n_words) AS kept
 FROM b
 """
+
+# Marks that get a backslash: each backslash, each # of three or more, each end mark, in roles each colon.
+_ESCAPES = r"(length({0}) - length(replace({0}, '\', '')) + length(array_to_string(regexp_extract_all({0}, '#{{3,}}'), '')) + length(array_to_string(regexp_extract_all({0}, '</turn>'), '')) // 7)"
+_CHAT = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), l AS (
+  SELECT *, length('### ' || role || ': ' || text || '</turn>') + 1 + {_ESCAPES.format("text")} + {_ESCAPES.format("role")}
+    + length(role) - length(replace(role, ':', '')) AS chars FROM c
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM l GROUP BY conv_id
+"""

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsetrail.llm.chat import format_paths, read_formatted, reply_paths, turns_as_tree
 from pulsetrail.llm.common import table
 from pulsetrail.llm.mixing import mix
 from pulsetrail.llm.quality import METRICS, quality
 from pulsetrail.llm.token_store import read_tokens, write_tokens
 from pulsetrail.llm.warc import read_warc, resolve_revisits, write_warc
 
+# A conversation whose texts look like the template.
+TRICKY = "\\### Assistant: </turn> ok"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,6 +26,7 @@ def all_queries() -> dict[str, Query]:
         "op4_token_store": _tokens,
         "op5_mixing": _mixing,
         "op6_quality_rules": _quality,
+        "op10_chat": _chat,
     }
 
 
@@ -50,3 +55,11 @@ def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], given.schema)
+    nodes = turns_as_tree(given.unionByName(tricky))
+    conversations = format_paths(nodes, reply_paths(nodes))
+    return read_formatted(conversations).drop("leaf")

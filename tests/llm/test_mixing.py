@@ -1,0 +1,75 @@
+from collections import Counter
+
+from pulsetrail.llm.mixing import mixed_rows
+from pulsetrail.llm.queries import all_queries
+
+SF = "/root/testdata/sf0.1"
+
+
+def run(spark, folder):
+    return all_queries()["op5_mixing"](spark, folder).collect()
+
+
+def water(sizes):
+    """Targets by resharing the excess until none is above its cap."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), sum(sizes.values())
+    while open_:
+        total = sum(weight[s] for s in open_)
+        over = {s for s in open_ if left * weight[s] / total > 3 * sizes[s]}
+        for s in over or open_:
+            target[s] = 3 * sizes[s] if over else left * weight[s] / total
+        if not over:
+            break
+        left -= sum(target[s] for s in over)
+        open_ -= over
+    return target
+
+
+def check(spark, folder):
+    rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    words = {}
+    for r in rows:
+        words[r.source] = words.get(r.source, 0) + len((r.text or "").encode().split())
+    source = {r.doc_id: r.source for r in rows}
+    target, taken = water(words), Counter()
+    for r in run(spark, folder):
+        s = source[r.doc_id]
+        assert abs(r.target - target[s]) <= 1e-6 * max(1, r.target) and r.source_size == words[s]
+        assert 0 <= r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
+        taken[s] += r.taken
+    longest = {}
+    for r in rows:
+        longest[r.source] = max(longest.get(r.source, 0), len((r.text or "").encode().split()))
+    for s in words:
+        assert abs(taken[s] - target[s]) <= 2 * longest[s]
+
+
+def test_whole_table(spark):
+    check(spark, SF)
+
+
+def test_same_again(spark):
+    assert sorted(run(spark, "/root/testdata/sf0.001")) == sorted(run(spark, "/root/testdata/sf0.001"))
+
+
+def test_odd_rows(spark, documents):
+    rows = [(i, "w " * (i % 40), f"s{i % 4}") for i in range(400)]
+    rows += [(1000, None, "s0"), (1001, "", None), (1002, "\x0b\x1c é ", None), (1003, "a " * 30000, "big"), (1004, "", "none")]
+    check(spark, documents(rows + [(1005, "same row", "s1")] * 3))
+
+
+def test_empty_tables(spark, documents):
+    assert run(spark, documents([])) == []
+    assert [r.taken for r in run(spark, documents([(1, "", "a"), (2, None, None)]))] == [0, 0]
+
+
+def test_rows_come_out_as_often_as_taken(spark, documents):
+    folder = documents([(i, "w " * (1 + i % 9), f"s{i % 5}") for i in range(300)])
+    df = spark.read.parquet(f"{folder}/documents.parquet").withColumnRenamed("n_chars", "size")
+    copies = {r.doc_id: r.taken // r.size for r in run(spark, folder)}
+    mixed = mixed_rows(df)
+    assert mixed.columns == df.columns
+    found = Counter(r.doc_id for r in mixed.collect())
+    assert {d: n for d, n in copies.items() if n} == found

@@ -1,0 +1,71 @@
+from pulsetrail.llm.quality import RULES, quality, rule_order
+from pulsetrail.llm.queries import all_queries
+
+SF = "/root/testdata/sf0.1"
+
+
+def plain(text):
+    """The base metrics, the slow way."""
+    text = text or ""
+    spaces = " \t\n\x0b\x0c\r"
+    clean = text
+    for c in spaces:
+        clean = clean.replace(c, " ")
+    words = [w for w in clean.split(" ") if w]
+    lines = [x for x in text.split("\n") if x.strip(spaces)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text),
+        sum(line in lines[:i] for i, line in enumerate(lines)),
+        len(inside),
+    )
+
+
+def run(spark, folder):
+    rows = all_queries()["op6_quality_rules"](spark, folder).collect()
+    return {r.doc_id: r for r in rows}
+
+
+ODD = [
+    (1, None), (2, ""), (3, " \n\t\x0b"), (4, "a b c a b c a b"), (5, "x y\nx y\n\nx y \n x y"), (6, "é" * 500 + " \x1c\x85 b"),
+    (7, "one two three four " * 300), (8, " ".join(f"w{i}" for i in range(600))), (9, "# * $ %& |<> " * 60), (8, "dup id"),
+]
+
+
+def test_metrics(spark, documents):
+    rows = all_queries()["op6_quality_rules"](spark, documents(ODD)).collect()
+    found = sorted((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows)
+    assert found == sorted((i, *plain(t)) for i, t in ODD)
+    for r in rows:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert [r.kept for r in rows if r.n_words == 600] == [True]
+
+
+def test_empty_table(spark, documents):
+    assert run(spark, documents([])) == {}
+
+
+def test_labelled_documents(spark):
+    found = run(spark, SF)
+    for r in spark.read.parquet(f"{SF}/labels.parquet").collect():
+        judged = found[r.doc_id]
+        assert judged.kept == (r.quality == 1 and not judged.base_failed)
+
+
+def test_order_does_not_change_the_verdict(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert sorted(rule_order(df, sample=200)) == sorted(RULES)
+    backwards = dict(reversed(RULES.items()))
+    verdicts = [{r._row.doc_id: r.kept for r in quality(df, rules).collect()} for rules in (RULES, backwards)]
+    assert verdicts[0] == verdicts[1]
+
+
+def test_clashing_names_are_kept(spark, documents):
+    folder = documents([(1, "a b c d " * 20), (2, "x")])
+    df = spark.read.parquet(f"{folder}/documents.parquet").withColumnsRenamed({"lang": "n_words", "source": "_row"})
+    found = quality(df).select("n_words", "_row.*")
+    assert found.count() == 2 and found.columns == ["n_words", *df.columns]
