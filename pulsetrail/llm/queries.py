@@ -11,6 +11,7 @@ from pulsetrail.llm.chat import format_paths, read_formatted, reply_paths, turns
 from pulsetrail.llm.common import table
 from pulsetrail.llm.mixing import mix
 from pulsetrail.llm.quality import METRICS, quality
+from pulsetrail.llm.simhash import near_groups
 from pulsetrail.llm.token_store import read_tokens, write_tokens
 from pulsetrail.llm.warc import read_warc, resolve_revisits, write_warc
 
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_simhash": _simhash,
         "op3_warc": _warc,
         "op4_token_store": _tokens,
         "op5_mixing": _mixing,
@@ -63,3 +65,7 @@ def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = turns_as_tree(given.unionByName(tricky))
     conversations = format_paths(nodes, reply_paths(nodes))
     return read_formatted(conversations).drop("leaf")
+
+
+def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
