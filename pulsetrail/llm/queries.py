@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsetrail.llm.chat import format_paths, read_formatted, reply_paths, turns_as_tree
 from pulsetrail.llm.common import table
+from pulsetrail.llm.decontam import find_items
 from pulsetrail.llm.mixing import mix
 from pulsetrail.llm.quality import METRICS, quality
 from pulsetrail.llm.simhash import near_groups
@@ -28,6 +29,7 @@ def all_queries() -> dict[str, Query]:
         "op4_token_store": _tokens,
         "op5_mixing": _mixing,
         "op6_quality_rules": _quality,
+        "op7_decontamination": _decontamination,
         "op10_chat": _chat,
     }
 
@@ -69,3 +71,8 @@ def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
+
+
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select("_row.doc_id", "item_id", "n_shared", "n_shingles", "containment")

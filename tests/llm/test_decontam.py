@@ -1,0 +1,95 @@
+import random
+
+from pulsetrail.llm.decontam import find_items, without_items
+from pulsetrail.llm.queries import all_queries
+
+SF = "/root/testdata/sf0.01"
+ITEM = "item_id bigint, text string"
+
+
+def words(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ")
+
+
+def expected(rows, items):
+    out = []
+    for item, text in items:
+        own = [w for w in words(text) if w]
+        if not own:
+            continue
+        n = min(5, len(own))
+        own = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)}
+        for doc, body in rows:
+            of = [w for w in words(body) if w]
+            shared = len(own & {tuple(of[i : i + n]) for i in range(len(of) - n + 1)})
+            if shared / len(own) >= 0.8 - 1e-12:
+                out.append((doc, item, shared, len(own), shared / len(own)))
+    return sorted(out, key=str)
+
+
+def run(spark, folder):
+    return sorted([tuple(r) for r in all_queries()["op7_decontamination"](spark, folder).collect()], key=str)
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    found = run(spark, SF)
+    assert found == expected(rows, items) and found
+
+
+def made(write, documents, rows, items):
+    folder = documents(rows)
+    spark_folder = write("benchmark", items, ITEM)
+    import os
+
+    os.symlink(f"{spark_folder}/benchmark.parquet", f"{folder}/benchmark.parquet")
+    return folder
+
+
+def cases():
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 5, 6, 9, 30, 200])))) for i in range(120)]
+    rows = []
+    for d in range(200):
+        text = rng.choices(vocabulary, k=rng.choice([0, 4, 300, 6000]))
+        for _ in range(3):
+            passage = rng.choice(items)[1].split()
+            for _ in range(rng.choice([0, 0, 1, 2, 5])):
+                passage[rng.randrange(len(passage))] = rng.choice(vocabulary)
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = passage
+        rows.append((d, rng.choice([" ", "\n", "\t "]).join(text)))
+    rows += [(900, None), (901, ""), (None, items[7][1].upper()), (3, items[7][1]), (3, items[7][1])]
+    items += [(500, None), (501, ""), (502, " \n"), (None, "Only here Ünique"), (7, items[7][1])]
+    rows.append((902, "x only Here Ünique y"))
+    return rows, items
+
+
+def test_every_match_is_found(spark, write, documents):
+    rows, items = cases()
+    assert run(spark, made(write, documents, rows, items)) == expected(rows, items)
+
+
+def test_blocks_of_items(spark, write, documents, monkeypatch):
+    from pulsetrail.llm import decontam
+
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 5000)
+    rows, items = cases()
+    folder = made(write, documents, rows, items)
+    assert run(spark, folder) == expected(rows, items)
+    hit = {r[0] for r in expected(rows, items)}
+    df = spark.read.parquet(f"{folder}/documents.parquet").withColumnRenamed("lang", "hit")
+    kept = without_items(df, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in rows if d not in hit)
+
+
+def test_empty_tables(spark, write, documents):
+    assert run(spark, made(write, documents, [], [(1, "a b")])) == []
+    folder = made(write, documents, [(1, "a b")], [])
+    assert run(spark, folder) == []
+    df = spark.read.parquet(f"{folder}/documents.parquet")
+    assert without_items(df, spark.read.parquet(f"{folder}/benchmark.parquet")).count() == 1
+    assert find_items(df, df.select(df.doc_id.alias("item_id"), "text")).count() == 1
