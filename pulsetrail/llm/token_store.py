@@ -23,18 +23,20 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import partitions, pieces
+from pulsetrail.llm.common import flat, is_space, partitions, pieces
 from pulsetrail.llm.files import make_folder, resolve
 from pulsetrail.workspace import new_path, stage
 
@@ -44,9 +46,12 @@ INDEX = (("id", "<i8"), ("has_id", "u1"), ("offset", "<i8"), ("bytes", "<i8"), (
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_IDS = 2048
 DICTIONARY_BYTES = 64 << 10
+LEVEL = 3
 FILE_BYTES = 256 << 20
+# Texts encoded at once.
+ENCODE_BYTES = 8 << 20
 # A worker forgets the words it has seen when there are more of them than this.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 
 # White space as the tokenizers library's patterns see it.
 _WS = r"\t-\r \x85\xa0  -     　"
@@ -73,36 +78,61 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
         self.after_space: dict[str, bytes] = {}
         self.other: dict[str, bytes] = {}
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
+    def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each text, serialised."""
         if len(self.after_space) + len(self.other) > CACHED_WORDS:
             self.after_space.clear()
             self.other.clear()
-        cut = [_RUNS.findall(t) if _TANGLED.search(t) else t.split(" ") for t in texts]
-        tangled = [bool(_TANGLED.search(t)) for t in texts]
-        spaced, plain = set(), set()
-        for words, odd in zip(cut, tangled):
-            if odd:
-                plain.update(words)
-            else:
-                plain.add(words[0])
-                spaced.update(words)
-        self._learn(self.other, plain, "")
-        self._learn(self.after_space, spaced, " ")
-        after_space, other = self.after_space.__getitem__, self.other.__getitem__
-        return [
-            b"".join(map(other, words)) if odd else other(words[0]) + b"".join(map(after_space, words[1:]))
-            for words, odd in zip(cut, tangled)
-        ]
-
-    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        new = list(words - known.keys())
-        kind = f"<u{self.width}"
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([before + w for w in new], add_special_tokens=False)):
-            known[word] = np.array(found.ids, kind).tobytes()
+        column = pa.compute.fill_null(column.cast(pa.large_string()), "")
+        found: list[bytes] = [b""] * len(column)
+        odd = [row for row in np.flatnonzero(_space_runs(column)).tolist() if _TANGLED.search(column[row].as_py())]
+        for row in odd:
+            words = _RUNS.findall(column[row].as_py())
+            self._learn(self.other, words, "")
+            found[row] = b"".join(map(self.other.__getitem__, words))
+        rows = np.setdiff1d(np.arange(len(column)), odd)
+        if len(rows):
+            for row, ids in zip(rows.tolist(), self._spaced(column.take(pa.array(rows)))):
+                found[row] = ids
+        return found
+
+    def _spaced(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of texts that may be cut at every space. Arrow numbers the words and lines up their ids."""
+        cut = pa.compute.split_pattern(column, " ")
+        words, bounds = cut.flatten(), cut.offsets.to_numpy()
+        coded = words.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        # The first word of a text has no space before it.
+        heads = words.take(pa.array(bounds[:-1])).to_pylist()
+        self._learn(self.after_space, names, " ")
+        self._learn(self.other, heads, "")
+        ids = [*map(self.after_space.__getitem__, names), *map(self.other.__getitem__, heads)]
+        which = coded.indices.to_numpy().astype(np.int64)
+        which[bounds[:-1]] = len(names) + np.arange(len(heads))
+        lined_up = pa.array(ids, pa.large_binary()).take(pa.array(which))
+        data = lined_up.buffers()[2].to_pybytes() if lined_up.buffers()[2] else b""
+        ends = np.frombuffer(lined_up.buffers()[1], np.int64)[bounds].tolist()
+        return (data[start:end] for start, end in zip(ends, ends[1:]))
+
+    def _learn(self, known: dict[str, bytes], words: Iterable[str], before: str) -> None:
+        new = list({w for w in words if w not in known})
+        made = self.tokenizer.encode_batch_fast([before + w for w in new], add_special_tokens=False)
+        known.update(zip(new, [array(self.kind, x.ids).tobytes() for x in made]))
+
+
+def _space_runs(column: pa.Array) -> np.ndarray:
+    """Texts in which a space comes last or before a byte that other white space may begin with."""
+    data, offsets = flat(column)
+    after = np.append(data[1:], 0)
+    odd = (data == 32) & (is_space(after) | (after == 0xC2) | ((after >= 0xE1) & (after <= 0xE3)))
+    ends = offsets[1:][offsets[1:] > offsets[:-1]] - 1
+    odd[ends] |= data[ends] == 32
+    upto = np.concatenate([[0], np.cumsum(odd)])
+    return upto[offsets[1:]] > upto[offsets[:-1]]
 
 
 @lru_cache(maxsize=2)
@@ -119,7 +149,7 @@ def train_dictionary(df: DataFrame, tokenizer: str, *, text: str = "text") -> by
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
         for batch in pieces(batches, "text"):
-            found = coder.encode([t or "" for t in batch.column("text").to_pylist()])
+            found = coder.encode(batch.column("text"))
             yield pa.RecordBatch.from_pydict({"ids": [x[: SAMPLE_IDS * coder.width] for x in found]})
 
     seen = df.select(F.col(text).alias("text")).sample(min(1.0, SAMPLE_DOCUMENTS / rows), 11)
@@ -153,9 +183,9 @@ def write_tokens(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, file, made = encoder(tokenizer), TaskContext.get().partitionId(), None, 0
         end = end_id.to_bytes(coder.width, "little")
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", ENCODE_BYTES):
             ids = batch.column("id").to_pylist()
-            for key, found in zip(ids, coder.encode([t or "" for t in batch.column("text").to_pylist()])):
+            for key, found in zip(ids, coder.encode(batch.column("text"))):
                 if file is None:
                     file = TokenFile(folder, part, made, coder.width, dictionary)
                 file.add(key, found + end)
@@ -177,7 +207,10 @@ class TokenFile:
         self.path = f"{folder}/part-{part:06d}-{number:03d}-{uuid.uuid4().hex}.ids"
         system, place = resolve(self.path)
         self.out = system.open_output_stream(place, compression=None)
-        self.compressor = zstandard.ZstdCompressor(dict_data=_dictionary(dictionary), level=3)
+        shared = _dictionary(dictionary)
+        if shared:
+            shared.precompute_compress(level=LEVEL)
+        self.compressor = zstandard.ZstdCompressor(dict_data=shared, level=LEVEL)
         self.index: dict[str, list[int]] = {name: [] for name, _ in INDEX}
         header = json.dumps({"version": 1, "width": width, "dictionary": hashlib.sha256(dictionary).hexdigest()}).encode()
         self.place = self.out.write(MAGIC + struct.pack("<I", len(header)) + header)
