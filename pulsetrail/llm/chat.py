@@ -74,38 +74,41 @@ def reply_paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     links = links.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score"
     )
-    reach = stage(links.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint")), "chat-links")
-    rows, steps = reach.count(), [reach]
-    while not reach.filter("up IS NOT NULL").isEmpty():
-        if 1 << (len(steps) - 1) > rows:
+    start = stage(links.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint")), "chat-links")
+    rows = start.count()
+    # Only messages that have not arrived at their root are joined again.
+    arrived, under_way, steps = start.filter("up IS NULL"), start.filter("up IS NOT NULL"), []
+    while not under_way.isEmpty():
+        if 1 << len(steps) > rows:
             raise ValueError("messages are their own ancestors")
-        above = reach.select(
+        steps.append(under_way)
+        above = arrived.unionByName(under_way).select(
             "tree",
             F.col("node").alias("up"),
             F.col("up").alias("next"),
             F.col("score").alias("more"),
             F.col("depth").alias("further"),
         )
-        reach = reach.join(above, ["tree", "up"], "left").select(
+        further = under_way.join(above, ["tree", "up"]).select(
             "tree",
             "node",
             F.col("next").alias("up"),
-            (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"),
+            (F.col("score") + F.col("more")).alias("score"),
+            (F.col("depth") + F.col("further")).alias("depth"),
         )
-        reach = stage(reach, "chat-links")
-        steps.append(reach)
-    inner = links.filter("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
-    leaves = reach.join(inner, ["tree", "node"], "left_anti")
+        further = stage(further, "chat-links")
+        arrived = arrived.unionByName(further.filter("up IS NULL"))
+        under_way = further.filter("up IS NOT NULL")
+    inner = start.filter("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
+    leaves = arrived.join(inner, ["tree", "node"], "left_anti")
     if branches is not None:
         best = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
         leaves = leaves.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= branches)
     paths = leaves.select("tree", F.col("node").alias("leaf"), "node", "depth")
     # Each message of a path also brings the one 2^k links above it; from the longest links down, every
     # distance comes up once.
-    for k, step in reversed(list(enumerate(steps[:-1]))):
-        link = step.filter("up IS NOT NULL").select("tree", "node", "up")
-        higher = paths.join(link, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
+    for k, step in reversed(list(enumerate(steps))):
+        higher = paths.join(step.select("tree", "node", "up"), ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
         paths = stage(paths.select("tree", "leaf", "node", "depth").unionByName(higher), "chat-paths")
     return paths
 

@@ -13,15 +13,18 @@ def words(text):
 
 def expected(rows, items):
     out = []
+    runs = {}
+    for d, (_, body) in enumerate(rows):
+        of = [w for w in words(body) if w]
+        runs[d] = {n: {tuple(of[i : i + n]) for i in range(len(of) - n + 1)} for n in range(1, 6)}
     for item, text in items:
         own = [w for w in words(text) if w]
         if not own:
             continue
         n = min(5, len(own))
         own = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)}
-        for doc, body in rows:
-            of = [w for w in words(body) if w]
-            shared = len(own & {tuple(of[i : i + n]) for i in range(len(of) - n + 1)})
+        for d, (doc, _) in enumerate(rows):
+            shared = len(own & runs[d][n])
             if shared / len(own) >= 0.8 - 1e-12:
                 out.append((doc, item, shared, len(own), shared / len(own)))
     return sorted(out, key=str)
