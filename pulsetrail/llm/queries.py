@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsetrail.llm.chat import format_paths, read_formatted, reply_paths, turns_as_tree
 from pulsetrail.llm.common import table
 from pulsetrail.llm.decontam import find_items
+from pulsetrail.llm.html_extract import main_text
 from pulsetrail.llm.mixing import mix
 from pulsetrail.llm.quality import METRICS, quality
 from pulsetrail.llm.simhash import near_groups
@@ -30,6 +31,7 @@ def all_queries() -> dict[str, Query]:
         "op5_mixing": _mixing,
         "op6_quality_rules": _quality,
         "op7_decontamination": _decontamination,
+        "op9_html_extraction": _html,
         "op10_chat": _chat,
     }
 
@@ -76,3 +78,8 @@ def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.select("_row.doc_id", "item_id", "n_shared", "n_shingles", "containment")
+
+
+def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return found.select("_row.page_id", "_row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
