@@ -14,6 +14,7 @@ from pulsetrail.llm.html_extract import main_text
 from pulsetrail.llm.mixing import mix
 from pulsetrail.llm.quality import METRICS, quality
 from pulsetrail.llm.simhash import near_groups
+from pulsetrail.llm.substrings import cut_repeats
 from pulsetrail.llm.token_store import read_tokens, write_tokens
 from pulsetrail.llm.warc import read_warc, resolve_revisits, write_warc
 
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def all_queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
+        "op2_suffix_array": _repeats,
         "op3_warc": _warc,
         "op4_token_store": _tokens,
         "op5_mixing": _mixing,
@@ -83,3 +85,7 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = main_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
     return found.select("_row.page_id", "_row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents"))
