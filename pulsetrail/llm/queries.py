@@ -12,6 +12,7 @@ from pulsetrail.llm.common import table
 from pulsetrail.llm.decontam import find_items
 from pulsetrail.llm.html_extract import main_text
 from pulsetrail.llm.mixing import mix
+from pulsetrail.llm.passages import near_passages
 from pulsetrail.llm.quality import METRICS, quality
 from pulsetrail.llm.simhash import near_groups
 from pulsetrail.llm.substrings import cut_repeats
@@ -33,6 +34,7 @@ def all_queries() -> dict[str, Query]:
         "op5_mixing": _mixing,
         "op6_quality_rules": _quality,
         "op7_decontamination": _decontamination,
+        "op8_compact_windows": _passages,
         "op9_html_extraction": _html,
         "op10_chat": _chat,
     }
@@ -89,3 +91,7 @@ def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents"))
+
+
+def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_passages(table(spark, sf_dir, "documents"))

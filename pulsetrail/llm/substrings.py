@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsetrail.llm.common import flat, mix64, partitions, pieces, texts
+from pulsetrail.llm.shared_keys import shared_keys, sized, text_id
 from pulsetrail.llm.suffix_sort import PERIOD, repeated
 from pulsetrail.workspace import stage
 
@@ -44,13 +45,8 @@ HOT = 20_000
 PIECE = 2 << 20
 PLACE_BITS = 22  # PIECE + LENGTH is below 2 ** 22
 BLOCK = 4 << 20
-# Keys are sent off when a task has this many.
-SEND = 1 << 20
-# Tables up to this size are sent to all tasks; larger ones are joined by shuffle.
-BROADCAST_BYTES = 16 << 20
 
 BASE = 0x9E3779B97F4A7C15
-_UNIT = (1 << 64) - 1
 CONTEXT, SPAN, WINDOW = range(3)
 
 
@@ -60,8 +56,7 @@ def cut_repeats(df: DataFrame, *, id: str = "doc_id", text: str = "text") -> Dat
     body = F.coalesce(F.col(text), F.lit(""))
     docs = df.select(
         F.col(id).cast("bigint").alias("id"),
-        # The lowest bit is left free, see KEY.
-        F.xxhash64(body).bitwiseAND(F.lit(-2).cast("bigint")).alias("t"),
+        text_id(body).alias("t"),
         F.xxhash64(F.lit("second"), body).alias("u"),
         body.alias("text"),
     )
@@ -71,7 +66,7 @@ def cut_repeats(df: DataFrame, *, id: str = "doc_id", text: str = "text") -> Dat
         F.collect_list(F.when(F.col("start").isNotNull(), F.struct("start", "stop"))).alias("spans"),
     )
     per_text = stage(per_text, "repeats")
-    known = docs.join(_sized(per_text, 48), ["t", "u"], "left").select("id", "text", "copies", "spans")
+    known = docs.join(sized(per_text, 48), ["t", "u"], "left").select("id", "text", "copies", "spans")
     return known.mapInArrow(_cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -109,9 +104,9 @@ def _spans(docs: DataFrame) -> DataFrame:
     long = docs.filter(F.octet_length("text") >= LENGTH)
     counted = long.groupBy("t", "u").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("rep"))
     copies = stage(counted.filter("n > 1"), "repeats-copies")
-    shared = stage(_shared_keys(long.select("t", "text")), "repeats-keys")
-    one_each = long.join(_sized(copies, 40), ["t", "u"], "left").filter(F.col("n").isNull() | F.col("id").eqNullSafe(F.col("rep")))
-    wanted = one_each.select("t", "u", "text").join(_sized(shared, 40, "n"), "t").select("t", "u", "text", "keys", "hot")
+    shared = stage(shared_keys(long.select("t", "text"), anchors, PIECE, HOT), "repeats-keys")
+    one_each = long.join(sized(copies, 40), ["t", "u"], "left").filter(F.col("n").isNull() | F.col("id").eqNullSafe(F.col("rep")))
+    wanted = one_each.select("t", "u", "text").join(sized(shared, 40, "n"), "t").select("t", "u", "text", "keys", "hot")
     sent = stage(wanted.mapInArrow(_send_windows, _SENT), "repeats-windows")
     spark = docs.sparkSession
     contexts = sent.filter(F.col("kind") == CONTEXT).repartition(partitions(spark), "key").sortWithinPartitions("key")
@@ -126,106 +121,6 @@ def _spans(docs: DataFrame) -> DataFrame:
     return spans.unionByName(whole)
 
 
-def _sized(table: DataFrame, row_bytes: int, inner: str | None = None) -> DataFrame:
-    """``table``, sent to all tasks if its rows, and numbers in the column ``inner``, are few enough."""
-    size = table.agg(F.count(F.lit(1)) * row_bytes + F.coalesce(F.sum(inner) * 8 if inner else F.lit(0), F.lit(0))).first()[0]
-    return F.broadcast(table) if size <= BROADCAST_BYTES else table
-
-
-# --- screen -------------------------------------------------------------------------------------
-
-
-def _shared_keys(docs: DataFrame) -> DataFrame:
-    """For texts with shared keys: t, keys (the upper half of each), hot (keys that very many texts share)."""
-    spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        waiting = 0
-        for batch in pieces(batches, "text", PIECE):
-            of = batch.column("t").to_numpy().view(np.uint64)
-            for found in anchors(batch.column("text")):
-                held.append(_once(found["key"], of[found["row"]]))
-                waiting += len(held[-1])
-            if waiting >= SEND:
-                yield _buckets(np.concatenate(held), buckets)
-                held, waiting = [], 0
-        if waiting:
-            yield _buckets(np.concatenate(held), buckets)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = [], None
-        for batch in batches:
-            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist()):
-                if bucket != at and held:
-                    yield _keys_of(held)
-                    held = []
-                at = bucket
-                held.append(np.frombuffer(data, KEY))
-        if held:
-            yield _keys_of(held)
-
-    sent = docs.mapInArrow(send, "bucket int, data binary")
-    together = sent.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
-    keys = together.mapInArrow(count, "t bigint, key int, hot boolean")
-    hot = F.when(F.col("hot"), F.col("key"))
-    return keys.groupBy("t").agg(
-        F.collect_list(F.when(~F.col("hot"), F.col("key"))).alias("keys"), F.collect_list(hot).alias("hot"), F.count(F.lit(1)).alias("n")
-    )
-
-
-# A key and its text, in the lowest bit of which stands whether the text has the key twice.
-KEY = np.dtype([("key", "<u8"), ("text", "<u8")])
-_TEXT = np.uint64(_UNIT - 1)
-
-
-def _once(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Each key of a text once."""
-    of = of & _TEXT
-    order = np.lexsort([of, keys])
-    keys, of = keys[order], of[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
-    first = np.flatnonzero(new)
-    twice = np.diff(np.append(first, len(keys))) > 1
-    out = np.empty(len(first), KEY)
-    out["key"], out["text"] = keys[first], of[first] | twice.astype(np.uint64)
-    return out
-
-
-def _buckets(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
-    bucket = (rows["key"] % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    rows, bucket = rows[order], bucket[order]
-    names, first = np.unique(bucket, return_index=True)
-    ends = np.append(first[1:], len(rows))
-    data = [rows[a:b].tobytes() for a, b in zip(first, ends)]
-    return pa.RecordBatch.from_arrays([pa.array(names), pa.array(data, pa.binary())], ["bucket", "data"])
-
-
-def _keys_of(held: list[np.ndarray]) -> pa.RecordBatch:
-    """The rows of one bucket whose key another text has too, or the text itself twice."""
-    rows = np.concatenate(held)
-    twice = (rows["text"] & ~_TEXT) > 0
-    key, text = rows["key"], rows["text"] & _TEXT
-    order = np.lexsort([text, key])
-    key, text, twice = key[order], text[order], twice[order]
-    new_key = np.ones(len(key), bool)
-    new_key[1:] = key[1:] != key[:-1]
-    new = new_key.copy()
-    new[1:] |= text[1:] != text[:-1]
-    row = np.flatnonzero(new)
-    group = np.cumsum(new_key[row]) - 1
-    members = np.bincount(group)
-    twice = np.bitwise_or.reduceat(twice, row) if len(row) else twice
-    self_shared = np.bincount(group, twice) > 0
-    chosen = (members[group] > 1) | self_shared[group]
-    row, hot = row[chosen], members[group][chosen] > HOT
-    short = (key[row] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(text[row].view(np.int64)), pa.array(short), pa.array(hot)], ["t", "key", "hot"])
-
-
 # --- windows ------------------------------------------------------------------------------------
 
 _SENT = "kind int, key bigint, second bigint, t bigint, u bigint, start bigint, windows int, anchor int, context binary"

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pulsetrail.llm import substrings, suffix_sort
+from pulsetrail.llm import shared_keys, substrings, suffix_sort
 from pulsetrail.llm.queries import all_queries
 from pulsetrail.llm.suffix_sort import COVER, MEET, PERIOD, Buffer, repeated, sort_bucket
 
@@ -117,7 +117,7 @@ def test_hot_keys(spark, documents):
 
 
 def test_shuffled_joins(spark, documents, monkeypatch):
-    monkeypatch.setattr(substrings, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(shared_keys, "BROADCAST_BYTES", -1)
     rows = cases()[:40]
     assert run(spark, documents(rows)) == expected(rows)
 
