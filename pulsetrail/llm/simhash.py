@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pulsetrail.llm.common import LOWER, keep_row, mix64, pieces, texts
 from pulsetrail.llm.components import components
 from pulsetrail.llm.gray_index import gray_links
+from pulsetrail.llm.shared_keys import sized
 from pulsetrail.workspace import stage
 
 SEED = 42
@@ -159,6 +160,8 @@ def without_near_copies(df: DataFrame, *, id: str = "doc_id", text: str = "text"
     again = stage(again.select("id", "text_key"), "copies-again")
     rows = keep_row(df, F.col(id).cast("bigint").alias("id"), _text_key(text).alias("text_key"))
 
+    gone, again = sized(gone, 32), sized(again, 32)
+
     def same(listed: DataFrame):
         return rows["id"].eqNullSafe(listed["id"]) & (rows["text_key"] == listed["text_key"])
 
@@ -178,7 +181,7 @@ def _word_runs(rows: DataFrame, entries: DataFrame, pairs: DataFrame, shingle: i
     """The sorted hashes of the word runs of every entry in ``pairs``: words_key, runs."""
     wanted = pairs.select(F.col("a").alias("words_key")).unionByName(pairs.select(F.col("b").alias("words_key"))).distinct()
     first = entries.join(wanted, "words_key", "left_semi").select("words_key", "first.id", "first.text_key")
-    first = stage(first, "copies-wanted")
+    first = sized(stage(first, "copies-wanted"), 40)
     same = rows["id"].eqNullSafe(first["id"]) & (rows["text_key"] == first["text_key"])
     # Of rows that agree in id and text any does.
     chosen = rows.join(first, same).select("words_key", "text")
