@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # The ASCII white space between words: space, tab, line feed, vertical tab, form feed, return.
 SPACES = b" \t\n\x0b\x0c\r"
+# Rows handed to Python at once; some megabytes of text as a rule.
+BATCH_ROWS = 500
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -19,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, with few rows at a time handed to Python, as a row may be a long text."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -28,7 +36,7 @@ def keep_row(df: DataFrame, *columns: Column, carry: Sequence[str] | None = None
 
     ``carry`` names what of the row is needed; by default all of it.
     """
-    return df.select(*columns, F.struct(*[F.col(f"`{c}`") for c in carry or df.columns]).alias("_row"))
+    return bound_batches(df).select(*columns, F.struct(*[F.col(f"`{c}`") for c in carry or df.columns]).alias("_row"))
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -83,7 +91,7 @@ def count_words(column: pa.Array) -> np.ndarray:
 
 def with_word_count(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` without the column ``text`` and with the number of its words as ``name``."""
-    kept = [c for c in df.columns if c != text]
+    kept = [c for c in bound_batches(df).columns if c != text]
     schema = df.select(*kept).withColumn(name, F.lit(0).cast("bigint")).schema
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import LOWER, keep_row, mix64, pieces, texts
+from pulsetrail.llm.common import LOWER, bound_batches, keep_row, mix64, pieces, texts
 from pulsetrail.llm.components import components
 from pulsetrail.llm.gray_index import gray_links
 from pulsetrail.llm.shared_keys import sized
@@ -66,7 +66,7 @@ def fingerprints(df: DataFrame, *, id: str = "doc_id", text: str = "text", shing
             fps = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps)], ["id", "fp"])
 
-    rows = df.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    rows = bound_batches(df).select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(hashed, "id bigint, fp bigint")
 
 
@@ -115,7 +115,7 @@ def near_copies(
     moves these little. Every candidate is checked by its runs of words. Tasks compare pairs of texts,
     and a group of any size is compared as a tree of links, not as all its pairs.
     """
-    rows = df.select(F.col(id).cast("bigint").alias("id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
+    rows = bound_batches(df).select(F.col(id).cast("bigint").alias("id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
     names = [f"fp{s}" for s in range(len(seeds))]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

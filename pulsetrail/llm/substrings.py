@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import flat, mix64, partitions, pieces, texts
+from pulsetrail.llm.common import bound_batches, flat, mix64, partitions, pieces, texts
 from pulsetrail.llm.shared_keys import shared_keys, sized, text_id
 from pulsetrail.llm.suffix_sort import PERIOD, repeated
 from pulsetrail.workspace import stage
@@ -54,7 +54,7 @@ def cut_repeats(df: DataFrame, *, id: str = "doc_id", text: str = "text") -> Dat
     """A row for each of ``df``: doc_id, n_bytes, n_removed, n_spans (runs of removed bytes) and
     kept_sha256 of what is left."""
     body = F.coalesce(F.col(text), F.lit(""))
-    docs = df.select(
+    docs = bound_batches(df).select(
         F.col(id).cast("bigint").alias("id"),
         text_id(body).alias("t"),
         F.xxhash64(F.lit("second"), body).alias("u"),

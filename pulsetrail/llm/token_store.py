@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import flat, is_space, partitions, pieces
+from pulsetrail.llm.common import bound_batches, flat, is_space, partitions, pieces
 from pulsetrail.llm.files import make_folder, resolve
 from pulsetrail.workspace import new_path, stage
 
@@ -177,7 +177,7 @@ def write_tokens(
     system, place = resolve(folder)
     with system.open_output_stream(f"{place}/dictionary", compression=None) as out:
         out.write(dictionary)
-    rows = df.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    rows = bound_batches(df).select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     in_order = rows.repartitionByRange(partitions(spark), "id").sortWithinPartitions("id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

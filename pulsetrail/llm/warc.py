@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import partitions, pieces, texts
+from pulsetrail.llm.common import bound_batches, partitions, pieces, texts
 from pulsetrail.llm.files import make_folder, resolve
 from pulsetrail.workspace import new_path, stage
 
@@ -55,7 +55,7 @@ def write_warc(
     folder = folder or new_path(spark, "warc")
     make_folder(folder)
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = df.select(F.col(id).cast("bigint").alias("id"), F.col(url).alias("url"), body.alias("payload"))
+    rows = bound_batches(df).select(F.col(id).cast("bigint").alias("id"), F.col(url).alias("url"), body.alias("payload"))
     digest = F.sha2("payload", 256)
     same = (
         rows.filter(F.octet_length("payload") >= min_bytes)
