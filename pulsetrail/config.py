@@ -9,7 +9,7 @@ from pulsetrail.fixed_values import EXCLUDED_COLUMNS
 
 VALUE_FORMATS = ("json", "binary", "avro", "protobuf")
 KEY_FORMATS = ("string", "json", "avro", "protobuf")
-SHORTEST_SLICE_MS = 1000
+DEFAULT_SLICE_MS = 1000
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,7 @@ class Sink:
 class ReplayConfig:
     """One replay of one day of a table.
 
+    ``equal`` narrows further columns of the table, such as the fab, to one value each.
     ``batch_size`` rows make a batch of ``replay_batches``; a paced write goes by slices that take about
     ``slice_ms`` each. Schemas are the Avro schema text or the Protobuf message name, descriptors the path of
     a Protobuf descriptor file.
@@ -47,10 +48,11 @@ class ReplayConfig:
     source_table: str = ""
     target_date: str = ""
     date_column: str = "dt"
+    equal: Mapping[str, str] = field(default_factory=dict)
     speed: float = 1.0
     batch_size: int = 10_000
     max_speed: bool = False
-    slice_ms: int = SHORTEST_SLICE_MS
+    slice_ms: int = DEFAULT_SLICE_MS
     value_format: str = "json"
     value_schema: str | None = None
     value_descriptor: str | None = None
@@ -76,8 +78,8 @@ class ReplayConfig:
             raise ValueError(f"speed must be above 0, got {self.speed}")
         if self.batch_size <= 0:
             raise ValueError(f"batch_size must be above 0, got {self.batch_size}")
-        if self.slice_ms < SHORTEST_SLICE_MS:
-            raise ValueError(f"slice_ms must be at least {SHORTEST_SLICE_MS}, got {self.slice_ms}")
+        if self.slice_ms <= 0:
+            raise ValueError(f"slice_ms must be above 0, got {self.slice_ms}")
         _check_format("value", self.value_format, VALUE_FORMATS, self.value_schema, self.value_descriptor)
         _check_format("key", self.key_format, KEY_FORMATS, self.key_schema, self.key_descriptor)
         return self

@@ -25,6 +25,9 @@ TRACE_ARRAYS = (
 )
 PARAM_COLUMNS = ("param_name", "param_alias", "param_svid")
 
+# --- numbers in text: plain decimals only, so that no text turns into infinity or no number ------
+PLAIN_NUMBER = r"^[+-]?([0-9]{1,100}([.][0-9]*)?|[.][0-9]{1,100})([eE][+-]?[0-9]{1,2})?$"
+
 # --- summary table ----------------------------------------------------------------------------
 SUMMARY_GROUP = (
     "eqp_id", "module_name", "lot_id", "slot_id", "oper_id", "oper_desc", "recipe_id", "ppid",
@@ -40,21 +43,3 @@ SUMMARY_ARRAYS = (
 SUMMARY_PERCENTILES = (
     ("median_val", 0.5), ("p05_val", 0.05), ("p10_val", 0.10), ("p90_val", 0.90), ("p95_val", 0.95),
 )
-
-# --- generated sample rows ----------------------------------------------------------------------
-EVENT_TYPES = ("click", "view", "purchase", "other")
-SECOND_DAY_EVENT_OFFSET = 1000
-SECOND_DAY_LOT_START = 100
-PARAM_NAMES = ("TEMP", "PRESSURE", "FLOW", "TIME", "POWER")
-PARAM_ALIASES = ("Temperature", "Pressure", "Flow Rate", "Process Time", "RF Power")
-PARAM_SVIDS = ("SVID_001", "SVID_002", "SVID_003", "SVID_004", "SVID_005")
-BATCH_TYPES = ("NORMAL", "HOT", "MONITOR")
-# (lowest value, width of the random part) per parameter
-PARAM_RANGES = {
-    "param_value": ((200, 100), (500, 200), (100, 50), (30, 20), (1000, 500)),
-    "target": ((250, 20), (600, 50), (125, 10), (40, 5), (1200, 100)),
-    "lsl": ((150, 20), (400, 50), (80, 10), (20, 5), (800, 100)),
-    "lcl": ((180, 20), (450, 50), (90, 10), (25, 5), (900, 100)),
-    "ucl": ((320, 20), (750, 50), (160, 10), (55, 5), (1500, 100)),
-    "usl": ((350, 20), (800, 50), (170, 10), (60, 5), (1600, 100)),
-}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsetrail.config import ReplayConfig
 from pulsetrail.functions.encoders import Encoder, choose_encoder
@@ -69,4 +70,22 @@ def _value(df: DataFrame, names: list[str], config: ReplayConfig, encoder: Encod
         )
     if not names:
         raise ValueError("no column is left for the value")
+    if config.value_format.lower() in ("avro", "protobuf"):
+        return encoder(plain_columns(df, names))
     return encoder([column(name) for name in names])
+
+
+def plain_columns(df: DataFrame, names: list[str]) -> list[Column]:
+    """Columns in the types a message schema knows: numbers, booleans, text and bytes as they are, timestamps
+    as milliseconds, everything else as text (nested values as JSON)."""
+
+    def plain(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return event_time_ms(df, name).alias(name)
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            return F.to_json(column(name)).alias(name)
+        known = (T.StringType, T.BinaryType, T.BooleanType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+        return column(name) if isinstance(kind, known) else column(name).cast("string").alias(name)
+
+    return [plain(name) for name in names]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import time as wall
+import uuid
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +19,19 @@ from pulsetrail.functions.columns import UNIT_MS, event_time_ms, floor_to
 from pulsetrail.operators.envelope import message_columns
 from pulsetrail.operators.ordering import range_sorted
 from pulsetrail.operators.roles import resolve_roles
-from pulsetrail.operators.schedule import pending_slices, replay_slices
+from pulsetrail.operators.schedule import replay_slices, uncovered
 from pulsetrail.sources.tables import between
-from pulsetrail.workspace import path_exists
+from pulsetrail.workspace import path_exists, remove, write_text
 
-DELIVERY_LOG = "slice_id bigint, rows bigint, due_ms bigint, late_ms bigint"
+# Of a slice that was sent: its stretch of event time, which is what it is known by, its rows, when it was
+# due after the start of the write, and how much later it began.
+DELIVERY_LOG = "from_ms bigint, to_ms bigint, rows bigint, due_ms bigint, late_ms bigint"
+# A range of a staged day takes about so many bytes of its table.
+RANGE_BYTES = 256 << 20
+# So many notes of a delivery log are put together in one file.
+NOTES = 500
+# So many slices may be on their way at once, so that a slow one does not hold up the next.
+UNDER_WAY = 4
 
 
 def write_messages(df: DataFrame, sink: Sink) -> None:
@@ -49,8 +61,8 @@ def prepare_chunks(
     table read back: a folder (``chunk``) per ``unit`` of event time, files sorted by time, then key.
 
     Rows are put in order first and turned into messages after the shuffle. Tasks take ranges of the
-    order, as many as ``ranges`` or else shuffle partitions, so a busy hour is spread over several files
-    and a quiet one shares its task with others. Pass ``unique_key=True`` when time and key together never
+    order, as many as ``ranges`` or else one for each ``RANGE_BYTES`` of the table but no fewer than shuffle
+    partitions, so a busy hour is spread over several files and a quiet one shares its task with others. Pass ``unique_key=True`` when time and key together never
     repeat. Rows without an event time are kept in a chunk of their own (NULL), which no stretch of time
     takes in; ``split_rejects`` sorts them out beforehand.
     """
@@ -61,13 +73,18 @@ def prepare_chunks(
     at = event_time_ms(df, roles.time)
     timed = df.withColumns({"_pt_at": at, "_pt_chunk": floor_to(at, UNIT_MS[unit])})
     # A task opens one file after another, so even a small day is spread over all of them.
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // RANGE_BYTES))
     placed = range_sorted(timed, ["_pt_chunk", "_pt_at", roles.key], unique=unique_key, ranges=ranges)
     messages = placed.select(*message_columns(df, config), F.col("_pt_chunk").alias("chunk"))
     messages.write.partitionBy("chunk").parquet(path)
     return spark.read.schema(messages.schema).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes that Spark expects ``df`` to have; the size of its files when nothing better is known."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def chunk_manifest(df: DataFrame) -> DataFrame:
     """Staged messages per chunk: how many, first and last event time."""
     return df.groupBy("chunk").agg(
@@ -92,39 +109,85 @@ def write_paced(
 
     The driver only sees the slice table, in order and a partition at a time. It waits until a slice is
     due, measured from the first one so that delays do not add up, and starts one distributed write that
-    reads no more than that slice.
+    reads no more than that slice; up to ``UNDER_WAY`` of them run at once.
 
-    With a ``log_path`` each sent slice is noted there, and a later call goes on after the noted ones. A
-    slice that failed midway is sent again: a sink with a path holds a folder per slice and replaces it, a
-    Kafka topic may receive its messages twice.
+    With a ``log_path`` each sent slice is noted there by its stretch of event time, and a later call sends
+    what no note covers, at whatever speed or length of slices it goes. A slice that failed midway is
+    sent again: a sink with a path holds a folder per stretch and replaces it, a Kafka topic may receive
+    its messages twice. Messages without an event time have no place in the rhythm and are refused.
     """
+    if not speed > 0 or slice_ms <= 0:
+        raise ValueError(f"speed and slice_ms must be above 0, got {speed} and {slice_ms}")
     spark = chunks.sparkSession
-    slices = replay_slices(chunks, speed, slice_ms)
-    if log_path:
-        slices = pending_slices(slices, read_log(spark, log_path))
+    log = DeliveryLog(spark, log_path) if log_path else None
+    delivered = log.delivered() if log else []
     started = first_due = None
-    sent = 0
-    for one in slices.orderBy("slice_id").toLocalIterator():
-        if started is None:
-            started, first_due = clock(), one["due_ms"]
-        wait = (one["due_ms"] - first_due) / 1000 - (clock() - started)
-        if wait > 0:
-            sleep(wait)
-        late_ms = round((clock() - started) * 1000) - (one["due_ms"] - first_due)
-        messages = between(chunks, one["from_ms"], one["to_ms"], unit)
-        write_messages(messages, sink.under(f"slice_id={one['slice_id']}"))
-        sent += 1
-        if log_path:
-            note = [(one["slice_id"], one["rows"], one["due_ms"], late_ms)]
-            spark.createDataFrame(note, DELIVERY_LOG).coalesce(1).write.mode("append").json(log_path)
-    return sent
+    sent: list[Future] = []
+
+    def deliver(start: int, stop: int, note: dict) -> None:
+        messages = between(chunks, start, stop, unit)
+        write_messages(messages, sink.under(f"from_ms={start}"))
+        if log:
+            log.add({"from_ms": start, "to_ms": stop, **note})
+
+    with ThreadPoolExecutor(UNDER_WAY) as pool:
+        # A slice without a number comes first.
+        for one in replay_slices(chunks, speed, slice_ms).orderBy("slice_id").toLocalIterator():
+            if one["slice_id"] is None:
+                raise ValueError(f"{one['rows']} messages have no event time; split_rejects sorts them out")
+            for start, stop in uncovered(one["from_ms"], one["to_ms"], delivered):
+                due = one["due_ms"] + round((start - one["from_ms"]) / speed)
+                rows = one["rows"]
+                if (start, stop) != (one["from_ms"], one["to_ms"]):
+                    rows = between(chunks, start, stop, unit).count()
+                    if not rows:
+                        continue
+                if started is None:
+                    started, first_due = clock(), due
+                wait = (due - first_due) / 1000 - (clock() - started)
+                if wait > 0:
+                    sleep(wait)
+                late_ms = round((clock() - started) * 1000) - (due - first_due)
+                for earlier in sent:
+                    if earlier.done():
+                        earlier.result()
+                sent.append(pool.submit(deliver, start, stop, {"rows": rows, "due_ms": due, "late_ms": late_ms}))
+    for earlier in sent:
+        earlier.result()
+    return len(sent)
+
+
+class DeliveryLog:
+    """Notes of sent slices as small JSON files, written without a Spark job; several make one file."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.loose: list[tuple[str, str]] = []
+        self.lock = Lock()
+
+    def delivered(self) -> list[tuple[int, int]]:
+        """The stretches noted; as many as slices, so they follow the length of the day."""
+        return [(r.from_ms, r.to_ms) for r in read_log(self.spark, self.path).select("from_ms", "to_ms").distinct().collect()]
+
+    def add(self, note: dict) -> None:
+        with self.lock:
+            line = json.dumps(note)
+            name = f"{self.path}/note-{uuid.uuid4().hex}.json"
+            write_text(self.spark, name, line)
+            self.loose.append((name, line))
+            if len(self.loose) >= NOTES:
+                write_text(self.spark, f"{self.path}/notes-{uuid.uuid4().hex}.json", "\n".join(x for _, x in self.loose))
+                for name, _ in self.loose:
+                    remove(self.spark, name)
+                self.loose.clear()
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The slices a paced write has noted; none when there is no log yet."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], DELIVERY_LOG)
-    return spark.read.schema(DELIVERY_LOG).json(path)
+    # A note can be there twice when a write ended while notes were put together.
+    return spark.read.schema(DELIVERY_LOG).json(path).distinct()
 
 
 def check_sink(spark: SparkSession, sink: Sink) -> None:

@@ -1,10 +1,13 @@
 """When each row, batch or slice of an ordered day is due.
 
-Rows without an event time have no place in a schedule; ``split_rejects`` hands them out.
+Rows without an event time have no place in a schedule. They stay in every result, with NULL for what
+depends on the time: as rows of the schedule, as one batch and one slice without a number.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +27,8 @@ def replay_schedule(df: DataFrame, speed: float, time: str = "event_time_ms") ->
     It is measured from the first event of the whole table, so gaps keep their length at every scale
     and errors do not add up. One pass plus a minimum; no sort.
     """
-    timed = df.filter(F.col(time).isNotNull())
-    first = timed.agg(F.min(time)).scalar()
-    return timed.withColumn("due_ms", F.floor((F.col(time) - first) / F.lit(float(speed))))
+    first = df.agg(F.min(time)).scalar()
+    return df.withColumn("due_ms", F.floor((F.col(time) - first) / F.lit(float(speed))))
 
 
 def replay_batches(df: DataFrame, batch_size: int, speed: float, time: str = "event_time_ms") -> DataFrame:
@@ -37,10 +39,17 @@ def replay_batches(df: DataFrame, batch_size: int, speed: float, time: str = "ev
     fixed limits.
 
     Which rows share a millisecond does not matter for any of these, so only a count per millisecond is
-    shuffled and ranked. However many rows fall on one millisecond, they are a single row from there on.
+    shuffled and ranked. However many rows fall on one millisecond, they are a single row until it is cut
+    into batches, which is spread over tasks.
     """
-    per_ms = df.filter(F.col(time).isNotNull()).groupBy(F.col(time).alias("ms")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(per_ms, "ms", {"n": "upto"}, UNIT_MS["hour"])
+    counts = df.groupBy(F.col(time).alias("ms")).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("bigint")
+    untimed = counts.filter("ms IS NULL").select(
+        none.alias("batch_id"),
+        F.col("n").alias("rows"),
+        *[none.alias(name) for name in ("first_ms", "last_ms", "pause_s")],
+    )
+    ranked = running_totals(counts.filter("ms IS NOT NULL"), "ms", {"n": "upto"}, UNIT_MS["hour"])
 
     size = F.lit(int(batch_size)).cast("bigint")
     spans = ranked.select(
@@ -51,6 +60,7 @@ def replay_batches(df: DataFrame, batch_size: int, speed: float, time: str = "ev
         _div(F.col("upto") - 1, size).alias("to_batch"),
     )
     strides = spans.withColumn("stride", F.explode(F.sequence("from_batch", "to_batch", F.lit(STRIDE).cast("bigint"))))
+    strides = strides.repartition("stride")
     stride_end = F.least(F.col("stride") + (STRIDE - 1), F.col("to_batch"))
     pieces = strides.withColumn("batch_id", F.explode(F.sequence(F.col("stride"), stride_end)))
 
@@ -81,20 +91,28 @@ def replay_batches(df: DataFrame, batch_size: int, speed: float, time: str = "ev
         .filter("rows > 0")
     )
     gap_ms = F.col("last_ms") - F.coalesce("previous_ms", "first_ms")
-    return batches.select("batch_id", "rows", "first_ms", "last_ms", _pause(gap_ms, speed).alias("pause_s"))
+    timed = batches.select("batch_id", "rows", "first_ms", "last_ms", _pause(gap_ms, speed).alias("pause_s"))
+    return timed.unionByName(untimed)
 
 
 def replay_progress(batches: DataFrame) -> DataFrame:
-    """Planned progress after each batch and its pause: rows sent, percent, seconds, rows per second."""
-    run = running_totals(batches, "batch_id", {"rows": "sent", "pause_s": "elapsed_s"}, BATCH_BLOCK)
-    return run.select(
+    """Planned progress after each batch and its pause: rows sent, percent, seconds, rows per second.
+
+    The percentage is of all rows; those without a time are never sent and show as a batch of their own.
+    """
+    every = batches.agg(F.sum("rows")).scalar()
+    timed = batches.filter("batch_id IS NOT NULL")
+    run = running_totals(timed, "batch_id", {"rows": "sent", "pause_s": "elapsed_s"}, BATCH_BLOCK)
+    progress = run.select(
         "batch_id",
         "rows",
         "sent",
-        (F.col("sent") * 100.0 / F.col("sent_total")).alias("percent"),
+        (F.col("sent") * 100.0 / every).alias("percent"),
         "elapsed_s",
         F.when(F.col("elapsed_s") > 0, F.col("sent") / F.col("elapsed_s")).alias("rows_per_s"),
     )
+    untimed = batches.filter("batch_id IS NULL").select("batch_id", "rows")
+    return progress.unionByName(untimed, allowMissingColumns=True)
 
 
 def replay_slices(df: DataFrame, speed: float, slice_ms: int, time: str = "event_time_ms") -> DataFrame:
@@ -104,10 +122,9 @@ def replay_slices(df: DataFrame, speed: float, slice_ms: int, time: str = "event
     Spark job, so their number follows the length of the day and not its rows.
     """
     span = event_span_ms(speed, slice_ms)
-    timed = df.filter(F.col(time).isNotNull())
-    first = timed.agg(F.min(time)).scalar()
+    first = df.agg(F.min(time)).scalar()
     counted = (
-        timed.select(_div(F.col(time) - first, F.lit(span).cast("bigint")).alias("slice_id"))
+        df.select(_div(F.col(time) - first, F.lit(span).cast("bigint")).alias("slice_id"))
         .groupBy("slice_id")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
@@ -127,8 +144,23 @@ def event_span_ms(speed: float, slice_ms: int) -> int:
 
 
 def pending_slices(slices: DataFrame, delivered: DataFrame) -> DataFrame:
-    """Slices that the delivery log does not hold yet."""
-    return slices.join(delivered.select("slice_id").distinct(), "slice_id", "left_anti")
+    """Slices whose stretch of time the delivery log (from_ms, to_ms) does not hold yet.
+
+    Numbers of slices mean nothing across logs, as they depend on speed and length.
+    """
+    return slices.join(delivered.select("from_ms", "to_ms").distinct(), ["from_ms", "to_ms"], "left_anti").select(*slices.columns)
+
+
+def uncovered(start: int, stop: int, delivered: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What of the stretch from ``start`` to ``stop`` none of the ``delivered`` ones covers."""
+    out, at = [], start
+    for a, b in sorted(delivered):
+        if b <= at or a >= stop:
+            continue
+        if a > at:
+            out.append((at, a))
+        at = b
+    return [*out, (at, stop)] if at < stop else out
 
 
 def _pause(gap_ms: Column, speed: float) -> Column:

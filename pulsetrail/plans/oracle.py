@@ -3,16 +3,9 @@
 from __future__ import annotations
 
 from pulsetrail.fixed_values import (
-    BATCH_TYPES,
-    EVENT_TYPES,
     MAX_PAUSE_S,
-    PARAM_ALIASES,
     PARAM_COLUMNS,
-    PARAM_NAMES,
-    PARAM_RANGES,
-    PARAM_SVIDS,
-    SECOND_DAY_EVENT_OFFSET,
-    SECOND_DAY_LOT_START,
+    PLAIN_NUMBER,
     SUMMARY_ARRAYS,
     SUMMARY_GROUP,
     SUMMARY_PERCENTILES,
@@ -21,17 +14,16 @@ from pulsetrail.fixed_values import (
 )
 from pulsetrail.plans.queries import (
     BATCH_SIZE,
+    CUT,
     DAY,
+    DIGITS,
     FAST,
-    OFF_HALF,
     SLICE_MS,
     SLICE_SPEED,
     SPEED,
-    START,
     STATION,
     TRACE_BATCH,
     TRACE_SPEED,
-    digits_of,
 )
 from pulsetrail.sources.samples import LIMITS
 
@@ -41,11 +33,13 @@ TIMED_VALUE = "to_json({'user_id': user_id, 'event_type': event_type, 'value': v
 FULL_VALUE = (
     f"to_json({{'ts': {JSON_TIME}, 'user_id': user_id, 'event_type': event_type, 'value': value, 'props': props}})"
 )
+COPY_VALUE = "to_json({'event_id': event_id, 'event_type': event_type, 'value': value, 'props': props})"
+HOLES = f"SELECT event_id, CASE WHEN event_type <> 'error' THEN ms END AS ms FROM ({EVENTS})"
 HOUR, DAY_MS = 3_600_000, 86_400_000
 
 
 def all_sql() -> dict[str, str]:
-    day = f"WITH e AS ({EVENTS}) SELECT event_id, user_id, event_type, value, props, dt FROM e WHERE dt = '{DAY}'"
+    day = f"WITH e AS ({EVENTS}) SELECT event_id, ms AS ts, user_id, event_type, value, props, dt FROM e WHERE dt = '{DAY}'"
     timed = f"WITH e AS ({EVENTS}) SELECT event_id::VARCHAR AS key, {TIMED_VALUE}::VARCHAR AS value, ms AS event_time_ms"
     full = f"WITH e AS ({EVENTS}) SELECT event_id::VARCHAR AS key, {FULL_VALUE}::VARCHAR AS value FROM e"
     hourly = f"{timed}, ms // {HOUR} * {HOUR} AS chunk FROM e"
@@ -55,9 +49,7 @@ def all_sql() -> dict[str, str]:
         "load_day": day,
         "load_day_orc": day,
         "chunk_scan": hourly,
-        "gen_events": _gen_events(),
-        "gen_trace": f"SELECT {_text_trace()} FROM ({_gen_trace()})",
-        "csv_export": f"SELECT event_id, user_id, event_type, value, props, dt FROM ({EVENTS})",
+        "csv_export": f"SELECT event_id, ms AS ts, user_id, event_type, value, props, dt FROM ({EVENTS})",
         "envelope_json": f"{timed} FROM e",
         "envelope_max_speed": full,
         "envelope_binary": "SELECT event_id::VARCHAR AS key, props AS value FROM events",
@@ -89,11 +81,26 @@ def all_sql() -> dict[str, str]:
         "paced_messages": f"""
             WITH e AS ({EVENTS})
             SELECT event_id::VARCHAR AS key, {TIMED_VALUE}::VARCHAR AS value,
-                   (ms - (SELECT min(ms) FROM e)) // {DAY_MS} AS slice_id
+                   (SELECT min(ms) FROM e) + (ms - (SELECT min(ms) FROM e)) // {DAY_MS} * {DAY_MS} AS from_ms
             FROM e""",
+        "paced_resume": f"SELECT key, value FROM ({timed} FROM e)",
+        "delivery_progress": f"""
+            WITH s AS ({slices}),
+                 r AS (SELECT from_ms, rows, (sum(rows) OVER w)::BIGINT AS sent, sum(rows) OVER () AS total,
+                              (due_ms - min(due_ms) OVER ())::DOUBLE / 1000 AS elapsed
+                       FROM s WINDOW w AS (ORDER BY from_ms))
+            SELECT from_ms, rows, sent, {_rounded("percent", "sent * 100.0::DOUBLE / total")},
+                   {_rounded("elapsed_s", "elapsed")},
+                   {_rounded("rows_per_s", "CASE WHEN elapsed > 0 THEN sent / elapsed END")}
+            FROM r""",
         "replay_day": f"{full} WHERE dt = '{DAY}'",
         "stream_replay": f"SELECT key, value FROM ({timed} FROM e)",
         "prepare_chunks": hourly,
+        "chunks_of_copies": f"""
+            WITH e AS ({EVENTS} UNION ALL {EVENTS})
+            SELECT user_id::VARCHAR AS key, {COPY_VALUE}::VARCHAR AS value, ms AS event_time_ms,
+                   ms // {DAY_MS} * {DAY_MS} AS chunk
+            FROM e""",
         "chunk_manifest": f"""
             SELECT ms // {HOUR} * {HOUR} AS chunk, count(*) AS rows, min(ms) AS first_ms, max(ms) AS last_ms
             FROM ({EVENTS}) GROUP BY 1""",
@@ -107,6 +114,19 @@ def all_sql() -> dict[str, str]:
         "global_rank": f"""
             SELECT event_id, ms AS event_time_ms, row_number() OVER (ORDER BY ms, event_id) AS rank
             FROM ({EVENTS})""",
+        "global_rank_copies": f"""
+            SELECT day_ms, row_number() OVER (ORDER BY day_ms) AS rank
+            FROM (SELECT ms // {DAY_MS} * {DAY_MS} AS day_ms FROM ({EVENTS} UNION ALL {EVENTS}))""",
+        "replay_schedule_holes": f"""
+            WITH e AS ({HOLES})
+            SELECT event_id, ms AS event_time_ms,
+                   floor((ms - (SELECT min(ms) FROM e)) / {SPEED})::BIGINT AS due_ms
+            FROM e""",
+        "replay_batches_holes": f"""
+            {_batches(f"SELECT ms FROM ({HOLES}) WHERE ms IS NOT NULL", BATCH_SIZE, SPEED)}
+            UNION ALL SELECT NULL, n, NULL, NULL, NULL
+            FROM (SELECT count(*) AS n FROM ({HOLES}) WHERE ms IS NULL) WHERE n > 0""",
+        "replay_slices_holes": _slices(HOLES),
         "replay_schedule": f"""
             WITH e AS ({EVENTS})
             SELECT event_id, ms AS event_time_ms,
@@ -140,17 +160,16 @@ def all_sql() -> dict[str, str]:
         "count_by_lot_eqp": f"SELECT lot_id, eqp_id, count(*) AS cnt FROM ({_trace()}) GROUP BY 1, 2",
         "latest_date": f"SELECT max(dt) AS dt FROM ({EVENTS})",
         "preview": f"""
-            SELECT event_id, user_id, event_type, value, props, dt FROM ({EVENTS}) ORDER BY event_id LIMIT 10""",
+            SELECT event_id, ms AS ts, user_id, event_type, value, props, dt FROM ({EVENTS}) ORDER BY event_id LIMIT 10""",
         "param_count": f"""
             SELECT lot_id, eqp_id, epoch_us(ts) // 1000 AS ts, len(param_name)::INTEGER AS param_count,
                    array_to_string(param_name, '|') AS param_name, array_to_string(param_value, '|') AS param_value
             FROM ({_trace()})""",
         "trace_flatten": _flatten(),
         "param_summary": _summary(_trace(), STATION),
-        "param_summary_cut": _summary(_trace(), STATION),
         "param_integral": f"SELECT {station}, integral_val FROM ({_summary(_trace(), STATION)})",
         "summary_packed": _packed(_summary(_trace(), STATION), STATION),
-        "summary_by_lot": _packed(_summary(_gen_trace(), SUMMARY_GROUP), SUMMARY_GROUP),
+        "summary_by_lot": _packed(_summary(_trace(), SUMMARY_GROUP), SUMMARY_GROUP),
     }
 
 
@@ -168,93 +187,16 @@ def _batches(times: str, size: int, speed: float) -> str:
         FROM g"""
 
 
-def _slices() -> str:
+def _slices(events: str = EVENTS) -> str:
     span = round(SLICE_MS * SLICE_SPEED)
     return f"""
-        WITH e AS ({EVENTS}), base AS (SELECT min(ms) AS first FROM e),
+        WITH e AS ({events}), base AS (SELECT min(ms) AS first FROM e),
              s AS (SELECT (ms - first) // {span} AS slice_id, first, count(*) AS rows FROM e, base GROUP BY 1, 2)
         SELECT slice_id, first + slice_id * {span} AS from_ms, first + (slice_id + 1) * {span} AS to_ms, rows,
                floor(slice_id * {span} / {SLICE_SPEED})::BIGINT AS due_ms
         FROM s"""
 
 
-# --- generated rows -----------------------------------------------------------------------------
-
-
-def _random(seed: int, below: int) -> str:
-    return f"(((s * 48271 + {seed * 16807 + 12345}) % 2147483647) % {below})"
-
-
-def _gen_events() -> str:
-    click, view, purchase, other = EVENT_TYPES
-
-    def one(seed: int, offset: int, days: int) -> str:
-        kind = _random(seed * 10 + 1, 6)
-        return f"""
-            SELECT 'event_' || (s + {offset}) AS event_key,
-                   epoch_ms(TIMESTAMP '{START}' - INTERVAL {days} DAY) + s * 1000 AS event_time,
-                   'user_' || {_random(seed * 10, 11)} AS user_id,
-                   CASE WHEN {kind} = 0 THEN '{click}' WHEN {kind} <= 2 THEN '{view}'
-                        WHEN {kind} <= 4 THEN '{purchase}' ELSE '{other}' END AS event_type,
-                   '{{"data": "sample_' || (s + {offset}) || '", "value": ' || {_random(seed * 10 + 2, 101)} || '}}'
-                       AS payload,
-                   strftime(TIMESTAMP '{START}' - INTERVAL {days} DAY, '%Y-%m-%d') AS dt
-            FROM (SELECT event_id AS s FROM events)"""
-
-    return f"{one(1, 0, 0)} UNION ALL {one(2, SECOND_DAY_EVENT_OFFSET, 1)}"
-
-
-def _gen_trace() -> str:
-    def first_ones(texts: list[str]) -> str:
-        return f"[{', '.join(texts)}][1:3 + s % 3]"
-
-    def quoted(texts: tuple[str, ...]) -> list[str]:
-        return [f"'{t}'" for t in texts]
-
-    def one(seed: int, lot: int, days: int) -> str:
-        ts = f"(TIMESTAMP '{START}' - INTERVAL {days} DAY + to_minutes(s))"
-        number = f"(s // 10 + {lot})::VARCHAR"
-        columns = {
-            "ts": ts,
-            "eqp_id": "'EQP_' || (s % 5 + 1)",
-            "module_name": "'MODULE_' || chr((65 + s % 3)::INTEGER)",
-            "lot_cd": f"'LOT' || lpad({number}, 6, '0')",
-            "lot_id": f"'L' || lpad({number}, 8, '0')",
-            "slot_id": "'SLOT_' || lpad((s % 10 + 1)::VARCHAR, 2, '0')",
-            "product_id": "'PROD_' || chr((65 + s % 5)::INTEGER)",
-            "oper_id": "'OPER_' || lpad((s % 20 + 1)::VARCHAR, 3, '0')",
-            "oper_desc": "'Operation ' || (s % 20 + 1) || ' Description'",
-            "recipe_id": "'RECIPE_' || lpad((s % 10 + 1)::VARCHAR, 3, '0')",
-            "ppid": "'PPID_' || lpad((s % 15 + 1)::VARCHAR, 4, '0')",
-            "step_id": "'STEP_' || lpad((s % 8 + 1)::VARCHAR, 2, '0')",
-            "step_name": "'Step ' || (s % 8 + 1) || ' Process'",
-            "param_name": first_ones(quoted(PARAM_NAMES)),
-            "param_alias": first_ones(quoted(PARAM_ALIASES)),
-            "param_svid": first_ones(quoted(PARAM_SVIDS)),
-            "batch_id": f"'BATCH_' || lpad((s // 5 + {lot})::VARCHAR, 6, '0')",
-            "batch_type": f"[{', '.join(quoted(BATCH_TYPES))}][s % 3 + 1]",
-            "zone": "'ZONE_' || chr((65 + s % 4)::INTEGER)",
-            "start_dtts": f"{ts} - INTERVAL 5 MINUTE",
-            "create_dtts": ts,
-            "org_wf_id": f"'WF_' || lpad({number}, 6, '0')",
-            "alias_lot_id": f"'ALIAS_L' || lpad({number}, 8, '0')",
-            "fdc_lot_cd": f"'FDC_LOT' || lpad({number}, 6, '0')",
-            "spec_model_name": "['SPEC_MODEL_' || chr((65 + s % 3)::INTEGER)]",
-            "dt": f"strftime(TIMESTAMP '{START}' - INTERVAL {days} DAY, '%Y-%m-%d')",
-            "fab": "'FAB_' || chr((65 + s % 2)::INTEGER)",
-        }
-        for place, (name, ranges) in enumerate(PARAM_RANGES.items()):
-            amounts = [
-                f"({low * 100} + {_random(seed * 1000 + place * 10 + i, width * 100)})"
-                for i, (low, width) in enumerate(ranges)
-            ]
-            columns[name] = first_ones([f"({a} // 100) || '.' || lpad(({a} % 100)::VARCHAR, 2, '0')" for a in amounts])
-        chosen = ", ".join(f"{columns[name]} AS {name}" for name in TRACE_COLUMNS)
-        return f"SELECT {chosen} FROM (SELECT event_id AS s FROM events)"
-
-    return f"{one(1, 1, 0)} UNION ALL {one(2, SECOND_DAY_LOT_START, 1)}"
-
-
 # --- traces -------------------------------------------------------------------------------------
 
 
@@ -314,14 +256,6 @@ def _envelope_trace(key: str, left_out: tuple[str, ...], more: str) -> str:
     return f"SELECT {key} AS key, to_json({{{', '.join(fields)}}})::VARCHAR AS value{more} FROM ({_trace()})"
 
 
-def _text_trace() -> str:
-    times = ("ts", "start_dtts", "create_dtts")
-    return ", ".join(
-        f"epoch_us({c}) // 1000 AS {c}" if c in times else f"array_to_string({c}, '|') AS {c}" if c in TRACE_ARRAYS else c
-        for c in TRACE_COLUMNS
-    )
-
-
 def _flatten() -> str:
     times = ("ts", "start_dtts", "create_dtts")
     columns = []
@@ -329,7 +263,8 @@ def _flatten() -> str:
         if c in times:
             columns.append(f"epoch_us({c}) // 1000 AS {c}")
         elif c == "param_value":
-            columns.append("try_cast(param_value[i] AS DOUBLE) AS param_value")
+            number = _number("param_value[i]")
+            columns.append(f"CASE WHEN ({number}) IS NULL THEN param_value[i] END AS param_value, {number} AS param_number")
         elif c in TRACE_ARRAYS:
             columns.append(f"{c}[i] AS {c}")
         else:
@@ -339,24 +274,28 @@ def _flatten() -> str:
         FROM (SELECT *, unnest(range(1, len(param_name) + 1)) AS i FROM ({_trace()}))"""
 
 
+def _number(text: str) -> str:
+    return f"CASE WHEN regexp_matches(trim({text}), '{PLAIN_NUMBER}') THEN try_cast(trim({text}) AS DOUBLE) END"
+
+
 def _summary(trace: str, group: tuple[str, ...]) -> str:
     keys = ", ".join((*group, *PARAM_COLUMNS))
     percentiles = ", ".join(_rounded(name, f"quantile_cont(v, {p})") for name, p in SUMMARY_PERCENTILES)
-    slope = "regr_slope(v, us / 1e6)"
+    slope = "regr_slope(v, (us - (SELECT min(us) FROM flat)) / 1e6)"
     return f"""
         WITH flat AS (
                  SELECT {", ".join(group)}, epoch_us(ts) AS us,
                         {", ".join(f"{c}[i] AS {c}" for c in PARAM_COLUMNS)},
-                        try_cast(param_value[i] AS DOUBLE) AS v
+                        {_number("param_value[i]")} AS v
                  FROM (SELECT *, unnest(range(1, len(param_name) + 1)) AS i FROM ({trace}))),
              steps AS (
                  SELECT *, (v + lag(v) OVER w) / 2 * ((us - lag(us) OVER w) / 1e6) AS area
-                 FROM flat WHERE v IS NOT NULL
-                 WINDOW w AS (PARTITION BY {keys} ORDER BY us, v))
+                 FROM flat
+                 WINDOW w AS (PARTITION BY {keys}, v IS NULL ORDER BY us, v))
         SELECT {keys}, {_rounded("max_val", "max(v)")}, {_rounded("min_val", "min(v)")},
                {_rounded("mean_val", "avg(v)")}, {_rounded("stddev_val", "stddev_samp(v)")},
                {_rounded("range_val", "max(v) - min(v)")}, {percentiles},
-               {_rounded("integral_val", "coalesce(sum(area), 0)")},
+               {_rounded("integral_val", "CASE WHEN count(v) > 0 THEN coalesce(sum(area), 0) END")},
                {_rounded("slope_val", f"CASE WHEN NOT isnan({slope}) THEN {slope} END")},
                count(v) AS count_val, {_rounded("sumsq_val", "sum(v * v)")},
                min(us) // 1000 AS start_time, max(us) // 1000 AS end_time
@@ -367,7 +306,7 @@ def _packed(summary: str, group: tuple[str, ...]) -> str:
     texts = []
     for name in SUMMARY_ARRAYS:
         plain = name in PARAM_COLUMNS or name in ("count_val", "start_time")
-        shown = f"{name}::VARCHAR" if plain else f"coalesce({_digits(name, name)}, '-')"
+        shown = f"coalesce({name}::VARCHAR, '-')" if plain else f"coalesce({_digits(name)}, '-')"
         texts.append(f"string_agg({shown}, '|' ORDER BY param_name, param_svid) AS {name}")
     return f"""
         SELECT {", ".join(group)}, max(end_time) AS end_time, {", ".join(texts)}
@@ -376,8 +315,12 @@ def _packed(summary: str, group: tuple[str, ...]) -> str:
 
 def _rounded(name: str, expression: str) -> str:
     """The value cut to the digits that the queries keep, under its name."""
-    return f"{_digits(name, expression)}::DOUBLE AS {name}"
+    return f"{_digits(expression)}::DOUBLE AS {name}"
 
 
-def _digits(name: str, expression: str) -> str:
-    return f"printf('%.{digits_of(name) - 1}e', ({expression})::DOUBLE * {OFF_HALF!r}::DOUBLE)"
+def _digits(expression: str) -> str:
+    x = f"({expression})::DOUBLE"
+    return f"""(SELECT CASE WHEN x = 0 THEN '0e0' WHEN x IS NOT NULL THEN
+        floor(CASE WHEN k < 0 THEN x / pow(10.0::DOUBLE, -k) ELSE x * pow(10.0::DOUBLE, k) END + {CUT}::DOUBLE)::BIGINT
+          || 'e' || (-k) END
+        FROM (SELECT x, ({DIGITS - 1} - floor(log10(abs(nullif(x, 0)))))::BIGINT AS k FROM (SELECT {x} AS x)))"""

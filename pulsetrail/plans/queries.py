@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsetrail.config import ReplayConfig, Sink
-from pulsetrail.fixed_values import PARAM_COLUMNS, SUMMARY_GROUP
+from pulsetrail.fixed_values import PARAM_COLUMNS, PLAIN_NUMBER, SUMMARY_GROUP
 from pulsetrail.functions.columns import event_time_ms
-from pulsetrail.operators.delivery import reconcile
+from pulsetrail.operators.delivery import delivery_progress, reconcile
 from pulsetrail.operators.envelope import envelope, split_rejects
-from pulsetrail.operators.generate import gen_events, gen_trace
 from pulsetrail.operators.inventory import day_profile, inventory, latest_date, param_count, preview
-from pulsetrail.operators.messages import chunk_manifest, prepare_chunks, write_messages, write_paced, write_to
+from pulsetrail.operators.messages import (
+    chunk_manifest,
+    prepare_chunks,
+    read_log,
+    write_messages,
+    write_paced,
+    write_to,
+)
 from pulsetrail.operators.ordering import global_rank
 from pulsetrail.operators.schedule import (
     pending_slices,
@@ -44,8 +50,10 @@ DAY = "2024-01-15"
 SPLIT_MS = 1_705_276_800_000  # 2024-01-15 00:00:00
 SLICE_SPEED = 86_400.0
 SLICE_MS = 1000
-START = datetime(2024, 3, 1, 8, 0, 0)
-OFF_HALF = 1.00000000001
+DAY_MS = 86_400_000
+# Significant digits that do not depend on the order in which an engine adds up.
+DIGITS = 9
+CUT = 0.41421356
 STATION = ("eqp_id", "module_name", "step_id", "fab")
 
 MAX_SPEED = ReplayConfig(source_table="db.events", key_column="event_id", max_speed=True)
@@ -58,8 +66,6 @@ def all_queries() -> dict[str, Query]:
         "load_day_orc": _load_day_orc,
         "chunk_scan": _chunk_scan,
         "csv_export": _csv_export,
-        "gen_events": lambda spark, sf: gen_events(_event_numbers(spark, sf), START),
-        "gen_trace": _gen_trace,
         "envelope_json": lambda spark, sf: _readable(envelope(events_with_date(spark, sf), TIMED)),
         "envelope_max_speed": lambda spark, sf: _readable(envelope(events_with_date(spark, sf), MAX_SPEED)),
         "envelope_binary": _envelope_binary,
@@ -75,13 +81,20 @@ def all_queries() -> dict[str, Query]:
         "rejects": _rejects,
         "max_speed_messages": _max_speed_messages,
         "paced_messages": _paced_messages,
+        "paced_resume": _paced_resume,
+        "delivery_progress": _delivery_progress,
         "replay_day": _replay_day,
         "stream_replay": _stream_replay,
         "prepare_chunks": lambda spark, sf: _readable(_chunks(spark, sf)),
+        "chunks_of_copies": _chunks_of_copies,
         "chunk_manifest": lambda spark, sf: chunk_manifest(_chunks(spark, sf)),
         "reconcile": _reconcile,
         "global_rank": _global_rank,
+        "global_rank_copies": _global_rank_copies,
         "replay_schedule": lambda spark, sf: replay_schedule(_event_times(spark, sf), SPEED),
+        "replay_schedule_holes": lambda spark, sf: replay_schedule(_holes(spark, sf), SPEED),
+        "replay_batches_holes": lambda spark, sf: replay_batches(_holes(spark, sf), BATCH_SIZE, SPEED),
+        "replay_slices_holes": lambda spark, sf: replay_slices(_holes(spark, sf), SLICE_SPEED, SLICE_MS),
         "replay_batches": lambda spark, sf: replay_batches(_event_times(spark, sf), BATCH_SIZE, SPEED),
         "replay_batches_fast": lambda spark, sf: replay_batches(_event_times(spark, sf), BATCH_SIZE, FAST),
         "replay_batches_trace": _replay_batches_trace,
@@ -98,11 +111,10 @@ def all_queries() -> dict[str, Query]:
         "count_by_date_fab": lambda spark, sf: inventory(trace_of_lineitem(spark, sf), ["dt", "fab"]),
         "count_by_lot_eqp": lambda spark, sf: inventory(trace_of_lineitem(spark, sf), ["lot_id", "eqp_id"]),
         "latest_date": lambda spark, sf: latest_date(events_with_date(spark, sf)),
-        "preview": lambda spark, sf: preview(events_with_date(spark, sf).drop("ts"), 10, "event_id"),
+        "preview": lambda spark, sf: _text_times(preview(events_with_date(spark, sf), 10, "event_id")),
         "param_count": lambda spark, sf: _text_times(_text_arrays(param_count(trace_of_lineitem(spark, sf)))),
         "trace_flatten": _trace_flatten,
         "param_summary": _station_summary,
-        "param_summary_cut": lambda spark, sf: _station_summary(spark, sf, group_limit=0),
         "param_integral": lambda spark, sf: _station_summary(spark, sf).select(
             *STATION, *PARAM_COLUMNS, "integral_val"
         ),
@@ -115,15 +127,22 @@ def all_queries() -> dict[str, Query]:
 
 
 def _load_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events_with_date(spark, sf_dir).createOrReplaceTempView("pulsetrail_events")
-    return load_day(spark, "pulsetrail_events", DAY).drop("ts")
+    return _text_times(load_day(spark, _events_table(spark, sf_dir), DAY))
+
+
+def _events_table(spark: SparkSession, sf_dir: str) -> str:
+    """``events`` as a catalog table partitioned by date; its name."""
+    name = f"pulsetrail_events_{uuid4().hex}"
+    events = events_with_date(spark, sf_dir)
+    events.repartitionByRange("dt", "event_id").write.partitionBy("dt").format("parquet").saveAsTable(name)
+    return name
 
 
 def _load_day_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "events-orc")
     events = events_with_date(spark, sf_dir)
     events.repartitionByRange("dt", "event_id").sortWithinPartitions("dt").write.partitionBy("dt").orc(path)
-    return load_path(spark, "orc", path, DAY).drop("ts").withColumn("dt", F.col("dt").cast("string"))
+    return _text_times(load_path(spark, "orc", path, DAY)).withColumn("dt", F.col("dt").cast("string"))
 
 
 def _chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,19 +153,11 @@ def _chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "events-csv")
-    events = events_with_date(spark, sf_dir).drop("ts")
+    events = _text_times(events_with_date(spark, sf_dir))
     write_to(events, Sink("csv", path, options={"header": "true"}))
     return spark.read.schema(events.schema).option("header", True).csv(path)
 
 
-def _event_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_with_date(spark, sf_dir).select(F.col("event_id").alias("s"))
-
-
-def _gen_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text_times(_text_arrays(gen_trace(_event_numbers(spark, sf_dir), START)))
-
-
 # --- messages -----------------------------------------------------------------------------------
 
 
@@ -213,14 +224,65 @@ def _paced_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         sleep=sleep,
     )
     delivered = spark.read.parquet(path)
-    return _readable(delivered.select("key", "value", F.col("slice_id").cast("bigint").alias("slice_id")))
+    return _readable(delivered.select("key", "value", F.col("from_ms").cast("bigint").alias("from_ms")))
+
+
+class _Broken(Exception):
+    """Ends a paced write in the middle."""
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A paced write of all events that breaks off after four days and goes on at another speed and length of
+    slices: where it wrote, and its log."""
+    path, log, now = new_path(spark, "resumed"), new_path(spark, "log"), [0.0, 0]
+
+    def sleep(seconds: float) -> None:
+        now[0] += seconds
+        now[1] += 1
+        if now[1] == 4:
+            raise _Broken
+
+    chunks = _chunks(spark, sf_dir, "day")
+
+    def write(speed: float, slice_ms: int) -> None:
+        write_paced(
+            chunks, Sink("parquet", path), speed=speed, slice_ms=slice_ms, unit="day", log_path=log, clock=lambda: now[0], sleep=sleep
+        )
+
+    try:
+        write(SLICE_SPEED, SLICE_MS)
+    except _Broken:
+        write(3 * SLICE_SPEED, 2 * SLICE_MS)
+    return path, log
+
+
+def _paced_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _readable(spark.read.parquet(_resumed(spark, sf_dir)[0]).select("key", "value"))
+
+
+def _delivery_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, log, now = new_path(spark, "paced"), new_path(spark, "log"), [0.0]
+
+    def sleep(seconds: float) -> None:
+        now[0] += seconds
+
+    write_paced(
+        _chunks(spark, sf_dir, "day"),
+        Sink("parquet", path),
+        speed=SLICE_SPEED,
+        slice_ms=SLICE_MS,
+        unit="day",
+        log_path=log,
+        clock=lambda: now[0],
+        sleep=sleep,
+    )
+    return _rounded(delivery_progress(read_log(spark, log)), ["percent", "elapsed_s", "rows_per_s"])
 
 
 def _replay_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "topic")
-    events_with_date(spark, sf_dir).createOrReplaceTempView("pulsetrail_events")
     config = ReplayConfig(
-        source_table="pulsetrail_events", target_date=DAY, key_column="event_id", max_speed=True
+        source_table=_events_table(spark, sf_dir), target_date=DAY, key_column="event_id", max_speed=True
     )
     run_replay(spark, config, Sink("parquet", path))
     return _readable(read_delivered(spark, "parquet", path))
@@ -241,6 +303,13 @@ def _chunks(spark: SparkSession, sf_dir: str, unit: str = "hour") -> DataFrame:
     return prepare_chunks(events, new_path(spark, "chunks"), TIMED, unit, unique_key=True)
 
 
+def _chunks_of_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event twice, and ordered by user and time only, so that keys repeat."""
+    events = events_with_date(spark, sf_dir)
+    config = ReplayConfig(source_table="db.events", key_column="user_id")
+    return _readable(prepare_chunks(events.unionByName(events), new_path(spark, "chunks"), config, "day"))
+
+
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = ReplayConfig(source_table="db.events", key_column="user_id", max_speed=True)
     sent = events_with_date(spark, sf_dir)
@@ -258,6 +327,19 @@ def _global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_rank(_event_times(spark, sf_dir), "event_time_ms", ["event_id"], unique=True)
 
 
+def _global_rank_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event time cut to the day and there twice: ranks of rows that are alike may be swapped."""
+    days = _event_times(spark, sf_dir).select((F.col("event_time_ms") - F.col("event_time_ms") % DAY_MS).alias("day_ms"))
+    return global_rank(days.unionByName(days), "day_ms", [])
+
+
+def _holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which errors have no time."""
+    events = events_with_date(spark, sf_dir)
+    at = F.when(F.col("event_type") != "error", event_time_ms(events, "ts"))
+    return events.select("event_id", at.alias("event_time_ms"))
+
+
 def _replay_batches_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     trace = trace_of_lineitem(spark, sf_dir)
     return replay_batches(trace.select(event_time_ms(trace, "ts").alias("event_time_ms")), TRACE_BATCH, TRACE_SPEED)
@@ -273,16 +355,19 @@ def _pending_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trace_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flatten_trace(trace_of_lineitem(spark, sf_dir))
-    return _text_times(flat.withColumn("param_value", F.col("param_value").try_cast("double")))
+    """Values as they are in the trace; numbers among them also as numbers, for engines write them differently."""
+    flat = _text_times(flatten_trace(trace_of_lineitem(spark, sf_dir)))
+    number = F.when(F.col("param_value").rlike(PLAIN_NUMBER), F.col("param_value")).try_cast("double")
+    text = F.when(number.isNull(), F.col("param_value"))
+    return flat.withColumns({"param_number": number, "param_value": text})
 
 
 def _param_rows(trace: DataFrame) -> DataFrame:
     return flatten_trace(trace, [*PARAM_COLUMNS, "param_value"])
 
 
-def _station_summary(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
-    return _readable_stats(summarize_params(_param_rows(trace_of_lineitem(spark, sf_dir)), STATION, **options))
+def _station_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _readable_stats(summarize_params(_param_rows(trace_of_lineitem(spark, sf_dir)), STATION))
 
 
 def _summary_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,10 +375,9 @@ def _summary_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary_by_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full declared grouping, on generated traces."""
-    stats = summarize_params(_param_rows(gen_trace(_event_numbers(spark, sf_dir), START)))
-    packed = pack_summary(_readable_stats(stats), SUMMARY_GROUP)
-    return _text_arrays(packed)
+    """The full declared grouping."""
+    stats = summarize_params(flatten_trace(trace_of_lineitem(spark, sf_dir), [*PARAM_COLUMNS, "param_value"]))
+    return _text_arrays(pack_summary(_readable_stats(stats), SUMMARY_GROUP))
 
 
 # --- forms that compare across engines ----------------------------------------------------------
@@ -306,17 +390,15 @@ def _readable(messages: DataFrame) -> DataFrame:
 
 def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
     """Doubles cut to the digits that do not depend on the order in which they were added up."""
-    return df.withColumns({n: F.when(F.col(n).isNotNull(), _digits(n, F.col(n)).cast("double")) for n in names})
-
-
-def digits_of(name: str) -> int:
-    """Significant digits to compare; a slope near zero is a difference of large numbers."""
-    return 6 if name == "slope_val" else 8
+    return df.withColumns({n: F.when(F.col(n).isNotNull(), _digits(F.col(n)).cast("double")) for n in names})
 
 
-def _digits(name: str, x: Column) -> Column:
-    # Engines round an exact half up or to even; the factor moves it to one side.
-    return F.format_string(f"%.{digits_of(name) - 1}e", x * OFF_HALF)
+def _digits(x: Column) -> Column:
+    """``DIGITS`` significant digits as text, cut at a place between them on which no short decimal lies."""
+    shift = F.lit(DIGITS - 1) - F.floor(F.log10(F.abs(x)))
+    scaled = F.when(shift < 0, x / F.pow(F.lit(10.0), -shift)).otherwise(x * F.pow(F.lit(10.0), shift))
+    text = F.concat(F.floor(scaled + CUT).cast("string"), F.lit("e"), (-shift).cast("string"))
+    return F.when(x == 0, "0e0").otherwise(text)
 
 
 def _readable_stats(stats: DataFrame) -> DataFrame:
@@ -326,20 +408,21 @@ def _readable_stats(stats: DataFrame) -> DataFrame:
 
 def _text_times(df: DataFrame) -> DataFrame:
     """Timestamps as epoch milliseconds."""
-    return df.withColumns({name: F.unix_millis(name) for name, kind in df.dtypes if kind == "timestamp"})
+    times = [name for name, kind in df.dtypes if kind.startswith("timestamp")]
+    return df.withColumns({name: F.unix_millis(F.col(name).cast("timestamp")) for name in times})
 
 
 def _text_arrays(df: DataFrame) -> DataFrame:
     """Arrays as one text, elements between bars, NULL as a minus."""
 
-    def element(name: str, kind: str) -> Callable[[Column], Column]:
+    def element(kind: str) -> Callable[[Column], Column]:
         if "double" in kind:
-            return lambda x: F.coalesce(F.when(x.isNotNull(), _digits(name, x)), F.lit("-"))
+            return lambda x: F.coalesce(F.when(x.isNotNull(), _digits(x)), F.lit("-"))
         return lambda x: F.coalesce(x.cast("string"), F.lit("-"))
 
     return df.withColumns(
         {
-            name: F.array_join(F.transform(name, element(name, kind)), "|")
+            name: F.array_join(F.transform(name, element(kind)), "|")
             for name, kind in df.dtypes
             if kind.startswith("array")
         }

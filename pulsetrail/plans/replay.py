@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import time as wall
+import uuid
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +15,11 @@ from pulsetrail.functions.columns import column
 from pulsetrail.operators.envelope import envelope, split_rejects
 from pulsetrail.operators.messages import check_sink, prepare_chunks, write_messages, write_paced, write_to
 from pulsetrail.operators.roles import resolve_roles, schema_name
-from pulsetrail.sources.tables import load_chunks, load_day, lookup_schema
-from pulsetrail.workspace import new_path, path_exists
+from pulsetrail.sources.tables import load_day, lookup_schema
+from pulsetrail.workspace import move, new_path, path_exists, read_text, remove, write_text
+
+# What staged chunks were made from, in a file that readers of tables pass over.
+SETTINGS = "_replay_settings.json"
 
 
 def run_replay(
@@ -35,15 +40,16 @@ def run_replay(
     Avro and Protobuf values without a ``value_schema`` take theirs from the table ``schemas`` (artifact,
     content) by ``schema_name``. With ``rejects``, rows without a key or, when paced, without an event time
     go there with the reason; without it, keys may be NULL and a missing event time is an error. Paced
-    messages are staged at ``chunks_path`` first; finished chunks found there are used again, and together
-    with ``log_path`` a replay that broke off goes on where it was. A slice looks into every file of its
+    messages are staged at ``chunks_path`` first; finished chunks of the same settings found there are used
+    again, and together with ``log_path`` a replay that broke off goes on where it was, also at another
+    speed. A slice looks into every file of its
     chunk: make the ``unit`` a minute when an hour fills more than some hundred files.
     """
     if schemas is not None and config.value_schema is None and config.value_format.lower() in ("avro", "protobuf"):
         config = replace(config, value_schema=lookup_schema(schemas, schema_name(config)))
     config.validate()
     check_sink(spark, sink)
-    day = load_day(spark, config.source_table, config.target_date, config.date_column)
+    day = load_day(spark, config.source_table, config.target_date, config.date_column, config.equal)
     if rejects is not None:
         good, rejected = split_rejects(day, config)
         write_to(rejected, rejects)
@@ -53,10 +59,8 @@ def run_replay(
     if config.max_speed:
         write_messages(envelope(good, config), sink)
         return
-    if chunks_path and path_exists(spark, f"{chunks_path}/_SUCCESS"):
-        chunks = load_chunks(spark, chunks_path)
-    else:
-        chunks = prepare_chunks(good, chunks_path or new_path(spark, "chunks"), config, unit)
+    own = None if chunks_path else new_path(spark, "chunks")
+    chunks = _staged(spark, good, chunks_path or own, config, unit)
     write_paced(
         chunks,
         sink,
@@ -67,6 +71,31 @@ def run_replay(
         clock=clock,
         sleep=sleep,
     )
+    if own:
+        remove(spark, own)
+
+
+def _staged(spark: SparkSession, day: DataFrame, path: str, config: ReplayConfig, unit: str) -> DataFrame:
+    """The chunks at ``path``, staged first unless they are there; those of another day or other settings are
+    refused. Staging goes to a folder beside and is renamed when whole, so a failed one is never in the way."""
+    left_out = ("speed", "slice_ms", "batch_size")
+    settings = {k: v for k, v in asdict(config).items() if k not in left_out} | {"unit": unit}
+    schema = envelope(day, config).schema.add("chunk", "bigint")
+    text = json.dumps(settings, sort_keys=True, default=str)
+    if path_exists(spark, f"{path}/{SETTINGS}"):
+        if read_text(spark, f"{path}/{SETTINGS}") != text:
+            raise ValueError(f"the chunks at {path} are of another table, date or other settings")
+        return spark.read.schema(schema).parquet(path)
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        raise ValueError(f"the chunks at {path} do not tell their table, date and settings")
+    beside = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    prepare_chunks(day, beside, config, unit)
+    write_text(spark, f"{beside}/{SETTINGS}", text)
+    if path_exists(spark, path):
+        # What an interrupted write left; it holds neither its end mark nor its settings.
+        move(spark, path, f"{path.rstrip('/')}.left-{uuid.uuid4().hex}")
+    move(spark, beside, path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _check_times(day: DataFrame, config: ReplayConfig) -> None:

@@ -75,11 +75,14 @@ def read_delivered(
 
 
 def lookup_schema(schemas: DataFrame, artifact: str) -> str:
-    """Text of one value schema from a table (artifact, content); an unknown artifact is an error."""
-    found = schemas.filter(F.col("artifact") == artifact).select("content").first()
-    if found is None:
+    """Text of one value schema from a table (artifact, content); an artifact that is unknown, or there
+    with several contents, is an error."""
+    found = schemas.filter(F.col("artifact") == artifact).select("content").distinct().limit(2).collect()
+    if not found:
         raise ValueError(f"no schema named '{artifact}'")
-    return found["content"]
+    if len(found) > 1:
+        raise ValueError(f"several schemas named '{artifact}'")
+    return found[0]["content"]
 
 
 def _on_day(df: DataFrame, date: str, date_column: str, equal: Mapping[str, str] | None) -> DataFrame:

@@ -39,6 +39,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    folder, system = _resolve(spark, path)
+    system.delete(folder, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to one that is not there yet; its parent is made."""
+    folder, system = _resolve(spark, target)
+    system.mkdirs(folder.getParent())
+    if not system.rename(_resolve(spark, source)[0], folder):
+        raise RuntimeError(f"{source} can not be renamed to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole, without a Spark job."""
+    file, system = _resolve(spark, path)
+    out = system.create(file, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Contents of a small file."""
+    file, system = _resolve(spark, path)
+    stream = system.open(file)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
 def release(spark: SparkSession) -> None:
     """Delete everything this application has staged; results that still read it become invalid."""
     folder, system = _resolve(spark, work_folder(spark))

@@ -1,6 +1,8 @@
 """Sources, sinks, staged chunks, paced and streamed delivery, and the whole replay."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,8 +10,9 @@ from pyspark.sql import functions as F
 
 from pulsetrail import workspace
 from pulsetrail.config import ReplayConfig, Sink
-from pulsetrail.operators.delivery import delivery_report, reconcile
-from pulsetrail.operators.envelope import envelope
+from pulsetrail.operators import messages
+from pulsetrail.operators.delivery import delivery_progress, delivery_report, reconcile
+from pulsetrail.operators.envelope import envelope, plain_columns
 from pulsetrail.operators.messages import (
     chunk_manifest,
     check_sink,
@@ -94,6 +97,9 @@ def test_schema_lookup(spark):
     assert lookup_schema(schemas, "trace.value") == "[]"
     with pytest.raises(ValueError, match="no schema named 'other.value'"):
         lookup_schema(schemas, "other.value")
+    twice = schemas.unionByName(spark.createDataFrame([("trace.value", "other")], schemas.schema))
+    with pytest.raises(ValueError, match="several schemas named 'trace.value'"):
+        lookup_schema(twice, "trace.value")
 
 
 # --- writing ----------------------------------------------------------------------------------------
@@ -196,7 +202,7 @@ def test_paced_write_keeps_the_rhythm(spark, tmp_path):
     sent = write_paced(staged, sink, speed=HOUR / 1000, slice_ms=1000, log_path=log, clock=clock, sleep=clock.sleep)
     assert sent == len(clock.naps) + 1 == replay_slices(staged, HOUR / 1000, 1000).count()
     assert contents(read_delivered(spark, "parquet", sink.path)) == contents(staged)
-    notes = read_log(spark, log).orderBy("slice_id").collect()
+    notes = read_log(spark, log).orderBy("from_ms").collect()
     assert sum(r["rows"] for r in notes) == 600
     # A slice never starts early and lateness does not add up.
     assert all(0 <= r["late_ms"] <= 50 for r in notes)
@@ -227,6 +233,49 @@ def test_paced_write_goes_on_after_a_failure(spark, tmp_path):
     assert write_paced(staged, sink, sleep=clock.sleep, **options) == 0
 
 
+@pytest.mark.parametrize("speed, slice_ms", [(2 * HOUR / 1000, 1000), (HOUR / 1000, 700), (HOUR / 3000, 1000)])
+def test_paced_write_goes_on_at_another_speed(spark, tmp_path, speed, slice_ms):
+    staged = prepare_chunks(events(spark), str(tmp_path / "chunks"), CONFIG)
+    clock, log, sink = Clock(), str(tmp_path / "log"), Sink("parquet", str(tmp_path / "topic"))
+
+    def fail_on_fourth(seconds):
+        clock.sleep(seconds)
+        if len(clock.naps) == 4:
+            raise ConnectionError
+
+    with pytest.raises(ConnectionError):
+        write_paced(staged, sink, speed=HOUR / 1000, slice_ms=1000, log_path=log, clock=clock, sleep=fail_on_fourth)
+    write_paced(staged, sink, speed=speed, slice_ms=slice_ms, log_path=log, clock=clock, sleep=clock.sleep)
+    assert contents(read_delivered(spark, "parquet", sink.path)) == contents(staged)
+    progress = delivery_progress(read_log(spark, log), 600).orderBy("from_ms").collect()
+    assert progress[-1]["sent"] == 600 and progress[-1]["percent"] == 100.0
+
+
+def test_notes_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(messages, "NOTES", 4)
+    staged = prepare_chunks(events(spark), str(tmp_path / "chunks"), CONFIG)
+    clock, log = Clock(), tmp_path / "log"
+    sent = write_paced(staged, Sink("noop"), speed=HOUR / 1000, slice_ms=1000, log_path=str(log), clock=clock, sleep=clock.sleep)
+    assert read_log(spark, str(log)).count() == sent
+    assert len(list(log.glob("note*.json"))) < sent
+
+
+def test_failed_slice_is_an_error_and_not_noted(spark, tmp_path):
+    staged = prepare_chunks(events(spark), str(tmp_path / "chunks"), CONFIG)
+    clock, log = Clock(), str(tmp_path / "log")
+    with pytest.raises(Exception, match="no_such_format"):
+        write_paced(staged, Sink("no_such_format"), speed=HOUR / 1000, slice_ms=1000, log_path=log, clock=clock, sleep=clock.sleep)
+    assert read_log(spark, log).count() == 0
+
+
+def test_messages_without_a_time_are_refused(spark, tmp_path):
+    df = events(spark).withColumn("event_time", F.when(F.col("n") % 4 != 0, F.col("event_time")))
+    staged = prepare_chunks(df, str(tmp_path / "chunks"), CONFIG)
+    clock = Clock()
+    with pytest.raises(ValueError, match="150 messages have no event time"):
+        write_paced(staged, Sink("noop"), speed=HOUR / 1000, slice_ms=1000, clock=clock, sleep=clock.sleep)
+
+
 def test_stream_delivers_once_and_goes_on(spark, tmp_path):
     chunks, topic, checkpoint = (str(tmp_path / x) for x in ("chunks", "topic", "checkpoint"))
     early, late = events(spark).filter("n < 300"), events(spark).filter("n >= 300")
@@ -286,6 +335,49 @@ def test_paced_replay_uses_its_chunks_again(spark, tmp_path):
         assert read_delivered(spark, "parquet", sink.path).count() == 601
 
 
+def test_chunks_of_another_day_or_settings_are_refused(spark, tmp_path):
+    day_table(spark, "replay_other")
+    config = ReplayConfig(source_table="replay_other", target_date="2024-01-01", speed=HOUR / 1000)
+    chunks, clock = str(tmp_path / "chunks"), Clock()
+    run_replay(spark, config, Sink("noop"), chunks_path=chunks, clock=clock, sleep=clock.sleep)
+    for other in (replace(config, target_date="2024-01-02"), replace(config, key_column="n"), replace(config, equal={"n": "1"})):
+        with pytest.raises(ValueError, match="another table, date or other settings"):
+            run_replay(spark, other, Sink("noop"), chunks_path=chunks, clock=clock, sleep=clock.sleep)
+    run_replay(spark, replace(config, speed=HOUR / 500), Sink("noop"), chunks_path=chunks, clock=clock, sleep=clock.sleep)
+
+
+def test_half_written_chunks_are_not_in_the_way(spark, tmp_path):
+    day_table(spark, "replay_half")
+    config = ReplayConfig(source_table="replay_half", target_date="2024-01-01", speed=HOUR / 1000)
+    (tmp_path / "chunks" / "chunk=0").mkdir(parents=True)
+    (tmp_path / "chunks" / "chunk=0" / "part-0.parquet").write_bytes(b"half")
+    clock, sink = Clock(), Sink("parquet", str(tmp_path / "topic"))
+    run_replay(spark, config, sink, chunks_path=str(tmp_path / "chunks"), clock=clock, sleep=clock.sleep)
+    assert read_delivered(spark, "parquet", sink.path).count() == 601
+
+
+def test_one_fab_of_a_day(spark, tmp_path):
+    events(spark).withColumn("fab", (F.col("n") % 2).cast("string")).write.partitionBy("dt", "fab").mode("overwrite").saveAsTable("replay_fab")
+    config = ReplayConfig(source_table="replay_fab", target_date="2024-01-01", max_speed=True, equal={"fab": "1"})
+    run_replay(spark, config, Sink("parquet", str(tmp_path / "topic")))
+    assert read_delivered(spark, "parquet", str(tmp_path / "topic")).count() == 300
+
+
+def test_own_chunks_are_removed(spark, tmp_path):
+    day_table(spark, "replay_own")
+    config = ReplayConfig(source_table="replay_own", target_date="2024-01-01", speed=HOUR / 1000)
+    clock = Clock()
+    before = set(Path(workspace.work_folder(spark).removeprefix("file:")).glob("chunks-*"))
+    run_replay(spark, config, Sink("noop"), clock=clock, sleep=clock.sleep)
+    assert set(Path(workspace.work_folder(spark).removeprefix("file:")).glob("chunks-*")) <= before
+
+
+def test_connector_columns(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 00:00:00.5Z' t, 1 i, 2.5BD d, date'2024-01-02' day, array(1, 2) a, 'x' s, true b")
+    row = df.select(plain_columns(df, df.columns)).first()
+    assert tuple(row) == (1_704_067_200_500, 1, "2.5", "2024-01-02", "[1,2]", "x", True)
+
+
 def test_avro_replay_looks_its_schema_up(spark, tmp_path):
     day_table(spark, "replay_avro")
     config = ReplayConfig(source_table="replay_avro", target_date="2024-01-01", max_speed=True, value_format="avro")
@@ -312,7 +404,11 @@ def test_empty_day_writes_nothing(spark, tmp_path):
 
 def test_staged_tables_go_to_the_checkpoint_folder(spark):
     folder = workspace.work_folder(spark)
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     assert folder.startswith(root.rstrip("/"))
     staged = workspace.stage(spark.range(3), "test")
     assert staged.count() == 3

@@ -82,7 +82,7 @@ def test_schema_name():
         ({"speed": 0}, "speed"),
         ({"speed": -1.0}, "speed"),
         ({"batch_size": 0}, "batch_size"),
-        ({"slice_ms": 10}, "slice_ms"),
+        ({"slice_ms": 0}, "slice_ms"),
         ({"value_format": "xml"}, "unknown value_format 'xml'"),
         ({"value_format": "avro"}, "value_schema"),
         ({"value_format": "Protobuf", "value_schema": "Event"}, "value_descriptor"),

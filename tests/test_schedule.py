@@ -15,6 +15,7 @@ from pulsetrail.operators.schedule import (
     replay_progress,
     replay_schedule,
     replay_slices,
+    uncovered,
 )
 
 HOUR = 3_600_000
@@ -66,11 +67,30 @@ def test_batches_of_any_times(spark, times, size, speed):
     assert [tuple(r) for r in result] == python_batches(times, size, speed)
 
 
-def test_rows_without_time_are_not_scheduled(spark):
-    df = spark.createDataFrame([(1,), (None,), (3,)], "event_time_ms bigint")
-    assert replay_batches(df, 10, 1.0).first()["rows"] == 2
-    assert replay_schedule(df, 1.0).count() == 2
-    assert replay_slices(df, 1.0, 1000).agg(F.sum("rows")).first()[0] == 2
+def test_rows_without_time_stay_in_sight(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,), (None,)], "event_time_ms bigint")
+    batches = replay_batches(df, 10, 1.0)
+    assert {tuple(r)[:3] for r in batches.collect()} == {(0, 2, 1), (None, 2, None)}
+    assert sorted((r["due_ms"] for r in replay_schedule(df, 1.0).collect()), key=str) == [0, 2, None, None]
+    slices = {r["slice_id"]: r["rows"] for r in replay_slices(df, 1.0, 1000).collect()}
+    assert slices == {0: 2, None: 2}
+    progress = {r["batch_id"]: (r["rows"], r["sent"], r["percent"]) for r in replay_progress(batches).collect()}
+    assert progress == {0: (2, 2, 50.0), None: (2, None, None)}
+
+
+def test_what_is_not_covered():
+    assert uncovered(0, 10, []) == [(0, 10)]
+    assert uncovered(0, 10, [(2, 4), (3, 6), (8, 20)]) == [(0, 2), (6, 8)]
+    assert uncovered(0, 10, [(-5, 10)]) == uncovered(0, 10, [(0, 5), (5, 10)]) == []
+    assert uncovered(0, 10, [(10, 20), (-3, 0)]) == [(0, 10)]
+
+
+def test_a_hot_millisecond_is_cut_in_several_tasks(spark):
+    df = spark.range(200_000).select(F.lit(5).cast("bigint").alias("event_time_ms"))
+    plan = replay_batches(df, 2, 1.0)._jdf.queryExecution().executedPlan().toString()
+    first = plan.index("Generate explode(sequence(stride")
+    assert "Exchange hashpartitioning(stride" in plan[first : plan.index("Generate explode", first + 1)]
+    assert replay_batches(df, 2, 1.0).agg(F.count("*"), F.sum("rows")).first()[:] == (100_000, 200_000)
 
 
 def test_empty_day(spark):
@@ -168,7 +188,7 @@ def test_slices_cover_all_rows(spark):
 
 def test_pending_slices(spark):
     slices = replay_slices(frame(spark, [0, 1000, 2000, 3000]), 1.0, 1000)
-    delivered = spark.createDataFrame([(0,), (2,), (2,)], "slice_id bigint")
+    delivered = spark.createDataFrame([(0, 1000), (2000, 3000), (2000, 3000), (3000, 3500)], "from_ms bigint, to_ms bigint")
     assert sorted(r["slice_id"] for r in pending_slices(slices, delivered).collect()) == [1, 3]
 
 
