@@ -14,12 +14,16 @@ from __future__ import annotations
 
 import numpy as np
 
+from pulsetrail.llm.common import mix64
+
 PERIOD = 64
 _STEP = 8  # its root
 # Places 0 to 7 and every eighth: 8 (q + 1) less 8 - s makes any difference 8 q + s.
 COVER = np.array([*range(_STEP), *range(_STEP, PERIOD, _STEP)])
 # A bucket holds about so many suffixes.
 BUCKET = 1 << 17
+# Suffixes of tied runs compared at once.
+MERGE = 1 << 20
 # Bytes behind the buffer that may be looked at.
 PAD = 1024
 
@@ -27,6 +31,7 @@ _PLACE = np.full(PERIOD, -1)
 _PLACE[COVER] = np.arange(len(COVER))
 _IN = _PLACE >= 0
 _TURNS = (np.arange(PERIOD)[:, None] + np.arange(PERIOD)) % PERIOD
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 # The first distance at which places of two residues both meet the sample.
 MEET = np.argmax(_IN[_TURNS][:, None, :] & _IN[_TURNS][None, :, :], axis=2)
 
@@ -107,32 +112,59 @@ def sort_bucket(buffer: Buffer, places: np.ndarray) -> np.ndarray:
     new[1:] = (tie[1:] != tie[:-1]) | (residue[1:] != residue[:-1])
     runs = np.flatnonzero(new)
     place = np.arange(len(order)) - np.repeat(runs, np.diff(np.append(runs, len(order))))
-    # Runs of different residues that tie are merged: a suffix comes after all that rank below it where
-    # the two residues meet.
-    mixed = np.flatnonzero(np.bincount(tie[runs], minlength=tie[-1] + 1) > 1)
-    if len(mixed):
-        inside = np.flatnonzero(np.isin(tie, mixed))
-        for a in np.unique(residue[inside]):
-            mine = inside[residue[inside] == a]
-            for b in np.unique(residue[inside]):
-                theirs = inside[residue[inside] == b]
-                if a == b or not np.isin(tie[mine], tie[theirs]).any():
-                    continue
-                meet = MEET[a, b]
-                keys = _pair(tie[theirs], buffer.rank_at(sorted_places[theirs] + meet))
-                keys.sort()
-                wanted = _pair(tie[mine], buffer.rank_at(sorted_places[mine] + meet))
-                below = np.searchsorted(keys, wanted) - np.searchsorted(keys, _pair(tie[mine], np.zeros(len(mine), np.int64)))
-                place[mine] += below
+    _merge_runs(buffer, sorted_places, tie, residue, runs, place)
     return order[np.lexsort([place, tie])]
 
 
-def _pair(tie: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    return (tie.astype(np.int64) << 32) | rank
+def _merge_runs(buffer: Buffer, places: np.ndarray, tie: np.ndarray, residue: np.ndarray, runs: np.ndarray, place: np.ndarray) -> None:
+    """Add to the ``place`` of each suffix in its run how many of the other runs of its tie rank below it.
+
+    ``runs`` are where suffixes of one tie and one residue begin. Two runs are compared where their
+    residues meet the sample.
+    """
+    first = np.searchsorted(tie[runs], tie[runs])
+    several = np.searchsorted(tie[runs], tie[runs], side="right") - first
+    size = np.diff(np.append(runs, len(tie)))
+    mixed = np.flatnonzero(several > 1)
+    # Suffixes that meet in all pairs of a run; pairs are taken so many at a time.
+    load = np.cumsum(several[mixed] * size[mixed])
+    start = 0
+    while start < len(mixed):
+        before = load[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(load, before + MERGE, side="right")))
+        some = mixed[start:stop]
+        start = stop
+        one = np.repeat(some, several[some])
+        other = first[one] + _counting(several[some])
+        one, other = one[one != other], other[one != other]
+        pair = np.arange(len(one)) << 32
+        meet = MEET[residue[runs[one]], residue[runs[other]]]
+        mine = np.repeat(runs[one], size[one]) + _counting(size[one])
+        theirs = np.repeat(runs[other], size[other]) + _counting(size[other])
+        keys = np.repeat(pair, size[other]) | buffer.rank_at(places[theirs] + np.repeat(meet, size[other]))
+        keys.sort()
+        wanted = np.repeat(pair, size[one]) | buffer.rank_at(places[mine] + np.repeat(meet, size[one]))
+        below = np.searchsorted(keys, wanted) - np.repeat(np.searchsorted(keys, pair), size[one])
+        place += np.bincount(mine, below, len(place)).astype(np.int64)
+
+
+def _counting(sizes: np.ndarray) -> np.ndarray:
+    """0 up to each size, one after another."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def _dense(keys: list[np.ndarray]) -> np.ndarray:
-    """Ranks from 0 by ``keys``, the first of most weight; equal rows share one."""
+    """Ranks from 0 by ``keys``, the first of most weight; equal rows share one.
+
+    Most rows come up several times, so rows are grouped by a hash first and only one of each is sorted.
+    """
+    mixed = np.zeros(len(keys[0]), np.uint64)
+    for key in keys:
+        mixed = mix64(mixed * _FACTOR + key.astype(np.uint64))
+    _, chosen, group = np.unique(mixed, return_index=True, return_inverse=True)
+    if any((key[chosen][group] != key).any() for key in keys):  # two rows with one hash
+        chosen = group = np.arange(len(mixed))
+    keys = [key[chosen] for key in keys]
     order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     for key in keys:
@@ -140,4 +172,4 @@ def _dense(keys: list[np.ndarray]) -> np.ndarray:
         new[1:] |= sorted_key[1:] != sorted_key[:-1]
     rank = np.empty(len(order), np.int64)
     rank[order] = np.cumsum(new)
-    return rank
+    return rank[group]
