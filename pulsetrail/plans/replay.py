@@ -80,7 +80,7 @@ def _staged(spark: SparkSession, day: DataFrame, path: str, config: ReplayConfig
     refused. Staging goes to a folder beside and is renamed when whole, so a failed one is never in the way."""
     left_out = ("speed", "slice_ms", "batch_size")
     settings = {k: v for k, v in asdict(config).items() if k not in left_out} | {"unit": unit}
-    schema = envelope(day, config).schema.add("chunk", "bigint")
+    schema = envelope(day, config).schema.add("chunk", "long")
     text = json.dumps(settings, sort_keys=True, default=str)
     if path_exists(spark, f"{path}/{SETTINGS}"):
         if read_text(spark, f"{path}/{SETTINGS}") != text:
