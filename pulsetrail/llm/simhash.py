@@ -112,8 +112,9 @@ def near_copies(
 
     Texts with the same words are one entry. A candidate is a pair whose SimHash over distinct single
     words differs in at most ``bits`` bits for one of the ``seeds``; a word or two in a hundred changed
-    moves these little. Every candidate is checked by its runs of words. Tasks compare pairs of texts,
-    and a group of any size is compared as a tree of links, not as all its pairs.
+    moves these little. Every candidate is checked by its runs of words. A group of any size is never
+    expanded into its pairs: each index links its members to one of them, another one in each order of the
+    bits and for each seed, so a text of a group has a hundred chances to meet one that is like it.
     """
     rows = bound_batches(df).select(F.col(id).cast("bigint").alias("id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
     names = [f"fp{s}" for s in range(len(seeds))]
@@ -136,7 +137,7 @@ def near_copies(
     entries = stage(known.groupBy("words_key").agg(first, *[F.min(n).alias(n) for n in names]), "copies-entries")
     pairs = None
     for name in names:
-        found = gray_links(entries.select(F.col("words_key").alias("id"), F.col(name).alias("fp")), bits, forest=False)
+        found = gray_links(entries.select(F.col("words_key").alias("id"), F.col(name).alias("fp")), bits)
         pairs = found if pairs is None else pairs.unionByName(found)
     pairs = stage(pairs.distinct(), "copies-pairs")
     runs = _word_runs(rows, entries, pairs, shingle)
