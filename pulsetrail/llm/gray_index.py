@@ -41,9 +41,11 @@ def gray_links(entries: DataFrame, bits: int = 4, *, forest: bool = True) -> Dat
     """Links (a, b) between the ids of ``entries`` (id, fp) whose fingerprints differ in at most ``bits``.
 
     With ``forest`` every task returns the fewest links that connect what it found, else all it found
-    with one link standing for groups that belong as a whole. Ids are distinct, fingerprints need not be.
+    with one link standing for groups that belong as a whole. If ``entries`` have a ``root``, it is every
+    pair with different roots instead. Ids are distinct, fingerprints need not be.
     """
     spark = entries.sparkSession
+    root = ["root"] if "root" in entries.columns else []
     orders = list(combinations(range(bits + 2), 2))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,43 +58,43 @@ def gray_links(entries: DataFrame, bits: int = 4, *, forest: bool = True) -> Dat
                 group = (np.uint64(number) << np.uint64(40)) | (code >> rest)
                 low = gray_rank(code) & ((np.uint64(1) << rest) - np.uint64(1))
                 arrays = [ids, pa.array(group.view(np.int64)), pa.array(low.view(np.int64)), batch.column("fp")]
-                yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "rank", "fp"])
+                yield pa.RecordBatch.from_arrays(arrays + [batch.column(c) for c in root], ["id", "node", "rank", "fp", *root])
 
-    placed = entries.mapInArrow(spread, "id bigint, node bigint, rank bigint, fp bigint")
+    placed = entries.mapInArrow(spread, "id bigint, node bigint, rank bigint, fp bigint" + ", root bigint" * len(root))
     sizes = placed.groupBy("node").count().filter(F.col("count") > BLOCK)
     large = stage(sizes.select("node", F.ceil(F.col("count") / BLOCK).alias("blocks")), "gray-large")
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     dealt = placed.join(large, "node", "left").withColumn("own", own).withColumn("other", other)
     dealt = dealt.select(
-        "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "rank", "id", "fp"
+        "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "rank", "id", "fp", *root
     )
     key = ["node", "x", "y"]
     in_order = dealt.repartition(partitions(spark), *key).sortWithinPartitions(*key, "rank")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for starts, ids, codes in _groups(batches):
-            found = search(starts, codes, bits)
-            for a, b in [fewest(len(codes), found)] if forest else found:
+        for starts, ids, codes, *roots in groups(batches, *root):
+            found = search(starts, codes, bits, *roots)
+            for a, b in [fewest(len(codes), found)] if forest and not root else found:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
     links = in_order.mapInArrow(link, "a bigint, b bigint")
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Whole upper nodes of two or more members from rows in order: where each starts, ids, fingerprints."""
+def groups(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Whole upper nodes of two or more members from rows in order: where each starts, ids, fingerprints and ``more``."""
     held: list[tuple[np.ndarray, ...]] = []
     waiting = 0
 
-    def take(last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    def take(last: bool) -> tuple[np.ndarray, ...] | None:
         nonlocal held, waiting
-        node, x, y, ids, fp = (np.concatenate(c) for c in zip(*held))
+        node, x, y, ids, fp, *rest = (np.concatenate(c) for c in zip(*held))
         new = np.ones(len(node), bool)
         new[1:] = (node[1:] != node[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
         starts = np.flatnonzero(new)
         stop = len(node) if last else starts[-1]
-        held, waiting = [(node[stop:], x[stop:], y[stop:], ids[stop:], fp[stop:])], 0
+        held, waiting = [tuple(c[stop:] for c in (node, x, y, ids, fp, *rest))], 0
         bounds = np.append(starts[starts < stop], stop)
         size = np.repeat(np.diff(bounds), np.diff(bounds))
         shared = np.flatnonzero(size > 1)
@@ -100,10 +102,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
             return None
         counts = np.diff(bounds)
         counts = counts[counts > 1]
-        return np.concatenate([[0], np.cumsum(counts)]), ids[shared], fp[shared].view(np.uint64)
+        return np.concatenate([[0], np.cumsum(counts)]), ids[shared], fp[shared].view(np.uint64), *[c[shared] for c in rest]
 
     for batch in batches:
-        columns = [pa.compute.fill_null(batch.column(c), -1).to_numpy(zero_copy_only=False) for c in ("node", "x", "y", "id", "fp")]
+        columns = [pa.compute.fill_null(batch.column(c), -1).to_numpy(zero_copy_only=False) for c in ("node", "x", "y", "id", "fp", *more)]
         held.append(tuple(columns))
         waiting += batch.num_rows
         if waiting >= GATHER and (found := take(False)):
@@ -112,10 +114,13 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield found
 
 
-def search(starts: np.ndarray, codes: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search(starts: np.ndarray, codes: np.ndarray, bits: int, label: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of linked fingerprints in ``codes``, which hold one index after another, each in Gray order
-    from ``starts[i]`` to ``starts[i + 1]``."""
+    from ``starts[i]`` to ``starts[i + 1]``. With a ``label`` for each, all pairs of different labels."""
     levels = build(starts, codes)
+    if label is not None:
+        for level in levels:
+            level["low"], level["high"] = (f.reduceat(label, level["start"]) for f in (np.minimum, np.maximum))
     top = len(levels) - 1
     queries = np.arange(len(codes))
     roots = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
@@ -137,11 +142,13 @@ def search(starts: np.ndarray, codes: np.ndarray, bits: int) -> Iterator[tuple[n
         query, apart = np.repeat(query, count), np.repeat(apart, count)
         # Links go to later places, so each pair comes up once; the last of a group still meets its group.
         ahead = below["stop"][child] > query
+        if label is not None:
+            ahead &= (below["low"][child] != label[query]) | (below["high"][child] != label[query])
         child, query, apart = child[ahead], query[ahead], apart[ahead]
         apart = apart + np.bitwise_count((codes[query] ^ below["pattern"][child]) & below["fresh"][child]).astype(np.int8)
         near = apart <= bits
         child, query, apart = child[near], query[near], apart[near]
-        if level > 1:
+        if level > 1 and label is None:
             whole = apart + below["open"][child] <= bits
             first = below["start"][child]
             other = whole & (query != first)

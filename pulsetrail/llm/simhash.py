@@ -112,9 +112,10 @@ def near_copies(
 
     Texts with the same words are one entry. A candidate is a pair whose SimHash over distinct single
     words differs in at most ``bits`` bits for one of the ``seeds``; a word or two in a hundred changed
-    moves these little. Every candidate is checked by its runs of words. A group of any size is never
-    expanded into its pairs: each index links its members to one of them, another one in each order of the
-    bits and for each seed, so a text of a group has a hundred chances to meet one that is like it.
+    moves these little. Every candidate is checked by its runs of words, or its two texts are connected by
+    others that were. First each index links its members by as few candidates as connect them; where some
+    of these are refuted, all candidates between texts that are still apart are checked too. So a group of
+    copies is never expanded into its pairs, and no candidate is left out.
     """
     rows = bound_batches(df).select(F.col(id).cast("bigint").alias("id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
     names = [f"fp{s}" for s in range(len(seeds))]
@@ -135,13 +136,21 @@ def near_copies(
     known = stage(rows.mapInArrow(describe, schema), "copies")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("first")
     entries = stage(known.groupBy("words_key").agg(first, *[F.min(n).alias(n) for n in names]), "copies-entries")
-    pairs = None
-    for name in names:
-        found = gray_links(entries.select(F.col("words_key").alias("id"), F.col(name).alias("fp")), bits)
-        pairs = found if pairs is None else pairs.unionByName(found)
-    pairs = stage(pairs.distinct(), "copies-pairs")
+
+    def candidates(of: DataFrame, label: str, *root: str) -> DataFrame:
+        pairs = None
+        for name in names:
+            found = gray_links(of.select(F.col("words_key").alias("id"), F.col(name).alias("fp"), *root), bits)
+            pairs = found if pairs is None else pairs.unionByName(found)
+        return stage(pairs.distinct(), label)
+
+    pairs = candidates(entries, "copies-pairs")
     runs = _word_runs(rows, entries, pairs, shingle)
     links = stage(_alike(pairs, runs, threshold), "copies-links")
+    open_ = stage(_still_apart(entries, pairs, links), "copies-open")
+    if not open_.isEmpty():
+        rest = stage(candidates(open_, "copies-apart", "root").join(pairs, ["a", "b"], "left_anti"), "copies-rest")
+        links = stage(links.unionByName(_alike(rest, runs, threshold)), "copies-links")
     roots = components(links, "copies")
     named = entries.join(roots, entries["words_key"] == roots["node"], "left")
     named = stage(named.select("words_key", "first", F.coalesce("root", "words_key").alias("root")), "copies-roots")
@@ -178,6 +187,15 @@ def _text_key(text: str):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def _still_apart(entries: DataFrame, pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``entries``, with the ``root`` that ``links`` give each, of groups that ``pairs`` connect and ``links`` do not."""
+    loose = components(pairs, "copies-loose").select(F.col("node").alias("words_key"), F.col("root").alias("group"))
+    sure = components(links, "copies-sure").select(F.col("node").alias("words_key"), "root")
+    both = stage(loose.join(sure, "words_key", "left").withColumn("root", F.coalesce("root", "words_key")), "copies-groups")
+    open_ = both.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return entries.join(both.join(open_, "group", "left_semi").select("words_key", "root"), "words_key")
+
+
 def _word_runs(rows: DataFrame, entries: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """The sorted hashes of the word runs of every entry in ``pairs``: words_key, runs."""
     wanted = pairs.select(F.col("a").alias("words_key")).unionByName(pairs.select(F.col("b").alias("words_key"))).distinct()

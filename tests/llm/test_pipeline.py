@@ -114,3 +114,14 @@ def test_empty_table(spark, documents):
     assert all_queries()  # the pipeline's operators are all registered on their own too
     assert corpus_pipeline.mixed_documents(spark, docs, folder).count() == 0
     assert corpus_pipeline.token_files(spark, docs, folder).count() == 0
+
+
+def test_copies_that_only_meet_under_a_text_unlike_both(spark):
+    # All texts have the same distinct words and so the same fingerprints; only two and two are alike.
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(100)])
+    rows = []
+    for i in range(150):
+        own = rng.permutation(words)
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(np.roll(own, 3)))]
+    assert [r[0] for r in sorted(distinct(spark, rows))] == list(range(0, 300, 2))
