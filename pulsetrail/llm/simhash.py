@@ -21,9 +21,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import LOWER, bound_batches, keep_row, mix64, pieces, texts
+from pulsetrail.llm.common import LOWER, bound_batches, keep_row, mix64, partitions, pieces, texts
 from pulsetrail.llm.components import components
-from pulsetrail.llm.gray_index import gray_links
+from pulsetrail.llm.gray_index import FRONTIER, gray_links, groups
 from pulsetrail.llm.shared_keys import sized
 from pulsetrail.workspace import stage
 
@@ -32,9 +32,15 @@ BITS = 4
 # For candidates by distinct single words. Of the pairs of given documents with a similarity of 0.8 to 0.95
 # each seed finds nine in ten within six bits; of pairs taken at random one in a thousand differs in 17
 # bits or fewer. A tenth of a text added in one place moves a fingerprint more than words changed here and
-# there, so a pair just above 0.8 can be missed by all of them.
+# there; ``band_keys`` find what they miss.
 COPY_BITS = 6
 SEEDS = (0x1234567, 0x89ABCDE, 0xF012345, 0x6789ABC)
+# Smallest hashes of a text's runs of words, in bands: a pair with a similarity of 0.8 has one of the bands in
+# common with a chance of 0.996, wherever its words differ, and one of 0.5 with a chance of 0.36.
+BANDS = 14
+ROWS = 5
+# Of a text's shingle hashes so many are taken under all functions at once.
+COLUMNS = 1 << 12
 # Of a text's shingle hashes so many are unpacked to bits at once.
 UNPACK = 1 << 16
 
@@ -96,6 +102,20 @@ def simhash(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A key for each band of ``ROWS`` smallest hashes; none without hashes."""
+    if not len(hashes):
+        return []
+    by = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))[:, None] | np.uint64(1)
+    own = by >> np.uint64(7)
+    parts = [((hashes[at : at + COLUMNS] ^ own) * by).min(axis=1) for at in range(0, len(hashes), COLUMNS)]
+    least = np.min(parts, axis=0).reshape(BANDS, ROWS)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for row in range(ROWS):
+        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + least[:, row])
+    return key.view(np.int64).tolist()
+
+
 def near_copies(
     df: DataFrame,
     *,
@@ -112,8 +132,9 @@ def near_copies(
 
     Texts with the same words are one entry. A candidate is a pair whose SimHash over distinct single
     words differs in at most ``bits`` bits for one of the ``seeds``; a word or two in a hundred changed
-    moves these little. Every candidate is checked by its runs of words, or its two texts are connected by
-    others that were. First each index links its members by as few candidates as connect them; where some
+    moves these little. So is a pair with one of its ``band_keys`` in common, as where words were added in
+    one place. Every candidate is checked by its runs of words, or its two texts are connected by
+    others that were. First each index and key links its members by as few candidates as connect them; where some
     of these are refuted, all candidates between texts that are still apart are checked too. So a group of
     copies is never expanded into its pairs, and no candidate is left out.
     """
@@ -122,26 +143,26 @@ def near_copies(
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            keys, fps = [], []
+            keys, fps, bands = [], [], []
             for t in texts(batch.column("text")):
                 words = words_of(t)
                 keys.append(xxhash.xxh64_intdigest(b" ".join(words)))
                 own = np.array([xxhash.xxh64_intdigest(w) for w in set(words)], np.uint64)
                 fps.append([simhash(mix64(own + np.uint64(seed))) for seed in seeds])
+                bands.append(band_keys(shingle_hashes(words, shingle)))
             signed = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-            arrays = [batch.column("id"), batch.column("text_key"), signed(keys), *map(signed, zip(*fps))]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "text_key", "words_key", *names])
+            arrays = [batch.column("id"), batch.column("text_key"), signed(keys), *map(signed, zip(*fps)), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "text_key", "words_key", *names, "bands"])
 
-    schema = "id bigint, text_key bigint, words_key bigint" + "".join(f", {name} bigint" for name in names)
+    schema = "id bigint, text_key bigint, words_key bigint" + "".join(f", {name} bigint" for name in names) + ", bands array<bigint>"
     known = stage(rows.mapInArrow(describe, schema), "copies")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("first")
-    entries = stage(known.groupBy("words_key").agg(first, *[F.min(n).alias(n) for n in names]), "copies-entries")
+    entries = stage(known.groupBy("words_key").agg(first, *[F.min(n).alias(n) for n in [*names, "bands"]]), "copies-entries")
 
     def candidates(of: DataFrame, label: str, *root: str) -> DataFrame:
-        pairs = None
+        pairs = _band_links(of.select("words_key", F.explode("bands").alias("key"), *root))
         for name in names:
-            found = gray_links(of.select(F.col("words_key").alias("id"), F.col(name).alias("fp"), *root), bits)
-            pairs = found if pairs is None else pairs.unionByName(found)
+            pairs = pairs.unionByName(gray_links(of.select(F.col("words_key").alias("id"), F.col(name).alias("fp"), *root), bits))
         return stage(pairs.distinct(), label)
 
     pairs = candidates(entries, "copies-pairs")
@@ -187,6 +208,39 @@ def _text_key(text: str):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def _band_links(keyed: DataFrame) -> DataFrame:
+    """Links (a, b) of each key's members to the smallest of them; if ``keyed`` has a ``root``, every pair of
+    members with different roots."""
+    if "root" not in keyed.columns:
+        low = keyed.groupBy("key").agg(F.min("words_key").alias("b"), F.max("words_key").alias("high")).filter("b < high")
+        return keyed.join(low, "key").select(F.col("words_key").alias("a"), "b").filter("a <> b").distinct()
+    open_ = keyed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    none = F.lit(None).cast("bigint")
+    placed = keyed.join(open_, "key").select(F.col("key").alias("node"), none.alias("x"), none.alias("y"), F.col("words_key").alias("id"), F.col("root").alias("fp"))
+    in_order = placed.repartition(partitions(keyed.sparkSession), "node").sortWithinPartitions("node", "fp")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for starts, ids, roots in groups(batches):
+            begin = np.repeat(starts[:-1], np.diff(starts))
+            new = np.ones(len(ids), bool)
+            new[1:] = (roots[1:] != roots[:-1]) | (begin[1:] != begin[:-1])
+            # Each with all that stand before its own root in its key.
+            before = np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0)) - begin
+            upto = np.concatenate([[0], np.cumsum(before)])
+            at = 0
+            while at < len(ids):
+                stop = max(at + 1, int(np.searchsorted(upto, upto[at] + FRONTIER, side="right")) - 1)
+                some = before[at:stop]
+                a = np.repeat(np.arange(at, stop), some)
+                b = np.arange(len(a)) - np.repeat(upto[at:stop] - upto[at], some) + begin[a]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
+                at = stop
+
+    pairs = in_order.mapInArrow(link, "a bigint, b bigint")
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def _still_apart(entries: DataFrame, pairs: DataFrame, links: DataFrame) -> DataFrame:
     """The ``entries``, with the ``root`` that ``links`` give each, of groups that ``pairs`` connect and ``links`` do not."""
     loose = components(pairs, "copies-loose").select(F.col("node").alias("words_key"), F.col("root").alias("group"))

@@ -125,3 +125,16 @@ def test_copies_that_only_meet_under_a_text_unlike_both(spark):
         own = rng.permutation(words)
         rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(np.roll(own, 3)))]
     assert [r[0] for r in sorted(distinct(spark, rows))] == list(range(0, 300, 2))
+
+
+def test_copies_with_words_added_in_one_place(spark):
+    rng = np.random.default_rng(7)
+    words = np.array([f"w{i}" for i in range(50_000)])
+    rows = []
+    for i in range(200):
+        base, more = rng.choice(words, 200), rng.choice(words, 40)
+        at = rng.choice([0, 200])
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:at], *more, *base[at:]]))]
+    # A similarity of 0.83.
+    gone = 400 - len(distinct(spark, rows))
+    assert gone >= 0.97 * 200

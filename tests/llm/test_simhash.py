@@ -4,7 +4,7 @@ import xxhash
 from pulsetrail.llm.components import components
 from pulsetrail.llm.gray_index import build, fewest, gray_links, search, spanning
 from pulsetrail.llm.queries import all_queries
-from pulsetrail.llm.simhash import shingle_hashes
+from pulsetrail.llm.simhash import band_keys, shingle_hashes
 
 SF = "/root/testdata/sf0.01"
 
@@ -140,3 +140,17 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1200)] + [(5000, 5000)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "t").collect()}
     assert found == {i: 0 for i in range(201)} | {i: 1000 for i in range(1000, 1200)}
+
+
+def test_keys_find_words_added_in_one_place():
+    rng = np.random.default_rng(6)
+    for n, added in ((100, 15), (200, 40), (200, 34), (1000, 200)):
+        found = 0
+        for number in range(200):
+            words = [b"w%d" % w for w in rng.integers(0, 50_000, n)]
+            at = rng.choice([0, n // 2, n])
+            more = words[:at] + [b"v%d" % w for w in rng.integers(0, 50_000, added)] + words[at:]
+            a, b = (shingle_hashes(w, 5) for w in (words, more))
+            assert 0.79 < len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < 0.87
+            found += bool(set(band_keys(a)) & set(band_keys(b)))
+        assert found >= 0.97 * 200
