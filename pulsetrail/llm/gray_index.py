@@ -73,9 +73,17 @@ def gray_links(entries: DataFrame, bits: int = 4, *, forest: bool = True) -> Dat
     in_order = dealt.repartition(partitions(spark), *key).sortWithinPartitions(*key, "rank")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for starts, ids, codes, *roots in groups(batches, *root):
-            found = search(starts, codes, bits, *roots)
-            for a, b in [fewest(len(codes), found)] if forest and not root else found:
+        if root:
+            for starts, ids, codes, roots, node in groups(batches, "root", "node"):
+                order = node >> 40
+                for a, b in search(starts, codes, bits, roots):
+                    # An index has the pairs that share no earlier pieces than its own.
+                    own = order[a] == _first_order(codes[a] ^ codes[b], bits)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[a[own]]), pa.array(ids[b[own]])], ["a", "b"])
+            return
+        for starts, ids, codes in groups(batches):
+            found = search(starts, codes, bits)
+            for a, b in [fewest(len(codes), found)] if forest else found:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
     links = in_order.mapInArrow(link, "a bigint, b bigint")
@@ -240,6 +248,19 @@ def permute(codes: np.ndarray, order: tuple[int, ...], bits: int) -> np.ndarray:
     return out
 
 
+def _first_order(apart: np.ndarray, bits: int) -> np.ndarray:
+    """Number of the first order whose two pieces have none of the bits ``apart``."""
+    ends = np.cumsum(_widths(bits))
+    same = []
+    for width, end in zip(_widths(bits), ends):
+        mask = ((1 << width) - 1) << int(64 - end)
+        same.append((apart & np.uint64(mask)) == 0)
+    out = np.full(len(apart), -1, np.int64)
+    for number, (p, q) in enumerate(combinations(range(bits + 2), 2)):
+        out[(out < 0) & same[p] & same[q]] = number
+    return out
+
+
 def _widths(bits: int) -> list[int]:
     n = bits + 2
     return [64 // n + (p < 64 % n) for p in range(n)]

@@ -41,6 +41,8 @@ BANDS = 14
 ROWS = 5
 # Of a text's shingle hashes so many are taken under all functions at once.
 COLUMNS = 1 << 12
+# Texts of a group are compared in pairs of blocks of about so many.
+BLOCK_TEXTS = 256
 # Of a text's shingle hashes so many are unpacked to bits at once.
 UNPACK = 1 << 16
 
@@ -171,7 +173,7 @@ def near_copies(
     open_ = stage(_still_apart(entries, pairs, links), "copies-open")
     if not open_.isEmpty():
         rest = stage(candidates(open_, "copies-apart", "root").join(pairs, ["a", "b"], "left_anti"), "copies-rest")
-        links = stage(links.unionByName(_alike(rest, runs, threshold)), "copies-links")
+        links = stage(links.unionByName(_alike_in_blocks(rest, open_, runs, threshold)), "copies-links")
     roots = components(links, "copies")
     named = entries.join(roots, entries["words_key"] == roots["node"], "left")
     named = stage(named.select("words_key", "first", F.coalesce("root", "words_key").alias("root")), "copies-roots")
@@ -247,7 +249,8 @@ def _still_apart(entries: DataFrame, pairs: DataFrame, links: DataFrame) -> Data
     sure = components(links, "copies-sure").select(F.col("node").alias("words_key"), "root")
     both = stage(loose.join(sure, "words_key", "left").withColumn("root", F.coalesce("root", "words_key")), "copies-groups")
     open_ = both.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return entries.join(both.join(open_, "group", "left_semi").select("words_key", "root"), "words_key")
+    sizes = both.join(open_, "group", "left_semi").groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("blocks"))
+    return entries.join(both.join(sizes, "group").select("words_key", "root", "group", "blocks"), "words_key")
 
 
 def _word_runs(rows: DataFrame, entries: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
@@ -267,6 +270,47 @@ def _word_runs(rows: DataFrame, entries: DataFrame, pairs: DataFrame, shingle: i
     return stage(chosen.mapInArrow(runs, "words_key bigint, runs binary").dropDuplicates(["words_key"]), "copies-runs")
 
 
+def _alike_in_blocks(pairs: DataFrame, members: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
+    """The same as ``_alike`` for very many ``pairs`` within the groups of ``members``: a text goes to the
+    tasks of its block with each other block of its group, and not with each pair."""
+    own = F.pmod(F.xxhash64("words_key"), F.col("blocks"))
+    placed = stage(members.select("words_key", "group", "blocks", own.alias("own")), "copies-blocks")
+    sides = [placed.select(F.col("words_key").alias(c), "group", F.col("own").alias(f"own_{c}")) for c in ("a", "b")]
+    asked = pairs.join(sides[0], "a").join(sides[1].drop("group"), "b")
+    tile = [F.least("own_a", "own_b").alias("x"), F.greatest("own_a", "own_b").alias("y")]
+    asked = stage(asked.select("group", *tile, "a", "b"), "copies-asked")
+    needed = asked.select("group", "x", "y", F.explode(F.array("a", "b")).alias("words_key")).distinct()
+    texts_ = needed.join(runs, "words_key").select("group", "x", "y", F.col("words_key").alias("a"), F.lit(None).cast("bigint").alias("b"), "runs")
+    key = ["group", "x", "y"]
+    both = texts_.unionByName(asked.withColumn("runs", F.lit(None).cast("binary")))
+    # NULL comes first: the texts before the pairs.
+    in_order = both.repartition(partitions(pairs.sparkSession), *key).sortWithinPartitions(*key, "b")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        at = None
+        for batch in batches:
+            near = []
+            for *tile, a, b, own in zip(*[batch.column(c).to_pylist() for c in (*key, "a", "b", "runs")]):
+                if tile != at:
+                    held, at = {}, tile
+                if b is None:
+                    held[a] = np.frombuffer(own, np.uint64)
+                elif _similar(held[a], held[b], threshold):
+                    near.append((a, b))
+            if near:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*near)], ["a", "b"])
+
+    return in_order.mapInArrow(check, "a bigint, b bigint")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    if min(len(x), len(y)) < threshold * max(len(x), len(y)) - 1e-9:
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared >= threshold * (len(x) + len(y) - shared) - 1e-9
+
+
 def _alike(pairs: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
     """The ``pairs`` whose sets of word runs are alike enough."""
     sides = [runs.select(F.col("words_key").alias(c), F.col("runs").alias(f"runs_{c}")) for c in ("a", "b")]
@@ -275,9 +319,7 @@ def _alike(pairs: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             near = []
             for x, y in zip(batch.column("runs_a").to_pylist(), batch.column("runs_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(shared >= threshold * (len(x) + len(y) - shared) - 1e-9)
+                near.append(_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold))
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "runs_a", "runs_b").mapInArrow(check, "a bigint, b bigint")
