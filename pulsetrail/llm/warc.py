@@ -35,7 +35,7 @@ from pulsetrail.workspace import new_path, stage
 GZIP = b"\x1f\x8b\x08"
 FILE_BYTES = 256 << 20
 RANGE_BYTES = 8 << 20
-HEADER_BYTES = 64 << 10
+FIRST_BYTES = 64 << 10
 CHUNK = 256 << 10
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -190,23 +190,25 @@ def _decode(file: pa.NativeFile, at: int) -> tuple[int, bytes] | None:
     """End and content of the member at this place, None if it is not one of a WARC record."""
     inflate, data, checked = zlib.decompressobj(31), [], False
     file.seek(at)
-    end, head = at, b""
+    end = at
     try:
         while not inflate.eof:
             chunk = file.read(CHUNK)
             if not chunk:
                 return None
             if not checked:
-                # The headers decide; a wrong place is given up before much of it is inflated.
-                head = inflate.decompress(chunk, HEADER_BYTES)
-                if head[:7] != b"WARC/1." or b"\r\n\r\n" not in head:
+                # The first line decides; a wrong place is given up before much of it is inflated.
+                head = inflate.decompress(chunk, FIRST_BYTES)
+                if head[:7] != b"WARC/1.":
                     return None
                 data += [head, inflate.decompress(inflate.unconsumed_tail)]
                 checked = True
             else:
                 data.append(inflate.decompress(chunk))
             end += len(chunk)
-        return end - len(inflate.unused_data), b"".join(data)
+        whole = b"".join(data)
+        # Headers are as long as their texts are.
+        return (end - len(inflate.unused_data), whole) if b"\r\n\r\n" in whole else None
     except zlib.error:
         return None
 

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import zlib
+from urllib.parse import unquote
 
 from pulsetrail.llm.queries import all_queries
 from pulsetrail.llm.warc import read_warc, record, resolve_revisits, write_warc
@@ -67,3 +68,9 @@ def test_files_are_gzip(spark, pages):
             data += one.decompress(rest)
             rest = one.unused_data
     assert data == b"".join(record(i, "u", h, None) for i, h in ((1, b"<p>x</p>"), (2, b"y")))
+
+
+def test_headers_of_any_length(spark, pages):
+    rows = [(1, "http://h/" + "a" * 100_000, "<p>long"), (2, "http://h/2", "<p>short"), (3, "http://h/" + "ü" * 100_000, "<p>long too")]
+    found = read_warc(spark, write_warc(spark.read.parquet(pages(rows) + "/pages.parquet"))).collect()
+    assert sorted((r.page_id, unquote(r.target_uri), r.payload.decode()) for r in found) == rows
