@@ -6,7 +6,52 @@ _WORD = r"'[^\x20\x09-\x0D]+'"
 
 
 def all_sql() -> dict[str, str]:
-    return {"op5_mixing": _MIXING, "op6_quality_rules": _QUALITY, "op10_chat": _CHAT}
+    return {
+        "op5_mixing": _MIXING,
+        "op6_quality_rules": _QUALITY,
+        "op10_chat": _CHAT,
+        "op11_source_divergence": _DIVERGENCE,
+        "op12_vector_codes": _vector_codes(),
+    }
+
+
+def _vector_codes() -> str:
+    """Lloyd's rounds one after another; components in long form, a codebook per round."""
+    steps = []
+    for i in range(5):
+        # The distance of each part to each entry, and the nearest; whole numbers in floating point are exact here.
+        steps.append(f"""near{i} AS (
+  SELECT vec_id, part, arg_min(entry, (far, entry)) AS entry, min(far) AS far FROM (
+    SELECT p.vec_id, p.part, b.entry, list_sum(list_transform(list_zip(p.xs, b.xs), lambda z: (z[1] - z[2]) ** 2)) AS far
+    FROM p JOIN book{i} b USING (part)
+  ) GROUP BY ALL
+)""")
+        if i < 4:
+            steps.append(f"""book{i + 1} AS (
+  SELECT b.part, b.entry, coalesce(n.xs, b.xs) AS xs FROM book{i} b LEFT JOIN (
+    SELECT part, entry, list(floor(total / n)::BIGINT ORDER BY pos) AS xs FROM (
+      SELECT part, entry, pos, sum(x) AS total, count(*) AS n FROM (
+        SELECT part, entry, unnest(xs) AS x, unnest(range(len(xs))) AS pos FROM near{i} JOIN p USING (vec_id, part)
+      ) GROUP BY ALL
+    ) GROUP BY ALL
+  ) n USING (part, entry)
+)""")
+    return f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS xs FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT vec_id, label, part, xs[part * len(xs) // 4 + 1 : (part + 1) * len(xs) // 4] AS xs FROM v, (SELECT unnest([0, 1, 2, 3]) AS part)
+), book0 AS (
+  SELECT part, entry - 1 AS entry, xs FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS entry FROM p) WHERE entry <= 256
+), {", ".join(steps)}, c AS (
+  SELECT vec_id, label, string_agg(lower(printf('%02x', n.entry)), '' ORDER BY n.part) AS code, sum(far)::BIGINT AS error
+  FROM near4 n JOIN v USING (vec_id) GROUP BY ALL
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(xs, ','), ',' ORDER BY part, entry)) FROM book4) AS codebooks_sha256
+FROM c
+"""
 
 
 _MIXING = f"""
@@ -86,3 +131,38 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sum(chars)::BIGINT AS formatted_chars
 FROM l GROUP BY conv_id
 """
+
+_P = "1 + 1000000000::HUGEINT * ({0} + 2) // ({1} + 2 * v)"
+_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), w AS (
+  SELECT r, lang, source, unnest(ws) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 10
+), c AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, total
+  FROM (SELECT DISTINCT lang, source FROM d) JOIN k USING (lang)
+    LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL) USING (lang, source, term)
+), s AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source) AS size, sum(total) OVER (PARTITION BY lang, source) AS lang_size,
+    count(*) OVER (PARTITION BY lang, source) AS v FROM c
+), p AS (
+  SELECT lang, source, term, n, ({_P.format("n", "size")})::BIGINT AS p, ({_P.format("total", "lang_size")})::BIGINT AS q FROM s
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM (SELECT DISTINCT lang, source FROM d) a
+    JOIN (SELECT DISTINCT lang, source FROM d) b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+), term AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q
+), b AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM b QUALIFY part = 'pair' OR rank <= 10
+"""

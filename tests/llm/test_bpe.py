@@ -1,0 +1,116 @@
+import hashlib
+import json
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from pulsetrail.llm.bpe import Encoder, Merges, decode, encode
+from pulsetrail.llm.queries import all_queries, tokenizer_path, word_tokenizer_path
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(word_tokenizer_path())
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return Encoder(word_tokenizer_path())
+
+
+def expected(rows, library):
+    out = []
+    for key, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        out.append((key, len(ids), digest, hashlib.sha256(decoded.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def run(spark, folder):
+    found = all_queries()["op13_bpe"](spark, folder)
+    return sorted(map(tuple, found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()), key=str)
+
+
+TEXT = st.lists(
+    st.sampled_from(
+        ["a", "The", "strength", "xqzj", " ", "  ", "\n", "\t", "'S", "'ll", "é", "é", "́", "12", "!", "\x1c", "\x85", "　"]
+        + ["<|endoftext|>", "<|startoftext|", "</w>", "<", "\r\n", "日本", "​", "’", "İ", "Σ", "ΑΣ", "ß", "ﬁ", "\x00", "aaaa", "😀"]
+    )
+).map("".join)
+
+
+@settings(max_examples=600, deadline=None)
+@given(TEXT | st.text())
+def test_ids_are_those_of_the_library(library, coder, text):
+    if any(0xD800 <= ord(c) < 0xE000 for c in text):
+        return
+    ids = np.frombuffer(coder.encode(pa.array([text]))[0], "<u4").tolist()
+    assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_query(spark, library):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert run(spark, SF) == expected(rows, library)
+
+
+def test_odd_rows(spark, documents, library):
+    rng = random.Random(4)
+    long_word = "".join(rng.choice("abcdefghij") for _ in range(30_000))
+    rows = [(5, None), (3, ""), (9, "one twö " * 200_000), (7, " \n \x0b"), (None, "no id"), (8, long_word), (8, long_word), (1, "x" * 5000)]
+    rows += [(20, "日本語" * 3000), (21, "<|endoftext|>" * 3 + " a<|startoftext|>b")]
+    assert run(spark, documents(rows)) == expected(rows, library)
+    assert run(spark, documents([])) == []
+
+
+def test_other_columns_stay(spark):
+    df = spark.createDataFrame([("a b", 1, "x", None)], "text string, ids int, decoded string, `odd name` int")
+    found = decode(encode(df, word_tokenizer_path()), word_tokenizer_path()).first()
+    assert tuple(found._row) == ("a b", 1, "x", None) and found.decoded == "a</w> b</w>"
+
+
+def test_decoding_odd_ids(spark, library):
+    ids = [library.encode("hello there", add_special_tokens=False).ids, [49407, 1 << 20, 5], []]
+    rows = [(np.array(x, "<u4").tobytes(),) for x in ids] + [(None,)]
+    found = [r.decoded for r in decode(spark.createDataFrame(rows, "ids binary"), word_tokenizer_path()).collect()]
+    assert found == [library.decode(x, skip_special_tokens=False) for x in ids] + [""]
+
+
+def test_few_words_fail_and_these_are_merged(coder):
+    """Proposals and exact merging agree with plain merging on words that do and that do not hold."""
+    merges, rng = coder.merges, random.Random(1)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 90))) for _ in range(400)]
+    spelled = [[merges.symbol[s] for s in merges.symbols(w)] for w in words]
+    plain = [merges.merge(list(s)) for s in spelled]
+    assert merges.merge_all([np.array(s) for s in spelled]) == plain
+    found = coder._ids(words)
+    assert [np.frombuffer(found[w], "<u4").tolist() for w in words] == plain
+    pairs = [(a, b) for ids in plain for a, b in zip(ids, ids[1:])]
+    assert merges.compatible(*np.array(pairs).T).all()
+
+
+def test_compatibility_is_merging_of_the_two(coder):
+    merges, rng = coder.merges, random.Random(2)
+    tokens = [i for s, i in merges.token.items() if ord(s[-1]) < 0x10000]
+    spelled = {i: s for s, i in merges.token.items()}
+    pairs = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(3000)] + [(t, t) for t in tokens[:500]]
+    want = [merges.merge([merges.symbol[s] for s in spelled[a] + spelled[b]]) == [a, b] for a, b in pairs]
+    assert merges.compatible(*np.array(pairs).T).tolist() == want
+
+
+def test_vocabularies_it_can_not_take(tmp_path):
+    model = json.load(open(word_tokenizer_path()))["model"]
+    for change in ({"merges": [["t", "he"], *model["merges"]]}, {"dropout": 0.1}, {"type": "Unigram"}):
+        with pytest.raises((ValueError, KeyError)):
+            Merges(model | change)
+    # White space has ids there.
+    with pytest.raises(ValueError):
+        Encoder(tokenizer_path())
