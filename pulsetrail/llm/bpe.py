@@ -9,8 +9,9 @@ token as a whole need none of this.
 
 Proposals come from tokens that merging itself gives back, and merges have to be listed after those that made
 their parts, one for each token, which is checked when the vocabulary is read. White space must carry no ids
-of its own. Texts are cut at ASCII white space, where neither normaliser nor pattern looks across, and each
-different piece is worked on once per batch; what is remembered is bounded in bytes and gone with the task.
+of its own. Texts are cut at ASCII white space, where neither normaliser nor pattern looks across, and between ASCII
+letters, digits and signs if the tokenizer's pattern ends words there. Each different piece is worked on once per
+batch; what is remembered is bounded in bytes and gone with the task.
 
 A NULL or empty text has no ids. Special tokens that stand in a text are single ids, as the library has it. Ids
 are one binary value per row, little-endian in 4 bytes each, and decode to the tokens' names with spaces
@@ -34,7 +35,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import keep_row, pieces
+from pulsetrail.llm.common import flat, gathered, keep_row, pieces
 
 # Bytes of text encoded at once, and of pieces of text remembered by a task.
 ENCODE_BYTES = 8 << 20
@@ -44,6 +45,7 @@ _NEVER = 1 << 40
 TOGETHER = 64
 # Symbols that end a word are moved out of the way of those that do not.
 _LAST = 0x10000
+_LETTER, _DIGIT, _SIGN = 1, 2, 3
 
 
 def encode(df: DataFrame, path: str, *, text: str = "text", carry: Sequence[str] | None = None) -> DataFrame:
@@ -53,7 +55,7 @@ def encode(df: DataFrame, path: str, *, text: str = "text", carry: Sequence[str]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(path)
-        for batch in pieces(batches, "text", ENCODE_BYTES):
+        for batch in gathered(batches, "text", ENCODE_BYTES):
             ids = pa.array(coder.encode(batch.column("text")), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("_row"), ids], ["_row", "ids"])
 
@@ -275,14 +277,13 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in rules["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.special else None
-        self.plain = self._splits_as_plain()
+        self.kinds = self._kinds()
         self.seen: dict[str, bytes] = {}
         self.bytes = 0
 
     def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each text, little-endian in 4 bytes."""
-        column = pa.compute.fill_null(column.cast(pa.large_string()), "")
-        split = pa.compute.ascii_split_whitespace(column)
+        split = pa.compute.ascii_split_whitespace(self._spaced(column))
         coded = split.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         ids = pa.array(self._learn(names), pa.large_binary())
@@ -291,23 +292,38 @@ class Encoder:
         ends = np.frombuffer(lined_up.buffers()[1], np.int64)[split.offsets.to_numpy()].tolist()
         return [data[start:end] for start, end in zip(ends, ends[1:])]
 
+    def _spaced(self, column: pa.Array) -> pa.Array:
+        """The texts with spaces put in where words end between ASCII characters, so that fewer pieces differ."""
+        data, offsets = flat(column)
+        kind = self.kinds[data]
+        ends = (kind[1:] > 0) & (kind[:-1] > 0) & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+        places = np.flatnonzero(ends) + 1
+        spaced = np.insert(data, places, 32)
+        bounds = offsets + np.searchsorted(places, offsets, side="left")
+        buffers = pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(spaced.tobytes())
+        return pa.LargeStringArray.from_buffers(len(column), *buffers)
+
     def _learn(self, names: list[str]) -> list[bytes]:
         """The ids of pieces without white space."""
         if self.bytes > REMEMBERED_BYTES:
             self.seen, self.bytes = {}, 0
-        new = [n for n in names if n not in self.seen]
-        words = [self._words(n) for n in new]
-        of_word = self._ids({w for x in words for w in x if isinstance(w, str)})
-        for name, parts in zip(new, words):
-            ids = b"".join([of_word[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in parts])
-            self.seen[name] = ids
-            self.bytes += len(name) + len(ids) + 150
-        return [self.seen[n] for n in names]
+        seen = self.seen
+        new = [n for n in names if n not in seen]
+        plain = [n for n in new if n.isascii() and n.isalpha()] if self.kinds.any() else []
+        small = [n.lower() for n in plain]
+        others = [n for n in new if not (n.isascii() and n.isalpha())] if plain else new
+        words = [self._words(n) for n in others]
+        of_word = self._ids({*small, *(w for x in words for w in x if isinstance(w, str))})
+        seen.update(zip(plain, map(of_word.__getitem__, small)))
+        for name, parts in zip(others, words):
+            seen[name] = b"".join([of_word[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in parts])
+        found = [seen[n] for n in names]
+        # About what an entry takes beside its texts.
+        self.bytes += 150 * len(new) + sum(map(len, new)) + sum(len(seen[n]) for n in others)
+        return found
 
     def _words(self, piece: str) -> list[str | int]:
         """The words of a piece, and ids of special tokens between them."""
-        if self.plain and piece.isascii() and piece.isalpha():
-            return [piece.lower()]
         parts = self.cut.split(piece) if self.cut else [piece]
         found: list[str | int] = []
         for part in parts:
@@ -343,10 +359,27 @@ class Encoder:
             found.update((names[r], array("I", m).tobytes()) for r, m in zip(failed.tolist(), merged))
         return found
 
-    def _splits_as_plain(self) -> bool:
-        """Whether ASCII letters in a row are one word in small letters."""
-        letters = "".join(map(chr, [*range(65, 91), *range(97, 123)]))
-        return [w for w, _ in self.split(self.normalize(letters))] == [letters.lower()]
+    def _kinds(self) -> np.ndarray:
+        """For each byte: letter, digit or sign of ASCII if words end between these kinds and between digits, else 0.
+
+        That is so for patterns that take letters together, digits one by one and other signs together. The
+        apostrophe, which may begin a word, and all that occurs in special tokens are left out.
+        """
+        kinds = np.zeros(256, np.int8)
+        sample = "aZ3,x12..q[7-A"
+        found = [w for w, _ in self.split(self.normalize(sample))]
+        if found != ["az", "3", ",", "x", "1", "2", "..", "q", "[", "7", "-", "a"]:
+            return kinds
+        special = set("".join(self.special))
+        for byte in range(33, 127):
+            sign = chr(byte)
+            if sign.isalpha():
+                kinds[byte] = _LETTER
+            elif sign.isdigit():
+                kinds[byte] = _DIGIT
+            elif sign != "'" and sign not in special:
+                kinds[byte] = _SIGN
+        return kinds
 
 
 def token_names(path: str) -> pa.Array:

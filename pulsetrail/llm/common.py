@@ -53,6 +53,21 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -
             start = stop
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Record batches put together and cut so that the texts of each take about ``limit`` bytes."""
+    held: list[pa.RecordBatch] = []
+    waiting = 0
+    for batch in pieces(batches, text, limit):
+        size = int(sizes(batch.column(text)).sum())
+        if held and waiting + size > limit:
+            yield pa.concat_batches(held)
+            held, waiting = [], 0
+        held.append(batch)
+        waiting += size
+    if held:
+        yield pa.concat_batches(held)
+
+
 def sizes(column: pa.Array) -> np.ndarray:
     """Bytes of each text, 0 for NULL."""
     lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0)
