@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import bound_batches, flat, is_space, partitions, pieces
+from pulsetrail.llm.common import bound_batches, flat, gathered, is_space, partitions, pieces
 from pulsetrail.llm.files import make_folder, resolve
 from pulsetrail.workspace import new_path, stage
 
@@ -183,7 +183,7 @@ def write_tokens(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, file, made = encoder(tokenizer), TaskContext.get().partitionId(), None, 0
         end = end_id.to_bytes(coder.width, "little")
-        for batch in pieces(batches, "text", ENCODE_BYTES):
+        for batch in gathered(batches, "text", ENCODE_BYTES):
             ids = batch.column("id").to_pylist()
             for key, found in zip(ids, coder.encode(batch.column("text"))):
                 if file is None:
