@@ -25,7 +25,7 @@ from pulsetrail.plans.queries import (
     TRACE_BATCH,
     TRACE_SPEED,
 )
-from pulsetrail.sources.samples import LIMITS
+from pulsetrail.sources.samples import trace_columns
 
 EVENTS = "SELECT *, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS dt FROM events"
 JSON_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%g')"
@@ -95,6 +95,18 @@ def all_sql() -> dict[str, str]:
             FROM r""",
         "replay_day": f"{full} WHERE dt = '{DAY}'",
         "stream_replay": f"SELECT key, value FROM ({timed} FROM e)",
+        "stream_by_time": f"""
+            WITH e AS ({EVENTS}), s AS (SELECT (ms - (SELECT min(ms) FROM e)) // {DAY_MS} AS epoch, ms FROM e)
+            SELECT epoch::INTEGER AS epoch, min(ms) AS first_ms, max(ms) AS last_ms, count(*) AS rows FROM s GROUP BY 1""",
+        "reconcile_content": f"""
+            WITH e AS ({EVENTS}), m AS (SELECT event_id, event_type, {TIMED_VALUE}::VARCHAR AS value FROM e)
+            SELECT event_id::VARCHAR AS key, value, 1::BIGINT AS sent, 0::BIGINT AS delivered, 'missing' AS finding
+            FROM m WHERE event_type = 'error'
+            UNION ALL SELECT event_id::VARCHAR, value, 1, 2, 'repeated' FROM m WHERE event_type = 'click' AND event_id % 5 = 0
+            UNION ALL SELECT event_id::VARCHAR, value || '!', 0, 1, 'changed' FROM m WHERE event_type = 'purchase' AND event_id % 7 = 0
+            UNION ALL SELECT event_id::VARCHAR, value, 1, 0, 'changed' FROM m WHERE event_type = 'purchase' AND event_id % 7 = 0
+            UNION ALL SELECT event_id::VARCHAR || 'x', value, 0, 1, 'moved' FROM m WHERE event_type = 'signup' AND event_id % 3 = 0
+            UNION ALL SELECT event_id::VARCHAR, value, 1, 0, 'moved' FROM m WHERE event_type = 'signup' AND event_id % 3 = 0""",
         "prepare_chunks": hourly,
         "chunks_of_copies": f"""
             WITH e AS ({EVENTS} UNION ALL {EVENTS})
@@ -201,48 +213,9 @@ def _slices(events: str = EVENTS) -> str:
 
 
 def _trace() -> str:
-    def first_ones(texts: list[str]) -> str:
-        return f"[{', '.join(texts)}][1:3 + l_linenumber % 2]"
-
     ts = "(l_shipdate + to_seconds(l_orderkey % 86400))"
-    columns = {
-        "ts": ts,
-        "eqp_id": "'EQP_' || (l_suppkey % 5 + 1)",
-        "module_name": "'MODULE_' || chr((65 + l_suppkey % 3)::INTEGER)",
-        "lot_cd": "'LOT' || lpad(l_partkey::VARCHAR, 6, '0')",
-        "lot_id": "'L' || lpad(l_orderkey::VARCHAR, 8, '0')",
-        "slot_id": "'SLOT_' || lpad(l_linenumber::VARCHAR, 2, '0')",
-        "product_id": "'PROD_' || chr((65 + l_partkey % 5)::INTEGER)",
-        "oper_id": "l_linestatus",
-        "oper_desc": "'Operation ' || l_linestatus",
-        "recipe_id": "'RECIPE_' || lpad((l_partkey % 10 + 1)::VARCHAR, 3, '0')",
-        "ppid": "'PPID_' || lpad((l_partkey % 15 + 1)::VARCHAR, 4, '0')",
-        "step_id": "l_returnflag",
-        "step_name": "'Step ' || l_returnflag",
-        "param_name": first_ones(["'QTY'", "'PRICE'", "'DISC'", "'TAX'"]),
-        "param_alias": first_ones(["'Quantity'", "'Extended Price'", "'Discount'", "'Tax'"]),
-        "param_svid": first_ones(["'SVID_001'", "'SVID_002'", "'SVID_003'", "'SVID_004'"]),
-        "param_value": first_ones(
-            [
-                "l_quantity::VARCHAR",
-                "l_extendedprice::VARCHAR",
-                "l_discount::VARCHAR",
-                "CASE WHEN l_tax = 0 THEN 'n/a' ELSE l_tax::VARCHAR END",
-            ]
-        ),
-        "batch_id": "'BATCH_' || lpad((l_orderkey % 100)::VARCHAR, 6, '0')",
-        "batch_type": "CASE l_partkey % 3 WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'HOT' ELSE 'MONITOR' END",
-        "zone": "'ZONE_' || chr((65 + l_partkey % 4)::INTEGER)",
-        "start_dtts": f"{ts} - INTERVAL 5 MINUTE",
-        "create_dtts": ts,
-        "org_wf_id": "'WF_' || lpad(l_orderkey::VARCHAR, 6, '0')",
-        "alias_lot_id": "'ALIAS_L' || lpad(l_orderkey::VARCHAR, 8, '0')",
-        "fdc_lot_cd": "'FDC_LOT' || lpad(l_partkey::VARCHAR, 6, '0')",
-        **{name: first_ones([f"'{t}'" for t in texts]) for name, texts in LIMITS.items()},
-        "spec_model_name": "['SPEC_MODEL_' || chr((65 + l_partkey % 3)::INTEGER)]",
-        "dt": "strftime(l_shipdate, '%Y-%m-%d')",
-        "fab": "'FAB_' || chr((65 + l_suppkey % 2)::INTEGER)",
-    }
+    times = {"ts": ts, "start_dtts": "l_shipdate::TIMESTAMP", "create_dtts": ts, "dt": "strftime(l_shipdate, '%Y-%m-%d')"}
+    columns = trace_columns("list_value") | times
     return f"SELECT {', '.join(f'{columns[name]} AS {name}' for name in TRACE_COLUMNS)} FROM lineitem"
 
 

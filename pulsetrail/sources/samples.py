@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsetrail.fixed_values import TRACE_COLUMNS
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,63 +18,68 @@ def events_with_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
 
 
+# What stands for each text column of a trace, in words that every SQL engine reads alike.
+TRACE_TEXTS = {
+    "eqp_id": "l_suppkey % 6",
+    "module_name": "l_linestatus",
+    "lot_cd": "l_partkey",
+    "lot_id": "l_orderkey",
+    "slot_id": "l_linenumber",
+    "product_id": "l_partkey % 50",
+    "oper_id": "l_linestatus",
+    "oper_desc": "l_linestatus || ' line'",
+    "recipe_id": "l_partkey % 12",
+    "ppid": "l_suppkey % 9",
+    "step_id": "l_returnflag",
+    "step_name": "l_returnflag || ' step'",
+    "batch_id": "l_orderkey % 64",
+    "batch_type": "CASE WHEN l_discount > 0.05 THEN 'reduced' ELSE 'full' END",
+    "zone": "l_linenumber % 2",
+    "org_wf_id": "l_orderkey",
+    "alias_lot_id": "l_orderkey * 10 + l_linenumber",
+    "fdc_lot_cd": "l_partkey",
+    "fab": "l_partkey % 4",
+}
+# The arrays, one element per parameter; open lines have all four, others all but the last.
+TRACE_ELEMENTS = {
+    "param_name": ("'quantity'", "'price'", "'discount'", "'tax'"),
+    "param_alias": ("'units'", "'amount'", "'rebate'", "'duty'"),
+    "param_svid": ("'q'", "'p'", "'d'", "'t'"),
+    # A tax of zero is a text that is no number.
+    "param_value": ("l_quantity", "l_extendedprice", "l_discount", "CASE WHEN l_tax = 0 THEN 'none' ELSE CAST(l_tax AS STRING) END"),
+    "target": ("25", "50000", "'0.05'", "'0.04'"),
+    "lsl": ("1", "900", "0", "0"),
+    "lcl": ("5", "5000", "'0.01'", "'0.01'"),
+    "ucl": ("45", "90000", "'0.09'", "'0.07'"),
+    "usl": ("50", "105000", "'0.1'", "'0.08'"),
+}
+
+
+def trace_columns(array: str) -> dict[str, str]:
+    """SQL for every trace column but its times, with ``array`` as the function that makes an array."""
+
+    def text(expression: str) -> str:
+        return f"CAST({expression} AS STRING)"
+
+    def elements(items: tuple[str, ...]) -> str:
+        every, fewer = ([text(i) for i in items[:n]] for n in (4, 3))
+        return f"CASE WHEN l_linestatus = 'O' THEN {array}({', '.join(every)}) ELSE {array}({', '.join(fewer)}) END"
+
+    return {
+        **{name: text(e) for name, e in TRACE_TEXTS.items()},
+        **{name: elements(items) for name, items in TRACE_ELEMENTS.items()},
+        "spec_model_name": f"{array}({text('l_partkey % 30')})",
+    }
+
+
 def trace_of_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as equipment traces: one sample per line, three or four parameters each.
 
-    A tax of zero is written as text that is no number, and ``spec_model_name`` has one element only.
+    The time is the ship date and a second of that day by the order; ``spec_model_name`` has one element only.
     """
     lines = read_table(spark, sf_dir, "lineitem")
-    supplier, part, order = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey")
-    ts = F.timestamp_seconds(F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + order % 86400)
-    even = F.col("l_linenumber") % 2 == 0
-
-    def first_ones(*texts: Column) -> Column:
-        return F.when(even, F.array(*texts[:3])).otherwise(F.array(*texts))
-
-    def text(name: str) -> Column:
-        return F.col(name).cast("string")
-
-    tax = F.when(F.col("l_tax") == 0, "n/a").otherwise(text("l_tax"))
-    values = first_ones(text("l_quantity"), text("l_extendedprice"), text("l_discount"), tax)
-    limits = {name: first_ones(*map(F.lit, texts)) for name, texts in LIMITS.items()}
-    return lines.select(
-        ts.alias("ts"),
-        F.concat(F.lit("EQP_"), (supplier % 5 + 1).cast("string")).alias("eqp_id"),
-        F.concat(F.lit("MODULE_"), F.char(65 + supplier % 3)).alias("module_name"),
-        F.concat(F.lit("LOT"), F.lpad(part.cast("string"), 6, "0")).alias("lot_cd"),
-        F.concat(F.lit("L"), F.lpad(order.cast("string"), 8, "0")).alias("lot_id"),
-        F.concat(F.lit("SLOT_"), F.lpad(text("l_linenumber"), 2, "0")).alias("slot_id"),
-        F.concat(F.lit("PROD_"), F.char(65 + part % 5)).alias("product_id"),
-        text("l_linestatus").alias("oper_id"),
-        F.concat(F.lit("Operation "), text("l_linestatus")).alias("oper_desc"),
-        F.concat(F.lit("RECIPE_"), F.lpad((part % 10 + 1).cast("string"), 3, "0")).alias("recipe_id"),
-        F.concat(F.lit("PPID_"), F.lpad((part % 15 + 1).cast("string"), 4, "0")).alias("ppid"),
-        text("l_returnflag").alias("step_id"),
-        F.concat(F.lit("Step "), text("l_returnflag")).alias("step_name"),
-        first_ones(*map(F.lit, ("QTY", "PRICE", "DISC", "TAX"))).alias("param_name"),
-        first_ones(*map(F.lit, ("Quantity", "Extended Price", "Discount", "Tax"))).alias("param_alias"),
-        first_ones(*map(F.lit, ("SVID_001", "SVID_002", "SVID_003", "SVID_004"))).alias("param_svid"),
-        values.alias("param_value"),
-        F.concat(F.lit("BATCH_"), F.lpad((order % 100).cast("string"), 6, "0")).alias("batch_id"),
-        F.when(part % 3 == 0, "NORMAL").when(part % 3 == 1, "HOT").otherwise("MONITOR").alias("batch_type"),
-        F.concat(F.lit("ZONE_"), F.char(65 + part % 4)).alias("zone"),
-        F.timestamp_seconds(F.unix_seconds(ts) - 300).alias("start_dtts"),
-        ts.alias("create_dtts"),
-        F.concat(F.lit("WF_"), F.lpad(order.cast("string"), 6, "0")).alias("org_wf_id"),
-        F.concat(F.lit("ALIAS_L"), F.lpad(order.cast("string"), 8, "0")).alias("alias_lot_id"),
-        F.concat(F.lit("FDC_LOT"), F.lpad(part.cast("string"), 6, "0")).alias("fdc_lot_cd"),
-        *[column.alias(name) for name, column in limits.items()],
-        F.array(F.concat(F.lit("SPEC_MODEL_"), F.char(65 + part % 3))).alias("spec_model_name"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("dt"),
-        F.concat(F.lit("FAB_"), F.char(65 + supplier % 2)).alias("fab"),
-    )
-
-
-# Limits per parameter, in the order of the parameters.
-LIMITS = {
-    "target": ("25", "50000", "0.05", "0.04"),
-    "lsl": ("1", "900", "0", "0"),
-    "lcl": ("5", "5000", "0.01", "0.01"),
-    "ucl": ("45", "90000", "0.09", "0.07"),
-    "usl": ("50", "105000", "0.1", "0.08"),
-}
+    day = F.col("l_shipdate").cast("timestamp")
+    ts = F.timestamp_seconds(F.unix_seconds(day) + F.col("l_orderkey") % 86400)
+    times = {"ts": ts, "start_dtts": day, "create_dtts": ts, "dt": F.date_format("l_shipdate", "yyyy-MM-dd")}
+    columns = {name: F.expr(e) for name, e in trace_columns("array").items()} | times
+    return lines.select(*[columns[name].alias(name) for name in TRACE_COLUMNS])

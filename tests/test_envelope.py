@@ -12,25 +12,26 @@ from pulsetrail.config import ReplayConfig
 from pulsetrail.operators.envelope import envelope, split_rejects
 
 
-def first_as_text(columns):
-    return columns[0].cast("string")
+def pressure_only(columns):
+    """An encoder of the caller's own: one column out of those handed over."""
+    assert len(columns) == 2
+    return F.concat(columns[1].cast("string"), F.lit(" hPa")).cast("binary")
 
 
-def test_with_time(spark):
-    df = spark.createDataFrame(
-        [("k1", 1000, "data1"), ("k2", 2000, "data2")], "event_key string, event_time bigint, data string"
+def test_own_encoder_gets_all_but_key_and_time(spark):
+    readings = spark.createDataFrame(
+        [(17, 86_400_250, "north", 1013), (4, -5, None, 998)], "station int, measured bigint, side string, pressure int"
     )
-    config = ReplayConfig(key_column="event_key", time_column="event_time")
-    result = envelope(df, config, first_as_text)
-    assert result.columns == ["key", "value", "event_time_ms"]
-    assert {tuple(r) for r in result.collect()} == {("k1", "data1", 1000), ("k2", "data2", 2000)}
+    timed = ReplayConfig(key_column="station", time_column="measured")
+    messages = envelope(readings, timed, pressure_only)
+    assert messages.columns == ["key", "value", "event_time_ms"]
+    assert sorted(map(tuple, messages.collect())) == [("17", b"1013 hPa", 86_400_250), ("4", b"998 hPa", -5)]
 
 
-def test_without_time(spark):
-    df = spark.createDataFrame([("k1", "data1")], "event_key string, data string")
-    result = envelope(df, ReplayConfig(max_speed=True), first_as_text)
-    assert [tuple(r) for r in result.collect()] == [("k1", "data1")]
-    assert result.columns == ["key", "value"]
+def test_full_speed_messages_have_no_time(spark):
+    readings = spark.createDataFrame([("s9", "south", 1001)], "eqp_id string, side string, pressure int")
+    messages = envelope(readings, ReplayConfig(max_speed=True), pressure_only)
+    assert messages.columns == ["key", "value"] and messages.first()["key"] == "s9"
 
 
 def test_milliseconds_are_kept(spark):
