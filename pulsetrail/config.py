@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pulsetrail.fixed_values import EXCLUDED_COLUMNS
 
@@ -17,19 +17,21 @@ class Sink:
     """Where messages go: any Spark batch writer.
 
     ``path`` is for file formats; Kafka takes its servers and topic (and any ``kafka.*`` producer
-    setting such as batch size, linger, compression or acks) from ``options``.
+    setting such as batch size, linger, compression or acks) from ``options``. ``only`` is a condition on key
+    and value that messages must meet to be sent there.
     """
 
     format: str = "parquet"
     path: str | None = None
     mode: str = "append"
     options: Mapping[str, str] = field(default_factory=dict)
+    only: str | None = None
 
     def under(self, *parts: str) -> Sink:
         """The same sink one or more folders further down; only for sinks with a path."""
         if self.path is None:
             return self
-        return Sink(self.format, "/".join([self.path.rstrip("/"), *parts]), "overwrite", self.options)
+        return replace(self, path="/".join([self.path.rstrip("/"), *parts]), mode="overwrite")
 
 
 @dataclass(frozen=True)

@@ -6,11 +6,11 @@ import json
 import time as wall
 import uuid
 from collections.abc import Callable
-from concurrent.futures import Future, ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from threading import Lock
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +19,13 @@ from pulsetrail.functions.columns import UNIT_MS, event_time_ms, floor_to
 from pulsetrail.operators.envelope import message_columns
 from pulsetrail.operators.ordering import range_sorted
 from pulsetrail.operators.roles import resolve_roles
-from pulsetrail.operators.schedule import replay_slices, uncovered
+from pulsetrail.operators.schedule import Coverage, replay_slices
+from pulsetrail.sources.chunk_files import ChunkFiles, index_files
 from pulsetrail.sources.tables import between
 from pulsetrail.workspace import path_exists, remove, write_text
 
-# Of a slice that was sent: its stretch of event time, which is what it is known by, its rows, when it was
-# due after the start of the write, and how much later it began.
+# Of a slice that was sent: its stretch of event time, which is what it is known by, the rows its write counted,
+# when it was due after the start, and how much later its write began.
 DELIVERY_LOG = "from_ms bigint, to_ms bigint, rows bigint, due_ms bigint, late_ms bigint"
 # A range of a staged day takes about so many bytes of its table.
 RANGE_BYTES = 256 << 20
@@ -36,10 +37,22 @@ UNDER_WAY = 4
 
 def write_messages(df: DataFrame, sink: Sink) -> None:
     """Send all messages in one distributed write, in no particular order and without a shuffle."""
+    write_to(_sendable(df, sink), sink)
+
+
+def send_measured(df: DataFrame, sink: Sink) -> int:
+    """The same; returns the rows written, counted by the write itself."""
+    seen = Observation()
+    write_to(_sendable(df, sink).observe(seen, F.count(F.lit(1)).alias("rows")), sink)
+    return seen.get["rows"]
+
+
+def _sendable(df: DataFrame, sink: Sink) -> DataFrame:
     key = F.col("key")
     if df.schema["key"].dataType != T.BinaryType():
         key = key.cast("string").alias("key")
-    write_to(df.select(key, F.col("value").cast("binary").alias("value")), sink)
+    rows = df.select(key, F.col("value").cast("binary").alias("value"))
+    return rows.filter(sink.only) if sink.only else rows
 
 
 def write_to(df: DataFrame, sink: Sink) -> None:
@@ -58,13 +71,14 @@ def prepare_chunks(
     ranges: int | None = None,
 ) -> DataFrame:
     """Write the messages of a paced replay once as Parquet for any number of replays, and return the
-    table read back: a folder (``chunk``) per ``unit`` of event time, files sorted by time, then key.
-
-    Rows are put in order first and turned into messages after the shuffle. Tasks take ranges of the
-    order, as many as ``ranges`` or else one for each ``RANGE_BYTES`` of the table but no fewer than shuffle
-    partitions, so a busy hour is spread over several files and a quiet one shares its task with others. Pass ``unique_key=True`` when time and key together never
-    repeat. Rows without an event time are kept in a chunk of their own (NULL), which no stretch of time
-    takes in; ``split_rejects`` sorts them out beforehand.
+    table read back. ``chunk`` is the ``unit`` of event time a message is in.
+
+    Rows are put in order of time, then key, and turned into messages after the shuffle. Files are ranges of the
+    order of about equal size, as many as ``ranges`` or else one for each ``RANGE_BYTES`` of the table but no
+    fewer than shuffle partitions: a busy hour is spread over several files, quiet ones share one. A list of the
+    files and their times is written beside them (``ChunkFiles``). Pass ``unique_key=True`` when time and key
+    together never repeat. Rows without an event time are kept in a chunk of their own (NULL), which no stretch
+    of time takes in; ``split_rejects`` sorts them out beforehand.
     """
     roles = resolve_roles(df, config)
     if roles.time is None:
@@ -72,11 +86,11 @@ def prepare_chunks(
     spark = df.sparkSession
     at = event_time_ms(df, roles.time)
     timed = df.withColumns({"_pt_at": at, "_pt_chunk": floor_to(at, UNIT_MS[unit])})
-    # A task opens one file after another, so even a small day is spread over all of them.
     ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // RANGE_BYTES))
-    placed = range_sorted(timed, ["_pt_chunk", "_pt_at", roles.key], unique=unique_key, ranges=ranges)
+    placed = range_sorted(timed, ["_pt_at", roles.key], unique=unique_key, ranges=ranges)
     messages = placed.select(*message_columns(df, config), F.col("_pt_chunk").alias("chunk"))
-    messages.write.partitionBy("chunk").parquet(path)
+    messages.write.parquet(path)
+    index_files(spark, path, messages.schema)
     return spark.read.schema(messages.schema).parquet(path)
 
 
@@ -95,13 +109,13 @@ def chunk_manifest(df: DataFrame) -> DataFrame:
 
 
 def write_paced(
-    chunks: DataFrame,
+    chunks: DataFrame | ChunkFiles,
     sink: Sink,
     *,
     speed: float,
     slice_ms: int,
-    unit: str = "hour",
     log_path: str | None = None,
+    at_once: int = UNDER_WAY,
     clock: Callable[[], float] = wall.monotonic,
     sleep: Callable[[float], None] = wall.sleep,
 ) -> int:
@@ -109,52 +123,62 @@ def write_paced(
 
     The driver only sees the slice table, in order and a partition at a time. It waits until a slice is
     due, measured from the first one so that delays do not add up, and starts one distributed write that
-    reads no more than that slice; up to ``UNDER_WAY`` of them run at once.
+    reads no more than that slice; up to ``at_once`` of them run together, and none waits behind these. Of
+    ``ChunkFiles`` a slice opens only the files it overlaps.
 
-    With a ``log_path`` each sent slice is noted there by its stretch of event time, and a later call sends
-    what no note covers, at whatever speed or length of slices it goes. A slice that failed midway is
+    With a ``log_path`` each sent slice is noted there by its stretch of event time, with the rows its write
+    counted and how late the write began. A later call sends what no note covers, at whatever speed or length of
+    slices it goes; notes and slices are walked through once. A slice that failed midway is
     sent again: a sink with a path holds a folder per stretch and replaces it, a Kafka topic may receive
     its messages twice. Messages without an event time have no place in the rhythm and are refused.
     """
     if not speed > 0 or slice_ms <= 0:
         raise ValueError(f"speed and slice_ms must be above 0, got {speed} and {slice_ms}")
-    spark = chunks.sparkSession
-    log = DeliveryLog(spark, log_path) if log_path else None
-    delivered = log.delivered() if log else []
+    files = chunks if isinstance(chunks, ChunkFiles) else None
+    rows = files.frame() if files else chunks
+    log = DeliveryLog(rows.sparkSession, log_path) if log_path else None
+    covered = Coverage(log.delivered() if log else [])
     started = first_due = None
-    sent: list[Future] = []
+    under_way: set[Future] = set()
+    sent = 0
 
-    def deliver(start: int, stop: int, note: dict) -> None:
-        messages = between(chunks, start, stop, unit)
-        write_messages(messages, sink.under(f"from_ms={start}"))
+    def deliver(start: int, stop: int, due: int) -> None:
+        late_ms = round((clock() - started) * 1000) - (due - first_due)
+        messages = files.between(start, stop) if files else between(rows, start, stop)
+        written = send_measured(messages, sink.under(f"from_ms={start}"))
         if log:
-            log.add({"from_ms": start, "to_ms": stop, **note})
+            log.add({"from_ms": start, "to_ms": stop, "rows": written, "due_ms": due, "late_ms": late_ms})
 
-    with ThreadPoolExecutor(UNDER_WAY) as pool:
+    with ThreadPoolExecutor(at_once) as pool:
         # A slice without a number comes first.
-        for one in replay_slices(chunks, speed, slice_ms).orderBy("slice_id").toLocalIterator():
+        for one in replay_slices(rows, speed, slice_ms).orderBy("slice_id").toLocalIterator():
             if one["slice_id"] is None:
                 raise ValueError(f"{one['rows']} messages have no event time; split_rejects sorts them out")
-            for start, stop in uncovered(one["from_ms"], one["to_ms"], delivered):
+            for start, stop in covered.missing(one["from_ms"], one["to_ms"]):
+                if files and not files.spans.overlapping(start, stop):
+                    continue
                 due = one["due_ms"] + round((start - one["from_ms"]) / speed)
-                rows = one["rows"]
-                if (start, stop) != (one["from_ms"], one["to_ms"]):
-                    rows = between(chunks, start, stop, unit).count()
-                    if not rows:
-                        continue
                 if started is None:
                     started, first_due = clock(), due
-                wait = (due - first_due) / 1000 - (clock() - started)
-                if wait > 0:
-                    sleep(wait)
-                late_ms = round((clock() - started) * 1000) - (due - first_due)
-                for earlier in sent:
-                    if earlier.done():
-                        earlier.result()
-                sent.append(pool.submit(deliver, start, stop, {"rows": rows, "due_ms": due, "late_ms": late_ms}))
-    for earlier in sent:
-        earlier.result()
-    return len(sent)
+                under_way = _room(under_way, at_once)
+                delay = (due - first_due) / 1000 - (clock() - started)
+                if delay > 0:
+                    sleep(delay)
+                under_way.add(pool.submit(deliver, start, stop, due))
+                sent += 1
+    for last in under_way:
+        last.result()
+    return sent
+
+
+def _room(under_way: set[Future], at_once: int) -> set[Future]:
+    """The slices still on their way, once there are fewer than ``at_once``; the error of one that failed."""
+    ended = {f for f in under_way if f.done()}
+    if len(under_way) - len(ended) >= at_once:
+        ended = wait(under_way, return_when=FIRST_COMPLETED).done
+    for one in ended:
+        one.result()
+    return under_way - ended
 
 
 class DeliveryLog:

@@ -151,16 +151,32 @@ def pending_slices(slices: DataFrame, delivered: DataFrame) -> DataFrame:
     return slices.join(delivered.select("from_ms", "to_ms").distinct(), ["from_ms", "to_ms"], "left_anti").select(*slices.columns)
 
 
-def uncovered(start: int, stop: int, delivered: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
-    """What of the stretch from ``start`` to ``stop`` none of the ``delivered`` ones covers."""
-    out, at = [], start
-    for a, b in sorted(delivered):
-        if b <= at or a >= stop:
-            continue
-        if a > at:
-            out.append((at, a))
-        at = b
-    return [*out, (at, stop)] if at < stop else out
+class Coverage:
+    """Stretches of time that are done, to be asked for what is missing in ascending order.
+
+    They are sorted and put together once, and looked at from where the last question ended.
+    """
+
+    def __init__(self, done: Sequence[tuple[int, int]]):
+        self.done: list[tuple[int, int]] = []
+        for start, stop in sorted(done):
+            if self.done and start <= self.done[-1][1]:
+                start, stop = self.done[-1][0], max(stop, self.done.pop()[1])
+            self.done.append((start, stop))
+        self.at = 0
+
+    def missing(self, start: int, stop: int) -> list[tuple[int, int]]:
+        """What of the stretch from ``start`` to ``stop`` is not done; it begins no earlier than the last one asked for."""
+        while self.at < len(self.done) and self.done[self.at][1] <= start:
+            self.at += 1
+        out, after = [], self.at
+        while after < len(self.done) and self.done[after][0] < stop:
+            a, b = self.done[after]
+            if a > start:
+                out.append((start, a))
+            start = b
+            after += 1
+        return [*out, (start, stop)] if start < stop else out
 
 
 def _pause(gap_ms: Column, speed: float) -> Column:

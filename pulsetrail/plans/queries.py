@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pulsetrail.config import ReplayConfig, Sink
 from pulsetrail.fixed_values import PARAM_COLUMNS, PLAIN_NUMBER, SUMMARY_GROUP
 from pulsetrail.functions.columns import event_time_ms
+from pulsetrail.operators.content import reconcile_content
 from pulsetrail.operators.delivery import delivery_progress, reconcile
 from pulsetrail.operators.envelope import envelope, split_rejects
 from pulsetrail.operators.inventory import day_profile, inventory, latest_date, param_count, preview
@@ -33,9 +34,10 @@ from pulsetrail.operators.schedule import (
 from pulsetrail.operators.summary import pack_summary, summarize_params
 from pulsetrail.operators.trace import flatten_trace
 from pulsetrail.plans.replay import run_replay
+from pulsetrail.sources.chunk_files import ChunkFiles
 from pulsetrail.sources.samples import events_with_date, trace_of_lineitem
 from pulsetrail.sources.tables import load_chunks, load_day, load_path, read_delivered
-from pulsetrail.streaming.stream_replay import stream_replay
+from pulsetrail.streaming.stream_replay import run_to_end, stream_by_time, stream_replay
 from pulsetrail.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +87,8 @@ def all_queries() -> dict[str, Query]:
         "delivery_progress": _delivery_progress,
         "replay_day": _replay_day,
         "stream_replay": _stream_replay,
+        "stream_by_time": _stream_by_time,
+        "reconcile_content": _reconcile_content,
         "prepare_chunks": lambda spark, sf: _readable(_chunks(spark, sf)),
         "chunks_of_copies": _chunks_of_copies,
         "chunk_manifest": lambda spark, sf: chunk_manifest(_chunks(spark, sf)),
@@ -219,7 +223,6 @@ def _paced_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         Sink("parquet", path),
         speed=SLICE_SPEED,
         slice_ms=SLICE_MS,
-        unit="day",
         clock=lambda: now[0],
         sleep=sleep,
     )
@@ -246,7 +249,7 @@ def _resumed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
     def write(speed: float, slice_ms: int) -> None:
         write_paced(
-            chunks, Sink("parquet", path), speed=speed, slice_ms=slice_ms, unit="day", log_path=log, clock=lambda: now[0], sleep=sleep
+            chunks, Sink("parquet", path), speed=speed, slice_ms=slice_ms, log_path=log, clock=lambda: now[0], sleep=sleep
         )
 
     try:
@@ -266,13 +269,14 @@ def _delivery_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     def sleep(seconds: float) -> None:
         now[0] += seconds
 
+    # One after another, as only then the clock that jumps ahead tells when each began.
     write_paced(
         _chunks(spark, sf_dir, "day"),
         Sink("parquet", path),
         speed=SLICE_SPEED,
         slice_ms=SLICE_MS,
-        unit="day",
         log_path=log,
+        at_once=1,
         clock=lambda: now[0],
         sleep=sleep,
     )
@@ -298,6 +302,21 @@ def _stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readable(read_delivered(spark, "parquet", path))
 
 
+def _stream_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches of a day of event time: number, first and last event time, rows."""
+    chunks, path = new_path(spark, "chunks"), new_path(spark, "streamed")
+    prepare_chunks(events_with_date(spark, sf_dir), chunks, TIMED, unique_key=True)
+    query = stream_by_time(spark, chunks, Sink("parquet", path), new_path(spark, "stream-checkpoint"), span_ms=DAY_MS)
+    run_to_end(query, ChunkFiles(spark, chunks))
+    times = _event_times(spark, sf_dir).select(F.col("event_id").cast("string").alias("key"), "event_time_ms")
+    return (
+        spark.read.parquet(path)
+        .join(times, "key")
+        .groupBy("epoch")
+        .agg(F.min("event_time_ms").alias("first_ms"), F.max("event_time_ms").alias("last_ms"), F.count(F.lit(1)).alias("rows"))
+    )
+
+
 def _chunks(spark: SparkSession, sf_dir: str, unit: str = "hour") -> DataFrame:
     events = events_with_date(spark, sf_dir)
     return prepare_chunks(events, new_path(spark, "chunks"), TIMED, unit, unique_key=True)
@@ -320,6 +339,25 @@ def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(envelope(sent, config), read_delivered(spark, "parquet", path))
 
 
+def _reconcile_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors get lost on the way, some clicks arrive twice, some purchases with another value, some signups under
+    another key."""
+    sent = envelope(events_with_date(spark, sf_dir), TIMED).drop("event_time_ms")
+    kinds = events_with_date(spark, sf_dir).select(F.col("event_id").cast("string").alias("key"), "event_id", "event_type")
+    kind, number = F.col("event_type"), F.col("event_id")
+    changed = F.when((kind == "purchase") & (number % 7 == 0), F.concat(F.col("value").cast("string"), F.lit("!")).cast("binary"))
+    moved = F.when((kind == "signup") & (number % 3 == 0), F.concat("key", F.lit("x")))
+    arrived = (
+        sent.join(kinds, "key")
+        .filter(kind != "error")
+        .withColumn("_copies", F.when((kind == "click") & (number % 5 == 0), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+        .select(F.coalesce(moved, "key").alias("key"), F.coalesce(changed, "value").alias("value"), F.explode("_copies").alias("_copy"))
+    )
+    path = new_path(spark, "topic")
+    write_messages(arrived, Sink("parquet", path))
+    return _readable(reconcile_content(sent, read_delivered(spark, "parquet", path)))
+
+
 # --- schedule -----------------------------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ from pulsetrail.functions.columns import column
 from pulsetrail.operators.envelope import envelope, split_rejects
 from pulsetrail.operators.messages import check_sink, prepare_chunks, write_messages, write_paced, write_to
 from pulsetrail.operators.roles import resolve_roles, schema_name
+from pulsetrail.sources.chunk_files import ChunkFiles
 from pulsetrail.sources.tables import load_day, lookup_schema
 from pulsetrail.workspace import move, new_path, path_exists, read_text, remove, write_text
 
@@ -42,8 +43,7 @@ def run_replay(
     go there with the reason; without it, keys may be NULL and a missing event time is an error. Paced
     messages are staged at ``chunks_path`` first; finished chunks of the same settings found there are used
     again, and together with ``log_path`` a replay that broke off goes on where it was, also at another
-    speed. A slice looks into every file of its
-    chunk: make the ``unit`` a minute when an hour fills more than some hundred files.
+    speed.
     """
     if schemas is not None and config.value_schema is None and config.value_format.lower() in ("avro", "protobuf"):
         config = replace(config, value_schema=lookup_schema(schemas, schema_name(config)))
@@ -66,7 +66,6 @@ def run_replay(
         sink,
         speed=config.speed,
         slice_ms=config.slice_ms,
-        unit=unit,
         log_path=log_path,
         clock=clock,
         sleep=sleep,
@@ -75,7 +74,7 @@ def run_replay(
         remove(spark, own)
 
 
-def _staged(spark: SparkSession, day: DataFrame, path: str, config: ReplayConfig, unit: str) -> DataFrame:
+def _staged(spark: SparkSession, day: DataFrame, path: str, config: ReplayConfig, unit: str) -> ChunkFiles:
     """The chunks at ``path``, staged first unless they are there; those of another day or other settings are
     refused. Staging goes to a folder beside and is renamed when whole, so a failed one is never in the way."""
     left_out = ("speed", "slice_ms", "batch_size")
@@ -85,7 +84,7 @@ def _staged(spark: SparkSession, day: DataFrame, path: str, config: ReplayConfig
     if path_exists(spark, f"{path}/{SETTINGS}"):
         if read_text(spark, f"{path}/{SETTINGS}") != text:
             raise ValueError(f"the chunks at {path} are of another table, date or other settings")
-        return spark.read.schema(schema).parquet(path)
+        return ChunkFiles(spark, path, schema)
     if path_exists(spark, f"{path}/_SUCCESS"):
         raise ValueError(f"the chunks at {path} do not tell their table, date and settings")
     beside = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
@@ -95,7 +94,7 @@ def _staged(spark: SparkSession, day: DataFrame, path: str, config: ReplayConfig
         # What an interrupted write left; it holds neither its end mark nor its settings.
         move(spark, path, f"{path.rstrip('/')}.left-{uuid.uuid4().hex}")
     move(spark, beside, path)
-    return spark.read.schema(schema).parquet(path)
+    return ChunkFiles(spark, path, schema)
 
 
 def _check_times(day: DataFrame, config: ReplayConfig) -> None:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.functions.columns import UNIT_MS
+from pulsetrail.sources.chunk_files import ChunkFiles
 
 
 def load_day(
@@ -37,28 +37,19 @@ def load_path(
     return files if date is None else _on_day(files, date, date_column, equal)
 
 
-def load_chunks(
-    spark: SparkSession,
-    path: str,
-    from_ms: int | None = None,
-    to_ms: int | None = None,
-    unit: str = "hour",
-) -> DataFrame:
-    """Staged messages with from_ms <= event_time_ms < to_ms; without limits, all of them."""
-    return between(spark.read.parquet(path), from_ms, to_ms, unit)
+def load_chunks(spark: SparkSession, path: str, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
+    """Staged messages with from_ms <= event_time_ms < to_ms, from the files that can hold some; without
+    limits, all of them."""
+    return ChunkFiles(spark, path).between(from_ms, to_ms)
 
 
-def between(chunks: DataFrame, from_ms: int | None, to_ms: int | None, unit: str = "hour") -> DataFrame:
-    """The same from chunks already loaded, which does not list their files again.
-
-    The condition on ``chunk`` selects folders; the one on the time skips row groups, as files are sorted
-    by it.
-    """
-    time, chunk, width = F.col("event_time_ms"), F.col("chunk"), UNIT_MS[unit]
+def between(chunks: DataFrame, from_ms: int | None, to_ms: int | None) -> DataFrame:
+    """The same from messages of any origin; row groups of files sorted by time are skipped."""
+    time = F.col("event_time_ms")
     if from_ms is not None:
-        chunks = chunks.filter((chunk >= from_ms // width * width) & (time >= from_ms))
+        chunks = chunks.filter(time >= from_ms)
     if to_ms is not None:
-        chunks = chunks.filter((chunk <= (to_ms - 1) // width * width) & (time < to_ms))
+        chunks = chunks.filter(time < to_ms)
     return chunks
 
 

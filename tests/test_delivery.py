@@ -1,5 +1,7 @@
 """Sources, sinks, staged chunks, paced and streamed delivery, and the whole replay."""
 
+import json
+import time as wall
 from dataclasses import replace
 from datetime import datetime, timedelta
 from pathlib import Path
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 
 from pulsetrail import workspace
 from pulsetrail.config import ReplayConfig, Sink
-from pulsetrail.operators import messages
+from pulsetrail.operators import content, messages
+from pulsetrail.operators.content import digests, reconcile_content
 from pulsetrail.operators.delivery import delivery_progress, delivery_report, reconcile
 from pulsetrail.operators.envelope import envelope, plain_columns
 from pulsetrail.operators.messages import (
@@ -24,8 +27,11 @@ from pulsetrail.operators.messages import (
 )
 from pulsetrail.operators.schedule import replay_slices
 from pulsetrail.plans.replay import run_replay
+from pulsetrail.sources.chunk_files import ChunkFiles
+from pulsetrail.sources.event_time_stream import EventTimeReader
 from pulsetrail.sources.tables import load_chunks, load_day, load_path, lookup_schema, read_delivered
-from pulsetrail.streaming.stream_replay import stream_replay
+from pulsetrail.streaming import stream_replay as stream_module
+from pulsetrail.streaming.stream_replay import run_to_end, stream_by_time, stream_replay
 
 HOUR = 3_600_000
 CONFIG = ReplayConfig(source_table="db.events")
@@ -165,16 +171,31 @@ def test_busy_hour_is_spread_over_files(spark, tmp_path):
     assert sum(sizes) == 4000 and len(sizes) >= 6 and max(sizes) < 1500
 
 
-def test_chunk_range_reads_its_folders_only(spark, tmp_path):
+def test_a_stretch_opens_its_files_only(spark, tmp_path):
     path = str(tmp_path / "chunks")
     prepare_chunks(events(spark), path, CONFIG)
-    start = 1_704_067_200_000
+    start, files = 1_704_067_200_000, ChunkFiles(spark, path)
+    spans = files.spans.spans
+    assert sum(s.rows for s in spans) == 600 and len(spans) == 8 and max(s.rows for s in spans) < 150
+    assert all(a.last_ms <= b.first_ms for a, b in zip(spans, spans[1:]))
     part = load_chunks(spark, path, start + HOUR + 5, start + 2 * HOUR + 5)
-    plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(chunk" in plan and "PushedFilters: [IsNotNull(event_time_ms)" in plan
+    opened = {f.rsplit("/", 1)[-1] for f in part.inputFiles()}
+    assert opened == {s.name for s in spans if s.last_ms >= start + HOUR + 5 and s.first_ms < start + 2 * HOUR + 5}
+    assert len(opened) < 8
+    assert "PushedFilters: [IsNotNull(event_time_ms)" in part._jdf.queryExecution().executedPlan().toString()
     times = [r["event_time_ms"] for r in load_chunks(spark, path).collect()]
     assert part.count() == sum(start + HOUR + 5 <= t < start + 2 * HOUR + 5 for t in times) > 0
-    assert {r["chunk"] for r in part.select("chunk").distinct().collect()} <= {start + HOUR, start + 2 * HOUR}
+    assert load_chunks(spark, path, to_ms=start).count() == load_chunks(spark, path, start + 24 * HOUR).count() == 0
+    with pytest.raises(ValueError, match="no list of its files"):
+        ChunkFiles(spark, str(tmp_path / "other"))
+
+
+def test_quiet_hours_share_a_file(spark, tmp_path):
+    sparse = spark.range(720).select(
+        F.lit("k").alias("event_key"), (F.col("id") * HOUR).alias("event_time"), F.lit(1).alias("n")
+    )
+    staged = prepare_chunks(sparse, str(tmp_path / "chunks"), CONFIG)
+    assert len(staged.inputFiles()) == 8 and chunk_manifest(staged).count() == 720
 
 
 def test_rows_without_a_time_have_their_own_chunk(spark, tmp_path):
@@ -199,7 +220,7 @@ def test_paced_write_keeps_the_rhythm(spark, tmp_path):
     staged = prepare_chunks(events(spark), str(tmp_path / "chunks"), CONFIG)
     clock, log = Clock(), str(tmp_path / "log")
     sink = Sink("parquet", str(tmp_path / "topic"))
-    sent = write_paced(staged, sink, speed=HOUR / 1000, slice_ms=1000, log_path=log, clock=clock, sleep=clock.sleep)
+    sent = write_paced(staged, sink, speed=HOUR / 1000, slice_ms=1000, log_path=log, at_once=1, clock=clock, sleep=clock.sleep)
     assert sent == len(clock.naps) + 1 == replay_slices(staged, HOUR / 1000, 1000).count()
     assert contents(read_delivered(spark, "parquet", sink.path)) == contents(staged)
     notes = read_log(spark, log).orderBy("from_ms").collect()
@@ -214,6 +235,30 @@ def test_paced_write_keeps_the_rhythm(spark, tmp_path):
     assert report["latest_ms"] == max(r["late_ms"] for r in notes)
 
 
+def test_rows_of_the_log_are_those_that_were_written(spark, tmp_path):
+    path, log = str(tmp_path / "chunks"), str(tmp_path / "log")
+    prepare_chunks(events(spark), path, CONFIG)
+    clock, sink = Clock(), Sink("parquet", str(tmp_path / "topic"), only="key <> 'hot'")
+    options = {"speed": HOUR / 1000, "slice_ms": 1000, "clock": clock, "sleep": clock.sleep}
+    write_paced(ChunkFiles(spark, path), sink, log_path=log, **options)
+    notes = {r["from_ms"]: r["rows"] for r in read_log(spark, log).collect()}
+    planned = {r["from_ms"]: r["rows"] for r in replay_slices(load_chunks(spark, path), HOUR / 1000, 1000).collect()}
+    assert notes.keys() == planned.keys() and sum(planned.values()) == 600
+    assert sum(notes.values()) == read_delivered(spark, "parquet", sink.path).count() == 400
+    assert sorted(planned[k] - notes[k] for k in planned)[-2:] == [0, 200]
+
+
+def test_a_slice_behind_slow_ones_is_noted_as_late(spark, tmp_path, monkeypatch):
+    staged = prepare_chunks(events(spark), str(tmp_path / "chunks"), CONFIG)
+    monkeypatch.setattr(messages, "send_measured", lambda rows, sink: wall.sleep(0.6) or 1)
+    log = str(tmp_path / "log")
+    # Ten slices, all due within a tenth of a second, of which four go at once.
+    write_paced(staged, Sink("noop"), speed=HOUR * 100, slice_ms=1 / 100, log_path=log)
+    late = [r["late_ms"] for r in read_log(spark, log).orderBy("from_ms").collect()]
+    assert len(late) == 10 and all(x < 550 for x in late[:4])
+    assert all(500 < x < 1150 for x in late[4:8]) and all(1050 < x for x in late[8:])
+
+
 def test_paced_write_goes_on_after_a_failure(spark, tmp_path):
     staged = prepare_chunks(events(spark), str(tmp_path / "chunks"), CONFIG)
     clock, log, sink = Clock(), str(tmp_path / "log"), Sink("parquet", str(tmp_path / "topic"))
@@ -284,11 +329,138 @@ def test_stream_delivers_once_and_goes_on(spark, tmp_path):
     stream_replay(spark, chunks, sink, checkpoint, files_per_trigger=5).awaitTermination()
     assert contents(read_delivered(spark, "parquet", topic)) == contents(envelope(early, CONFIG))
     more = prepare_chunks(late, str(tmp_path / "more"), CONFIG)
-    more.write.mode("append").partitionBy("chunk").parquet(chunks)
+    more.write.mode("append").parquet(chunks)
     stream_replay(spark, chunks, sink, checkpoint, files_per_trigger=50).awaitTermination()
     assert contents(read_delivered(spark, "parquet", topic)) == contents(envelope(events(spark), CONFIG))
 
 
+# --- stream by event time ---------------------------------------------------------------------------
+
+
+def epochs(spark, topic, staged):
+    """(first time, last time, rows) of each micro-batch, by its number."""
+    times = staged.select("key", "value", "event_time_ms").distinct()
+    rows = spark.read.parquet(topic).join(times, ["key", "value"]).groupBy("epoch")
+    found = rows.agg(F.min("event_time_ms").alias("a"), F.max("event_time_ms").alias("b"), F.count("*").alias("n"))
+    return {r["epoch"]: (r["a"], r["b"], r["n"]) for r in found.collect()}
+
+
+def test_micro_batches_follow_event_time(spark, tmp_path):
+    chunks, topic, checkpoint = (str(tmp_path / x) for x in ("chunks", "topic", "checkpoint"))
+    # Files in an order of writing that is not that of time.
+    staged = prepare_chunks(events(spark).orderBy(F.col("n").desc()), chunks, CONFIG)
+    query = stream_by_time(spark, chunks, Sink("parquet", topic), checkpoint, span_ms=HOUR)
+    run_to_end(query, ChunkFiles(spark, chunks))
+    assert contents(read_delivered(spark, "parquet", topic)) == contents(staged)
+    first = min(r["event_time_ms"] for r in staged.collect())
+    found = epochs(spark, topic, staged)
+    assert len(found) == 10
+    assert all(first + e * HOUR <= a <= b < first + (e + 1) * HOUR for e, (a, b, _) in found.items())
+
+
+def test_stream_by_time_goes_on_and_repeats_nothing(spark, tmp_path, monkeypatch):
+    chunks, topic, checkpoint = (str(tmp_path / x) for x in ("chunks", "topic", "checkpoint"))
+    staged, sink, sent = prepare_chunks(events(spark), chunks, CONFIG), Sink("parquet", topic), []
+
+    def fails_once(rows, to):
+        sent.append(to.path)
+        write_messages(rows, to)
+        if len(sent) == 4:
+            raise ConnectionError("after writing the fourth")
+
+    monkeypatch.setattr(stream_module, "write_messages", fails_once)
+    with pytest.raises(Exception, match="after writing the fourth"):
+        run_to_end(stream_by_time(spark, chunks, sink, checkpoint, span_ms=HOUR), ChunkFiles(spark, chunks))
+    # Another span from here on; the batch that failed is repeated as it was.
+    run_to_end(stream_by_time(spark, chunks, sink, checkpoint, span_ms=2 * HOUR), ChunkFiles(spark, chunks))
+    assert sent[3] == sent[4]
+    assert contents(read_delivered(spark, "parquet", topic)) == contents(staged)
+    spans = [x for _, x in sorted(epochs(spark, topic, staged).items())]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_event_time_is_let_in_by_speed(tmp_path):
+    spans = [{"name": "f", "first_ms": 1000, "last_ms": 9_999, "rows": 2, "untimed": 0}]
+    (tmp_path / "_files.json").write_text("\n".join(map(json.dumps, spans)))
+
+    def reader(**options):
+        return EventTimeReader({"path": str(tmp_path), "span_ms": "4000", **options}, ["key"])
+
+    fast = reader()
+    assert fast.initialOffset() == {"ms": 1000}
+    assert fast.latestOffset() == fast.latestOffset() == {"ms": 5000}
+    assert [(p.low, p.high) for p in fast.partitions({"ms": 1000}, {"ms": 5000})] == [(1000, 5000)]
+    assert fast.latestOffset() == {"ms": 9000}
+    fast.partitions({"ms": 5000}, {"ms": 9000})
+    assert fast.latestOffset() == {"ms": 10_000}
+    paced = reader(speed="2000")
+    assert paced.latestOffset()["ms"] < 1500
+    wall.sleep(0.5)
+    assert 2000 <= paced.latestOffset()["ms"] <= 5000
+    for wrong in ({"span_ms": "0"}, {"speed": "-1"}):
+        with pytest.raises(ValueError):
+            reader(**wrong)
+
+
+def test_stream_by_time_needs_times(spark, tmp_path):
+    df = events(spark).withColumn("event_time", F.when(F.col("n") % 4 != 0, F.col("event_time")))
+    prepare_chunks(df, str(tmp_path / "chunks"), CONFIG)
+    with pytest.raises(ValueError, match="150 messages have no event time"):
+        stream_by_time(spark, str(tmp_path / "chunks"), Sink("noop"), str(tmp_path / "checkpoint"), span_ms=HOUR)
+
+
+# --- content ----------------------------------------------------------------------------------------
+
+
+def found_in(sent, delivered, **options):
+    rows = reconcile_content(sent, delivered, **options).collect()
+    text = [tuple(None if x is None else bytes(x).decode() for x in (r["key"], r["value"])) for r in rows]
+    return {t: (r["sent"], r["delivered"], r["finding"]) for t, r in zip(text, rows)}
+
+
+def test_every_difference_is_named(spark):
+    sent = [(f"k{i}", f"v{i}") for i in range(500)] + [("a", "1"), ("a", "1"), ("b", "2"), ("c", "3"), ("d", "4"), (None, None), ("h", "5")]
+    got = [(f"k{i}", f"v{i}") for i in range(500)] + [("a", "1"), ("b", "2!"), ("e", "3"), ("d", "4"), ("d", "4"), (None, "x"), ("n", "9")]
+    sent, got = (spark.createDataFrame(rows, "key string, value string") for rows in (sent, got))
+    want = {
+        ("a", "1"): (2, 1, "missing"),
+        ("b", "2"): (1, 0, "changed"),
+        ("b", "2!"): (0, 1, "changed"),
+        ("c", "3"): (1, 0, "moved"),
+        ("e", "3"): (0, 1, "moved"),
+        ("d", "4"): (1, 2, "repeated"),
+        (None, None): (1, 0, "changed"),
+        (None, "x"): (0, 1, "changed"),
+        ("h", "5"): (1, 0, "missing"),
+        ("n", "9"): (0, 1, "unexpected"),
+    }
+    assert found_in(sent, got) == found_in(sent, got, levels=(1,)) == want
+
+
+def test_swapped_values_and_stretches(spark):
+    rows = [("a", "1", 0), ("b", "2", 0), ("c", "3", 7)]
+    sent = spark.createDataFrame(rows, "key string, value string, chunk bigint")
+    got = spark.createDataFrame([("a", "2", 0), ("b", "1", 0), ("c", "3", 7)], sent.schema)
+    assert {f for *_, f in found_in(sent, got, stretch="chunk").values()} == {"moved"}
+    assert len(found_in(sent, got, stretch="chunk")) == 4
+    assert found_in(sent, sent.repartition(3), stretch="chunk") == {}
+
+
+def test_equal_content_takes_one_aggregation(spark, monkeypatch):
+    df = events(spark).select(F.col("event_key").alias("key"), F.col("n").cast("string").alias("value"))
+    staged = []
+    monkeypatch.setattr(content, "stage", lambda frame, label: staged.append(label) or workspace.stage(frame, label))
+    result = reconcile_content(df, df.repartition(5))
+    assert staged == ["cells-0", "differences"] and result.count() == 0
+    assert reconcile_content(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_digests_do_not_depend_on_order(spark):
+    df = events(spark).select(F.col("event_key").alias("key"), F.col("n").cast("string").alias("value"))
+    by_key = [{r["key"]: tuple(r)[1:] for r in digests(x, ["key"]).collect()} for x in (df, df.repartition(7))]
+    assert by_key[0] == by_key[1] and by_key[0]["hot"][0] == 200
+
+
 # --- whole replay -----------------------------------------------------------------------------------
 
 

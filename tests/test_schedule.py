@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pulsetrail.operators import schedule
 from pulsetrail.operators.ordering import global_rank, range_sorted, running_totals, tell_apart
 from pulsetrail.operators.schedule import (
+    Coverage,
     pending_slices,
     replay_batches,
     replay_progress,
     replay_schedule,
     replay_slices,
-    uncovered,
 )
 
 HOUR = 3_600_000
@@ -79,10 +79,22 @@ def test_rows_without_time_stay_in_sight(spark):
 
 
 def test_what_is_not_covered():
-    assert uncovered(0, 10, []) == [(0, 10)]
-    assert uncovered(0, 10, [(2, 4), (3, 6), (8, 20)]) == [(0, 2), (6, 8)]
-    assert uncovered(0, 10, [(-5, 10)]) == uncovered(0, 10, [(0, 5), (5, 10)]) == []
-    assert uncovered(0, 10, [(10, 20), (-3, 0)]) == [(0, 10)]
+    def missing(start, stop, done):
+        return Coverage(done).missing(start, stop)
+
+    assert missing(0, 10, []) == [(0, 10)]
+    assert missing(0, 10, [(2, 4), (3, 6), (8, 20)]) == [(0, 2), (6, 8)]
+    assert missing(0, 10, [(-5, 10)]) == missing(0, 10, [(0, 5), (5, 10)]) == []
+    assert missing(0, 10, [(10, 20), (-3, 0)]) == [(0, 10)]
+
+
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 20)), max_size=12), st.integers(1, 9))
+def test_coverage_is_walked_through_once(stretches, width):
+    done = [(a, a + n) for a, n in stretches]
+    covered = Coverage(done)
+    open_ = [ms for start in range(0, 90, width) for a, b in covered.missing(start, start + width) for ms in range(a, b)]
+    last = range(0, 90, width)[-1] + width
+    assert open_ == [ms for ms in range(last) if not any(a <= ms < b for a, b in done)]
 
 
 def test_a_hot_millisecond_is_cut_in_several_tasks(spark):
