@@ -19,12 +19,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -50,8 +51,8 @@ LEVEL = 3
 FILE_BYTES = 256 << 20
 # Texts encoded at once.
 ENCODE_BYTES = 8 << 20
-# A worker forgets the words it has seen when there are more of them than this.
-CACHED_WORDS = 800_000
+# A task forgets the words it has seen when they and their ids take about so many bytes.
+REMEMBERED_BYTES = 96 << 20
 
 # White space as the tokenizers library's patterns see it.
 _WS = r"\t-\r \x85\xa0  -     　"
@@ -70,58 +71,80 @@ class WordEncoder:
     """Ids of texts by a byte-level BPE tokenizer, encoding every distinct word once.
 
     Its pattern never joins a character with white space after it, so a text may be cut before white
-    space that follows anything else, and the ids of the pieces make up those of the whole.
+    space that follows anything else, and the ids of the pieces make up those of the whole. Letters, digits and
+    other signs of ASCII are not joined either. What it has seen is forgotten with ``forget``.
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of the library would only get in each other's way.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
-        self.after_space: dict[str, bytes] = {}
-        self.other: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.bytes = 0
+        special = {c for t in self.tokenizer.get_added_tokens_decoder().values() for c in t.content}
+        # 1 for letters, 2 for digits, 3 for signs but those that begin a word or occur in special tokens.
+        signs = [chr(b) for b in range(33, 127)]
+        self.kinds = np.zeros(256, np.int8)
+        self.kinds[33:127] = [1 if c.isalpha() else 2 if c.isdigit() else 0 if c == "'" or c in special else 3 for c in signs]
 
     def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each text, serialised."""
-        if len(self.after_space) + len(self.other) > CACHED_WORDS:
-            self.after_space.clear()
-            self.other.clear()
         column = pa.compute.fill_null(column.cast(pa.large_string()), "")
         found: list[bytes] = [b""] * len(column)
         odd = [row for row in np.flatnonzero(_space_runs(column)).tolist() if _TANGLED.search(column[row].as_py())]
         for row in odd:
             words = _RUNS.findall(column[row].as_py())
-            self._learn(self.other, words, "")
-            found[row] = b"".join(map(self.other.__getitem__, words))
+            found[row] = b"".join(self._learn(words))
         rows = np.setdiff1d(np.arange(len(column)), odd)
         if len(rows):
-            for row, ids in zip(rows.tolist(), self._spaced(column.take(pa.array(rows)))):
+            plain = column.take(pa.array(rows)) if odd else column
+            for row, ids in zip(rows.tolist(), self._spaced(plain)):
                 found[row] = ids
         return found
 
+    def forget(self) -> None:
+        self.known, self.bytes = {}, 0
+
     def _spaced(self, column: pa.Array) -> Iterator[bytes]:
-        """Ids of texts that may be cut at every space. Arrow numbers the words and lines up their ids."""
-        cut = pa.compute.split_pattern(column, " ")
-        words, bounds = cut.flatten(), cut.offsets.to_numpy()
-        coded = words.dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        # The first word of a text has no space before it.
-        heads = words.take(pa.array(bounds[:-1])).to_pylist()
-        self._learn(self.after_space, names, " ")
-        self._learn(self.other, heads, "")
-        ids = [*map(self.after_space.__getitem__, names), *map(self.other.__getitem__, heads)]
-        which = coded.indices.to_numpy().astype(np.int64)
-        which[bounds[:-1]] = len(names) + np.arange(len(heads))
-        lined_up = pa.array(ids, pa.large_binary()).take(pa.array(which))
-        data = lined_up.buffers()[2].to_pybytes() if lined_up.buffers()[2] else b""
-        ends = np.frombuffer(lined_up.buffers()[1], np.int64)[bounds].tolist()
-        return (data[start:end] for start, end in zip(ends, ends[1:]))
-
-    def _learn(self, known: dict[str, bytes], words: Iterable[str], before: str) -> None:
+        """Ids of texts that may be cut before every space. Arrow numbers the pieces and lines up their ids."""
+        data, offsets = flat(column)
+        pieces = self._cut(data, offsets)
+        coded = pa.LargeStringArray.from_buffers(
+            len(pieces), pa.py_buffer(np.append(pieces, len(data)).tobytes()), pa.py_buffer(data.tobytes())
+        ).dictionary_encode()
+        lined_up = pa.array(self._learn(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        ids = lined_up.buffers()[2].to_pybytes() if lined_up.buffers()[2] else b""
+        ends = np.frombuffer(lined_up.buffers()[1], np.int64)[np.searchsorted(pieces, offsets)].tolist()
+        return (ids[start:end] for start, end in zip(ends, ends[1:]))
+
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pieces start: texts, spaces, other kinds of ASCII signs, and a single line end and what follows it."""
+        kind, start = self.kinds[data], data == 32
+        if not len(data):
+            return np.zeros(0, np.int64)
+        start[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        solid = (data > 32) & (data < 127)
+        lone = np.flatnonzero(solid[:-2] & (data[1:-1] == 10) & solid[2:]) + 1
+        start[lone] = True
+        start[lone + 1] = True
+        start[offsets[:-1][offsets[:-1] < len(data)]] = True
+        return np.flatnonzero(start)
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of words, each different one encoded once."""
+        if self.bytes > REMEMBERED_BYTES:
+            self.forget()
+        known = self.known
         new = list({w for w in words if w not in known})
-        made = self.tokenizer.encode_batch_fast([before + w for w in new], add_special_tokens=False)
+        made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         known.update(zip(new, [array(self.kind, x.ids).tobytes() for x in made]))
+        # About what an entry takes beside its texts.
+        self.bytes += 150 * len(new) + 2 * sum(map(len, new))
+        return [known[w] for w in words]
 
 
 def _space_runs(column: pa.Array) -> np.ndarray:
@@ -194,6 +217,7 @@ def write_tokens(
                 file, made = None, made + 1
         if file:
             yield file.close()
+        coder.forget()
 
     schema = "part int, number int, path string, documents bigint, tokens bigint"
     return TokenStore(folder, stage(in_order.mapInArrow(write, schema), "token-manifest"), dictionary)
