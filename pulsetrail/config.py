@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
@@ -18,7 +19,9 @@ class Sink:
 
     ``path`` is for file formats; Kafka takes its servers and topic (and any ``kafka.*`` producer
     setting such as batch size, linger, compression or acks) from ``options``. ``only`` is a condition on key
-    and value that messages must meet to be sent there.
+    and value that messages must meet to be sent there. With ``numbered`` each message carries its number and event
+    time (columns ``seq`` and ``event_time_ms``, in Kafka headers of that name), nothing that was sent before is
+    replaced, and ``read_once`` drops what was sent again.
     """
 
     format: str = "parquet"
@@ -26,11 +29,15 @@ class Sink:
     mode: str = "append"
     options: Mapping[str, str] = field(default_factory=dict)
     only: str | None = None
+    numbered: bool = False
 
     def under(self, *parts: str) -> Sink:
-        """The same sink one or more folders further down; only for sinks with a path."""
+        """The same sink one or more folders further down; only for sinks with a path. A ``numbered`` one gets a
+        folder for this write alone, as writes that go on at once can not share one."""
         if self.path is None:
             return self
+        if self.numbered:
+            return replace(self, path=f"{self.path.rstrip('/')}/send-{uuid.uuid4().hex}")
         return replace(self, path="/".join([self.path.rstrip("/"), *parts]), mode="overwrite")
 
 

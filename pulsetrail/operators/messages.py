@@ -21,7 +21,7 @@ from pulsetrail.operators.ordering import range_sorted
 from pulsetrail.operators.roles import resolve_roles
 from pulsetrail.operators.schedule import Coverage, replay_slices
 from pulsetrail.sources.chunk_files import ChunkFiles, index_files
-from pulsetrail.sources.tables import between
+from pulsetrail.sources.tables import NUMBERS, between
 from pulsetrail.workspace import path_exists, remove, write_text
 
 # Of a slice that was sent: its stretch of event time, which is what it is known by, the rows its write counted,
@@ -51,7 +51,13 @@ def _sendable(df: DataFrame, sink: Sink) -> DataFrame:
     key = F.col("key")
     if df.schema["key"].dataType != T.BinaryType():
         key = key.cast("string").alias("key")
-    rows = df.select(key, F.col("value").cast("binary").alias("value"))
+    more = []
+    if sink.numbered and sink.format == "kafka":
+        texts = [F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary").alias("value")) for c in NUMBERS]
+        more = [F.array(*texts).alias("headers")]
+    elif sink.numbered:
+        more = [F.col(c) for c in NUMBERS]
+    rows = df.select(key, F.col("value").cast("binary").alias("value"), *more)
     return rows.filter(sink.only) if sink.only else rows
 
 
@@ -130,11 +136,13 @@ def write_paced(
     counted and how late the write began. A later call sends what no note covers, at whatever speed or length of
     slices it goes; notes and slices are walked through once. A slice that failed midway is
     sent again: a sink with a path holds a folder per stretch and replaces it, a Kafka topic may receive
-    its messages twice. Messages without an event time have no place in the rhythm and are refused.
+    its messages twice, which ``numbered`` sinks and ``read_once`` make good. Messages without an event time have no place in the rhythm and are refused.
     """
     if not speed > 0 or slice_ms <= 0:
         raise ValueError(f"speed and slice_ms must be above 0, got {speed} and {slice_ms}")
     files = chunks if isinstance(chunks, ChunkFiles) else None
+    if sink.numbered and not files:
+        raise ValueError("numbers come from staged files; give them as ChunkFiles")
     rows = files.frame() if files else chunks
     log = DeliveryLog(rows.sparkSession, log_path) if log_path else None
     covered = Coverage(log.delivered() if log else [])
@@ -144,7 +152,7 @@ def write_paced(
 
     def deliver(start: int, stop: int, due: int) -> None:
         late_ms = round((clock() - started) * 1000) - (due - first_due)
-        messages = files.between(start, stop) if files else between(rows, start, stop)
+        messages = files.between(start, stop, numbered=sink.numbered) if files else between(rows, start, stop)
         written = send_measured(messages, sink.under(f"from_ms={start}"))
         if log:
             log.add({"from_ms": start, "to_ms": stop, "rows": written, "due_ms": due, "late_ms": late_ms})

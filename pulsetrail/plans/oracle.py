@@ -77,6 +77,12 @@ def all_sql() -> dict[str, str]:
                    CASE event_type WHEN 'error' THEN 'null_key' WHEN 'signup' THEN 'null_event_time'
                                    ELSE 'sent' END AS reason
             FROM events""",
+        "rejects_retried": """
+            SELECT event_id, CASE WHEN ok THEN NULL WHEN event_type = 'error' THEN 'null_key' ELSE 'null_event_time' END AS reason,
+                   CASE WHEN event_type = 'signup' AND ok THEN 1 WHEN ok THEN 2 ELSE 3 END::INTEGER AS tries,
+                   CASE WHEN ok THEN 'delivered' ELSE 'dead' END AS state, ok::BIGINT AS arrived
+            FROM (SELECT event_id, event_type, CASE event_type WHEN 'error' THEN event_id % 2 = 0 ELSE event_id % 3 = 0 END AS ok
+                  FROM events WHERE event_type IN ('error', 'signup'))""",
         "max_speed_messages": full,
         "paced_messages": f"""
             WITH e AS ({EVENTS})
@@ -93,6 +99,9 @@ def all_sql() -> dict[str, str]:
                    {_rounded("elapsed_s", "elapsed")},
                    {_rounded("rows_per_s", "CASE WHEN elapsed > 0 THEN sent / elapsed END")}
             FROM r""",
+        "delivered_once": f"{timed} FROM e",
+        "count_by_date_files": f"SELECT dt, count(*) AS cnt FROM ({EVENTS}) GROUP BY 1",
+        "latest_date_files": f"SELECT max(dt) AS dt FROM ({EVENTS})",
         "replay_day": f"{full} WHERE dt = '{DAY}'",
         "stream_replay": f"SELECT key, value FROM ({timed} FROM e)",
         "stream_by_time": f"""
@@ -180,6 +189,11 @@ def all_sql() -> dict[str, str]:
         "trace_flatten": _flatten(),
         "param_summary": _summary(_trace(), STATION),
         "param_integral": f"SELECT {station}, integral_val FROM ({_summary(_trace(), STATION)})",
+        "step_runs": _step_runs(),
+        "step_merges": f"""
+            SELECT eqp_id, module_name, step_id, count(*) AS runs, sum(samples)::BIGINT AS samples,
+                   CASE WHEN count(*) > 1 THEN 'Y' ELSE 'N' END AS step_merge_yn
+            FROM ({_step_runs()}) GROUP BY ALL""",
         "summary_packed": _packed(_summary(_trace(), STATION), STATION),
         "summary_by_lot": _packed(_summary(_trace(), SUMMARY_GROUP), SUMMARY_GROUP),
     }
@@ -219,6 +233,15 @@ def _trace() -> str:
     return f"SELECT {', '.join(f'{columns[name]} AS {name}' for name in TRACE_COLUMNS)} FROM lineitem"
 
 
+def _step_runs() -> str:
+    return f"""
+        WITH s AS (SELECT eqp_id, module_name, step_id, epoch_us(ts) AS us,
+                          row_number() OVER w - row_number() OVER (PARTITION BY eqp_id, module_name, step_id ORDER BY ts) AS island
+                   FROM ({_trace()}) WINDOW w AS (PARTITION BY eqp_id, module_name ORDER BY ts, step_id))
+        SELECT eqp_id, module_name, step_id, min(us) AS first_us, max(us) AS last_us, count(*) AS samples
+        FROM s GROUP BY eqp_id, module_name, step_id, island"""
+
+
 def _envelope_trace(key: str, left_out: tuple[str, ...], more: str) -> str:
     times = ("ts", "start_dtts", "create_dtts")
     fields = [

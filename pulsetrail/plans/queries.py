@@ -14,7 +14,15 @@ from pulsetrail.functions.columns import event_time_ms
 from pulsetrail.operators.content import reconcile_content
 from pulsetrail.operators.delivery import delivery_progress, reconcile
 from pulsetrail.operators.envelope import envelope, split_rejects
-from pulsetrail.operators.inventory import day_profile, inventory, latest_date, param_count, preview
+from pulsetrail.operators.inventory import (
+    day_profile,
+    inventory,
+    inventory_of_files,
+    latest_date,
+    latest_of_files,
+    param_count,
+    preview,
+)
 from pulsetrail.operators.messages import (
     chunk_manifest,
     prepare_chunks,
@@ -24,6 +32,7 @@ from pulsetrail.operators.messages import (
     write_to,
 )
 from pulsetrail.operators.ordering import global_rank
+from pulsetrail.operators.retry import retry_rejects
 from pulsetrail.operators.schedule import (
     pending_slices,
     replay_batches,
@@ -31,12 +40,13 @@ from pulsetrail.operators.schedule import (
     replay_schedule,
     replay_slices,
 )
+from pulsetrail.operators.step_runs import step_merges, step_runs
 from pulsetrail.operators.summary import pack_summary, summarize_params
 from pulsetrail.operators.trace import flatten_trace
 from pulsetrail.plans.replay import run_replay
 from pulsetrail.sources.chunk_files import ChunkFiles
 from pulsetrail.sources.samples import events_with_date, trace_of_lineitem
-from pulsetrail.sources.tables import load_chunks, load_day, load_path, read_delivered
+from pulsetrail.sources.tables import load_chunks, load_day, load_path, read_delivered, read_once
 from pulsetrail.streaming.stream_replay import run_to_end, stream_by_time, stream_replay
 from pulsetrail.workspace import new_path
 
@@ -81,10 +91,12 @@ def all_queries() -> dict[str, Query]:
         "envelope_key_literal": _envelope_key_literal,
         "event_time_ms": _event_time_ms,
         "rejects": _rejects,
+        "rejects_retried": _rejects_retried,
         "max_speed_messages": _max_speed_messages,
         "paced_messages": _paced_messages,
         "paced_resume": _paced_resume,
         "delivery_progress": _delivery_progress,
+        "delivered_once": _delivered_once,
         "replay_day": _replay_day,
         "stream_replay": _stream_replay,
         "stream_by_time": _stream_by_time,
@@ -114,6 +126,10 @@ def all_queries() -> dict[str, Query]:
         "count_by_lot": lambda spark, sf: inventory(trace_of_lineitem(spark, sf), "lot_id"),
         "count_by_date_fab": lambda spark, sf: inventory(trace_of_lineitem(spark, sf), ["dt", "fab"]),
         "count_by_lot_eqp": lambda spark, sf: inventory(trace_of_lineitem(spark, sf), ["lot_id", "eqp_id"]),
+        "count_by_date_files": lambda spark, sf: _date_as_text(
+            inventory_of_files(spark, "parquet", _events_by_date(spark, sf, "parquet"), ["dt"])
+        ),
+        "latest_date_files": lambda spark, sf: _date_as_text(latest_of_files(spark, "orc", _events_by_date(spark, sf, "orc"))),
         "latest_date": lambda spark, sf: latest_date(events_with_date(spark, sf)),
         "preview": lambda spark, sf: _text_times(preview(events_with_date(spark, sf), 10, "event_id")),
         "param_count": lambda spark, sf: _text_times(_text_arrays(param_count(trace_of_lineitem(spark, sf)))),
@@ -122,6 +138,8 @@ def all_queries() -> dict[str, Query]:
         "param_integral": lambda spark, sf: _station_summary(spark, sf).select(
             *STATION, *PARAM_COLUMNS, "integral_val"
         ),
+        "step_runs": lambda spark, sf: step_runs(trace_of_lineitem(spark, sf)),
+        "step_merges": lambda spark, sf: step_merges(step_runs(trace_of_lineitem(spark, sf))),
         "summary_packed": _summary_packed,
         "summary_by_lot": _summary_by_lot,
     }
@@ -142,10 +160,21 @@ def _events_table(spark: SparkSession, sf_dir: str) -> str:
     return name
 
 
-def _load_day_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "events-orc")
+def _events_by_date(spark: SparkSession, sf_dir: str, format: str) -> str:
+    """``events`` as files in a folder per date; their path."""
+    path = new_path(spark, f"events-{format}")
     events = events_with_date(spark, sf_dir)
-    events.repartitionByRange("dt", "event_id").sortWithinPartitions("dt").write.partitionBy("dt").orc(path)
+    in_order = events.repartitionByRange("dt", "event_id").sortWithinPartitions("dt")
+    in_order.write.partitionBy("dt").format(format).save(path)
+    return path
+
+
+def _date_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("dt", F.col("dt").cast("string"))
+
+
+def _load_day_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _events_by_date(spark, sf_dir, "orc")
     return _text_times(load_path(spark, "orc", path, DAY)).withColumn("dt", F.col("dt").cast("string"))
 
 
@@ -193,15 +222,44 @@ def _event_time_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_times(spark, sf_dir)
 
 
-def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = events_with_date(spark, sf_dir)
-    holes = events.withColumns(
+def _with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which errors have no key and signups no time."""
+    return events_with_date(spark, sf_dir).withColumns(
         {
             "event_key": F.when(F.col("event_type") != "error", F.col("event_id")),
             "ts": F.when(F.col("event_type") != "signup", F.col("ts")),
         }
     )
-    good, rejected = split_rejects(holes, ReplayConfig(source_table="db.events"))
+
+
+def _rejects_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys come in the second round for even numbers, times in the first for multiples of three; the rest is dead.
+    Each row with what became of it, and how often its message arrived."""
+    config, path = ReplayConfig(source_table="db.events", key_in_value=True), new_path(spark, "retried")
+    _, rejected = split_rejects(_with_holes(spark, sf_dir), config)
+
+    def mend(rows: DataFrame, number: int) -> DataFrame:
+        day = F.lit("2024-02-01").cast("timestamp_ntz")
+        key = F.when((F.col("event_id") % 2 == 0) & F.lit(number == 2), F.col("event_id"))
+        return rows.withColumns(
+            {
+                "event_key": F.coalesce("event_key", key),
+                "ts": F.coalesce("ts", F.when(F.col("event_id") % 3 == 0, day)),
+            }
+        )
+
+    letters = retry_rejects(spark, rejected, mend, config, Sink("parquet", path), new_path(spark, "letters"), sleep=lambda seconds: None)
+    number = F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("bigint")
+    arrived = spark.read.parquet(path).select(number.alias("event_id")).groupBy("event_id").agg(F.count(F.lit(1)).alias("arrived"))
+    return (
+        letters.select("row.event_id", "reason", "tries", "state")
+        .join(arrived, "event_id", "left")
+        .withColumn("arrived", F.coalesce("arrived", F.lit(0)))
+    )
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, rejected = split_rejects(_with_holes(spark, sf_dir), ReplayConfig(source_table="db.events"))
     return good.withColumn("reason", F.lit("sent")).unionByName(rejected).select("event_id", "event_key", "reason")
 
 
@@ -283,6 +341,31 @@ def _delivery_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(delivery_progress(read_log(spark, log)), ["percent", "elapsed_s", "rows_per_s"])
 
 
+def _delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A paced write that appends, breaks off after four days, has lost its log and sends all again; read as a stream."""
+    staged, topic, out, now = new_path(spark, "chunks"), new_path(spark, "topic"), new_path(spark, "once"), [0.0, 0]
+    prepare_chunks(events_with_date(spark, sf_dir), staged, TIMED, unique_key=True)
+    sink = Sink("parquet", topic, numbered=True)
+
+    def sleep(seconds: float) -> None:
+        now[0] += seconds
+        now[1] += 1
+        if now[1] == 4:
+            raise _Broken
+
+    def write() -> None:
+        write_paced(ChunkFiles(spark, staged), sink, speed=SLICE_SPEED, slice_ms=SLICE_MS, clock=lambda: now[0], sleep=sleep)
+
+    try:
+        write()
+    except _Broken:
+        write()
+    once = read_once(spark, "parquet", topic, delay="1 day").select("key", "value", "event_time_ms")
+    stream = once.writeStream.option("checkpointLocation", new_path(spark, "once-checkpoint")).trigger(availableNow=True)
+    stream.format("parquet").start(out).awaitTermination()
+    return _readable(spark.read.schema(once.schema).parquet(out))
+
+
 def _replay_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "topic")
     config = ReplayConfig(

@@ -66,15 +66,19 @@ class ChunkFiles:
         """All messages."""
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def between(self, from_ms: int | None, to_ms: int | None) -> DataFrame:
+    def between(self, from_ms: int | None, to_ms: int | None, *, numbered: bool = False) -> DataFrame:
         """Messages with from_ms <= event_time_ms < to_ms, reading only files that can hold some; without limits,
-        all messages."""
-        if from_ms is None and to_ms is None:
-            return self.frame()
+        all messages. ``numbered`` adds ``seq``, which no other message has and a message always has: its file
+        and its place there."""
         found = self.spans.overlapping(from_ms, to_ms)
-        if not found:
-            return self.frame().limit(0)
-        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{s.name}" for s in found])
+        if from_ms is None and to_ms is None:
+            rows = self.frame()
+        elif not found:
+            rows = self.frame().limit(0)
+        else:
+            rows = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{s.name}" for s in found])
+        if numbered:
+            rows = rows.select("*", F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias("seq"))
         time = F.col("event_time_ms")
         if from_ms is not None:
             rows = rows.filter(time >= from_ms)

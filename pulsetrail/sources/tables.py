@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsetrail.sources.chunk_files import ChunkFiles
 
 
+# What a numbered message carries beside key and value.
+NUMBERS = {"seq": "string", "event_time_ms": "bigint"}
+
+
 def load_day(
     spark: SparkSession,
     table: str,
@@ -65,6 +69,37 @@ def read_delivered(
     return rows.select("key", "value")
 
 
+def read_once(
+    spark: SparkSession,
+    format: str,
+    path: str | None = None,
+    options: Mapping[str, str] | None = None,
+    *,
+    delay: str | None = None,
+) -> DataFrame:
+    """Messages of a ``numbered`` sink, each once however often it was sent: key, value, seq, event_time_ms.
+
+    Without a ``delay`` all that is there, as one batch. With one it is a stream: numbers are remembered for that
+    much event time, and a repeat that comes later still is older than the watermark and dropped for it. The delay
+    has to cover how far slices overtake each other, or first copies would be late too.
+    """
+    reader = (spark.readStream if delay else spark.read).format(format)
+    if format == "kafka":
+        reader = reader.option("startingOffsets", "earliest").option("includeHeaders", True)
+    else:
+        # Each write has a folder of its own.
+        reader = reader.option("recursiveFileLookup", True)
+        reader = reader.schema(f"key string, value binary, {', '.join(f'{c} {kind}' for c, kind in NUMBERS.items())}")
+    reader = reader.options(**(options or {}))
+    rows = reader.load(path) if path else reader.load()
+    if format == "kafka":
+        rows = rows.select("key", "value", *[_header(c).cast(kind).alias(c) for c, kind in NUMBERS.items()])
+    if not delay:
+        return rows.dropDuplicates(["seq"])
+    timed = rows.withColumn("_pt_at", F.timestamp_millis("event_time_ms")).withWatermark("_pt_at", delay)
+    return timed.dropDuplicatesWithinWatermark(["seq"]).drop("_pt_at")
+
+
 def lookup_schema(schemas: DataFrame, artifact: str) -> str:
     """Text of one value schema from a table (artifact, content); an artifact that is unknown, or there
     with several contents, is an error."""
@@ -76,6 +111,11 @@ def lookup_schema(schemas: DataFrame, artifact: str) -> str:
     return found[0]["content"]
 
 
+def _header(name: str) -> Column:
+    """The text of a Kafka header."""
+    return F.filter("headers", lambda header: header["key"] == name)[0]["value"].cast("string")
+
+
 def _on_day(df: DataFrame, date: str, date_column: str, equal: Mapping[str, str] | None) -> DataFrame:
     day = df.filter(F.col(date_column) == date)
     for name, value in (equal or {}).items():

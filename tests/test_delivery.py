@@ -15,7 +15,7 @@ from pulsetrail.config import ReplayConfig, Sink
 from pulsetrail.operators import content, messages
 from pulsetrail.operators.content import digests, reconcile_content
 from pulsetrail.operators.delivery import delivery_progress, delivery_report, reconcile
-from pulsetrail.operators.envelope import envelope, plain_columns
+from pulsetrail.operators.envelope import envelope, plain_columns, split_rejects
 from pulsetrail.operators.messages import (
     chunk_manifest,
     check_sink,
@@ -25,11 +25,12 @@ from pulsetrail.operators.messages import (
     write_paced,
     write_to,
 )
+from pulsetrail.operators.retry import RetryPolicy, retry_rejects
 from pulsetrail.operators.schedule import replay_slices
 from pulsetrail.plans.replay import run_replay
 from pulsetrail.sources.chunk_files import ChunkFiles
 from pulsetrail.sources.event_time_stream import EventTimeReader
-from pulsetrail.sources.tables import load_chunks, load_day, load_path, lookup_schema, read_delivered
+from pulsetrail.sources.tables import load_chunks, load_day, load_path, lookup_schema, read_delivered, read_once
 from pulsetrail.streaming import stream_replay as stream_module
 from pulsetrail.streaming.stream_replay import run_to_end, stream_by_time, stream_replay
 
@@ -409,6 +410,79 @@ def test_stream_by_time_needs_times(spark, tmp_path):
         stream_by_time(spark, str(tmp_path / "chunks"), Sink("noop"), str(tmp_path / "checkpoint"), span_ms=HOUR)
 
 
+# --- retries and repeats ----------------------------------------------------------------------------
+
+
+def letters_of(rows):
+    return {r["row"]["n"]: (r["reason"], r["tries"], r["state"]) for r in rows.collect()}
+
+
+def test_rejects_are_tried_until_they_pass_or_are_dead(spark, tmp_path):
+    rows = [(None, 5, 1), (None, 6, 2), ("k", None, 3), (None, None, 4)]
+    _, rejected = split_rejects(spark.createDataFrame(rows, "event_key string, event_time bigint, n int"), CONFIG)
+    sink, naps, rounds = Sink("parquet", str(tmp_path / "topic")), [], []
+
+    def mend(df, number):
+        rounds.append(number)
+        key = F.when((F.col("n") == 1) | ((F.col("n") == 4) & F.lit(number == 2)), F.lit("mended"))
+        return df.withColumns({"event_key": F.coalesce("event_key", key), "event_time": F.coalesce("event_time", F.when(F.col("n") == 4, 9))})
+
+    path = str(tmp_path / "letters")
+    options = {"policy": RetryPolicy(3, 10, 2), "sleep": naps.append}
+    want = {1: (None, 1, "delivered"), 2: ("null_key", 3, "dead"), 3: ("null_event_time", 3, "dead"), 4: (None, 2, "delivered")}
+    assert letters_of(retry_rejects(spark, rejected, mend, CONFIG, sink, path, **options)) == want
+    assert naps == [10, 20, 40] and rounds == [1, 2, 3]
+    assert sorted(r["key"] for r in read_delivered(spark, "parquet", sink.path).collect()) == ["mended", "mended"]
+    # All is settled, so another call does nothing.
+    assert letters_of(retry_rejects(spark, rejected, mend, CONFIG, sink, path, **options)) == want and len(rounds) == 3
+
+
+def test_a_round_that_broke_off_is_repeated_and_sends_once(spark, tmp_path):
+    rows = [(None, 5, i) for i in range(20)]
+    _, rejected = split_rejects(spark.createDataFrame(rows, "event_key string, event_time bigint, n int"), CONFIG)
+    sink, path, fail = Sink("parquet", str(tmp_path / "topic")), str(tmp_path / "letters"), [True]
+
+    def mend(df, number):
+        return df.withColumn("event_key", F.when(F.col("n") % 3 >= 3 - number, F.lit("k")))
+
+    def nap(seconds):
+        if fail and seconds > 60:
+            fail.clear()
+            raise ConnectionError
+
+    with pytest.raises(ConnectionError):
+        retry_rejects(spark, rejected, mend, CONFIG, sink, path, sleep=nap)
+    found = letters_of(retry_rejects(spark, rejected, mend, CONFIG, sink, path, sleep=nap))
+    assert {s for _, _, s in found.values()} == {"delivered"} and len(found) == 20
+    assert read_delivered(spark, "parquet", sink.path).count() == 20
+
+
+def test_messages_sent_twice_are_read_once(spark, tmp_path):
+    chunks, topic, out = (str(tmp_path / x) for x in ("chunks", "topic", "out"))
+    copies = events(spark).unionByName(events(spark))
+    staged = prepare_chunks(copies, chunks, CONFIG)
+    clock, sink = Clock(), Sink("parquet", topic, numbered=True)
+    for _ in range(2):
+        write_paced(ChunkFiles(spark, chunks), sink, speed=HOUR / 1000, slice_ms=1000, clock=clock, sleep=clock.sleep)
+    assert spark.read.option("recursiveFileLookup", True).parquet(topic).count() == 2400
+    # Equal messages that were sent on their own stay; only repeats of one and the same go.
+    assert contents(read_once(spark, "parquet", topic)) == contents(staged)
+    once = read_once(spark, "parquet", topic, delay="1 hour")
+    writer = once.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True)
+    writer.format("parquet").start(out).awaitTermination()
+    assert contents(spark.read.parquet(out)) == contents(staged)
+    with pytest.raises(ValueError, match="ChunkFiles"):
+        write_paced(staged, sink, speed=1.0, slice_ms=1000)
+
+
+def test_numbers_travel_as_headers_in_kafka(spark, tmp_path):
+    prepare_chunks(events(spark), str(tmp_path / "chunks"), CONFIG)
+    rows = ChunkFiles(spark, str(tmp_path / "chunks")).between(None, None, numbered=True)
+    row = messages._sendable(rows, Sink("kafka", numbered=True)).first()
+    assert [h["key"] for h in row["headers"]] == ["seq", "event_time_ms"] and b".parquet:" in row["headers"][0]["value"]
+    assert rows.select("seq").distinct().count() == 600
+
+
 # --- content ----------------------------------------------------------------------------------------
 
 
