@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Batches = Iterator[pa.RecordBatch]
+
 # The ASCII white space between words: space, tab, line feed, vertical tab, form feed, return.
 SPACES = b" \t\n\x0b\x0c\r"
 # Rows handed to Python at once; some megabytes of text as a rule.
@@ -27,6 +30,24 @@ def bound_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, giving the memory it took back to the machine at the end of each task.
+
+    Spark keeps its Python workers for later tasks, and these keep what they once took unless told otherwise.
+    """
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -114,7 +135,7 @@ def with_word_count(df: DataFrame, text: str, name: str) -> DataFrame:
             arrays = [batch.column(c) for c in kept] + [pa.array(count_words(batch.column(text)), pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, [*kept, name])
 
-    return df.mapInArrow(count, schema)
+    return df.mapInArrow(lean(count), schema)
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import keep_row, mix64, pieces, texts
+from pulsetrail.llm.common import keep_row, lean, mix64, pieces, texts
 from pulsetrail.llm.simhash import words_of
 
 SHINGLE = 5
@@ -35,7 +35,7 @@ THRESHOLD = 0.8
 # Texts of items sent to the tasks at once.
 BLOCK_BYTES = 8 << 20
 # A worker forgets the words it has seen when there are more of them than this.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 200_000
 FILTER_BITS = 22
 
 
@@ -57,7 +57,7 @@ def find_items(
     schema = f"{out}, _row {rows.schema['_row'].dataType.simpleString()}"
     found = df.sparkSession.createDataFrame([], schema)
     for block in _blocks(items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text"))):
-        found = found.unionByName(rows.mapInArrow(_finder(block, threshold, shingle), schema))
+        found = found.unionByName(rows.mapInArrow(lean(_finder(block, threshold, shingle)), schema))
     return found
 
 
@@ -67,7 +67,7 @@ def without_items(
     """The rows of ``df`` that contain no item of ``items`` (item_id, text)."""
     rows = keep_row(df, F.col(text).alias("text")).withColumn("hit", F.lit(False))
     for block in _blocks(items.select("item_id", "text")):
-        rows = rows.mapInArrow(_flagger(block, threshold, shingle), rows.schema)
+        rows = rows.mapInArrow(lean(_flagger(block, threshold, shingle)), rows.schema)
     return rows.filter(~F.col("hit")).select("_row.*")
 
 

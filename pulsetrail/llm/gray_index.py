@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import partitions
+from pulsetrail.llm.common import lean, partitions
 from pulsetrail.workspace import stage
 
 BLOCK = 4096
@@ -60,7 +60,7 @@ def gray_links(entries: DataFrame, bits: int = 4, *, forest: bool = True) -> Dat
                 arrays = [ids, pa.array(group.view(np.int64)), pa.array(low.view(np.int64)), batch.column("fp")]
                 yield pa.RecordBatch.from_arrays(arrays + [batch.column(c) for c in root], ["id", "node", "rank", "fp", *root])
 
-    placed = entries.mapInArrow(spread, "id bigint, node bigint, rank bigint, fp bigint" + ", root bigint" * len(root))
+    placed = entries.mapInArrow(lean(spread), "id bigint, node bigint, rank bigint, fp bigint" + ", root bigint" * len(root))
     sizes = placed.groupBy("node").count().filter(F.col("count") > BLOCK)
     large = stage(sizes.select("node", F.ceil(F.col("count") / BLOCK).alias("blocks")), "gray-large")
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
@@ -86,7 +86,7 @@ def gray_links(entries: DataFrame, bits: int = 4, *, forest: bool = True) -> Dat
             for a, b in [fewest(len(codes), found)] if forest else found:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
-    links = in_order.mapInArrow(link, "a bigint, b bigint")
+    links = in_order.mapInArrow(lean(link), "a bigint, b bigint")
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
 
 

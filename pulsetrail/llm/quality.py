@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import SPACES, bound_batches, keep_row, pieces
+from pulsetrail.llm.common import SPACES, bound_batches, keep_row, lean, pieces
 
 SYMBOLS = "#*$%&|<>"
 UPPER = bytes(range(65, 91))
@@ -133,7 +133,7 @@ def rule_order(df: DataFrame, rules: Mapping[str, Rule] = RULES, *, text: str =
         )
 
     seen = bound_batches(df).select(F.col(text).alias("text")).sample(min(1.0, sample / rows), 7)
-    found = seen.mapInArrow(trial, "rule string, spent double, rejected bigint").groupBy("rule")
+    found = seen.mapInArrow(lean(trial), "rule string, spent double, rejected bigint").groupBy("rule")
     rate = {r["rule"]: r["n"] / (r["s"] or 1e-9) for r in found.agg(F.sum("rejected").alias("n"), F.sum("spent").alias("s")).collect()}
     return sorted(rules, key=lambda name: -rate.get(name, 0.0))
 
@@ -170,4 +170,4 @@ def quality(
             arrays = [pa.array(v, pa.string() if k == "rejected_by" else None) for k, v in found.items()]
             yield pa.RecordBatch.from_arrays([*arrays, batch.column("_row")], [*found, "_row"])
 
-    return rows.mapInArrow(judge, schema)
+    return rows.mapInArrow(lean(judge), schema)

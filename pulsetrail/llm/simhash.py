@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import LOWER, bound_batches, keep_row, mix64, partitions, pieces, texts
+from pulsetrail.llm.common import LOWER, bound_batches, keep_row, lean, mix64, partitions, pieces, texts
 from pulsetrail.llm.components import components
 from pulsetrail.llm.gray_index import FRONTIER, gray_links, groups
 from pulsetrail.llm.shared_keys import sized
@@ -75,7 +75,7 @@ def fingerprints(df: DataFrame, *, id: str = "doc_id", text: str = "text", shing
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps)], ["id", "fp"])
 
     rows = bound_batches(df).select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(hashed, "id bigint, fp bigint")
+    return rows.mapInArrow(lean(hashed), "id bigint, fp bigint")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -157,7 +157,7 @@ def near_copies(
             yield pa.RecordBatch.from_arrays(arrays, ["id", "text_key", "words_key", *names, "bands"])
 
     schema = "id bigint, text_key bigint, words_key bigint" + "".join(f", {name} bigint" for name in names) + ", bands array<bigint>"
-    known = stage(rows.mapInArrow(describe, schema), "copies")
+    known = stage(rows.mapInArrow(lean(describe), schema), "copies")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("first")
     entries = stage(known.groupBy("words_key").agg(first, *[F.min(n).alias(n) for n in [*names, "bands"]]), "copies-entries")
 
@@ -239,7 +239,7 @@ def _band_links(keyed: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
                 at = stop
 
-    pairs = in_order.mapInArrow(link, "a bigint, b bigint")
+    pairs = in_order.mapInArrow(lean(link), "a bigint, b bigint")
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -267,7 +267,7 @@ def _word_runs(rows: DataFrame, entries: DataFrame, pairs: DataFrame, shingle: i
             found = [np.unique(shingle_hashes(words_of(t), shingle)).tobytes() for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("words_key"), pa.array(found, pa.binary())], ["words_key", "runs"])
 
-    return stage(chosen.mapInArrow(runs, "words_key bigint, runs binary").dropDuplicates(["words_key"]), "copies-runs")
+    return stage(chosen.mapInArrow(lean(runs), "words_key bigint, runs binary").dropDuplicates(["words_key"]), "copies-runs")
 
 
 def _alike_in_blocks(pairs: DataFrame, members: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
@@ -301,7 +301,7 @@ def _alike_in_blocks(pairs: DataFrame, members: DataFrame, runs: DataFrame, thre
             if near:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*near)], ["a", "b"])
 
-    return in_order.mapInArrow(check, "a bigint, b bigint")
+    return in_order.mapInArrow(lean(check), "a bigint, b bigint")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
@@ -322,4 +322,4 @@ def _alike(pairs: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
                 near.append(_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold))
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "runs_a", "runs_b").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "runs_a", "runs_b").mapInArrow(lean(check), "a bigint, b bigint")

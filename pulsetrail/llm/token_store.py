@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import bound_batches, flat, gathered, is_space, partitions, pieces
+from pulsetrail.llm.common import bound_batches, flat, gathered, is_space, lean, partitions, pieces
 from pulsetrail.llm.files import make_folder, resolve
 from pulsetrail.workspace import new_path, stage
 
@@ -176,7 +176,7 @@ def train_dictionary(df: DataFrame, tokenizer: str, *, text: str = "text") -> by
             yield pa.RecordBatch.from_pydict({"ids": [x[: SAMPLE_IDS * coder.width] for x in found]})
 
     seen = df.select(F.col(text).alias("text")).sample(min(1.0, SAMPLE_DOCUMENTS / rows), 11)
-    ids = [r.ids for r in seen.mapInArrow(encode, "ids binary").limit(2 * SAMPLE_DOCUMENTS).collect() if r.ids]
+    ids = [r.ids for r in seen.mapInArrow(lean(encode), "ids binary").limit(2 * SAMPLE_DOCUMENTS).collect() if r.ids]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, ids).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -220,7 +220,7 @@ def write_tokens(
         coder.forget()
 
     schema = "part int, number int, path string, documents bigint, tokens bigint"
-    return TokenStore(folder, stage(in_order.mapInArrow(write, schema), "token-manifest"), dictionary)
+    return TokenStore(folder, stage(in_order.mapInArrow(lean(write), schema), "token-manifest"), dictionary)
 
 
 class TokenFile:
@@ -329,7 +329,7 @@ def read_tokens(spark: SparkSession, store: TokenStore, *, with_ids: bool = True
                     yield pa.RecordBatch.from_arrays(out, names)
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
-    return files.repartition(partitions(spark), "path").mapInArrow(read, schema)
+    return files.repartition(partitions(spark), "path").mapInArrow(lean(read), schema)
 
 
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
