@@ -9,6 +9,7 @@ def all_sql() -> dict[str, str]:
     return {
         "op5_mixing": _MIXING,
         "op6_quality_rules": _QUALITY,
+        "op7_decontamination": _DECONTAMINATION,
         "op10_chat": _CHAT,
         "op11_source_divergence": _DIVERGENCE,
         "op12_vector_codes": _vector_codes(),
@@ -132,6 +133,27 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM l GROUP BY conv_id
 """
 
+_SMALL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DECONTAMINATION = f"""
+WITH i AS (
+  SELECT row_number() OVER () AS item, item_id, regexp_extract_all({_SMALL.format("text")}, {_WORD}) AS ws FROM benchmark
+), s AS (
+  SELECT DISTINCT item, item_id, n, array_to_string(ws[k : k + n - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS k FROM (SELECT *, least(5, len(ws)) AS n FROM i WHERE len(ws) > 0))
+), z AS (
+  SELECT item, count(*) AS n_shingles FROM s GROUP BY 1
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_SMALL.format("text")}, {_WORD}) AS ws FROM documents
+), x AS (
+  SELECT DISTINCT r, doc_id, n, array_to_string(ws[k : k + n - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM s) WHERE len(ws) >= n)
+), m AS (
+  SELECT r, doc_id, item, item_id, count(*) AS n_shared FROM x JOIN s USING (n, run) GROUP BY ALL
+)
+SELECT doc_id, item_id, n_shared, n_shingles, n_shared::DOUBLE / n_shingles AS containment
+FROM m JOIN z USING (item) WHERE n_shared >= 0.8 * n_shingles - 1e-9
+"""
+
 _P = "1 + 1000000000::HUGEINT * ({0} + 2) // ({1} + 2 * v)"
 _DIVERGENCE = rf"""
 WITH d AS (
