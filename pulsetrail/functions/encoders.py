@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pulsetrail.functions.columns import column
+
 Encoder = Callable[[list[Column]], Column]
 
 
@@ -20,9 +22,9 @@ def json_encoder(columns: list[Column]) -> Column:
     return F.to_json(F.struct(*columns)).cast("binary")
 
 
-def binary_encoder(column: str) -> Encoder:
+def binary_encoder(name: str) -> Encoder:
     """One column passed through as bytes."""
-    return lambda _columns: F.col(column).cast("binary")
+    return lambda _columns: column(name).cast("binary")
 
 
 def avro_encoder(schema: str) -> Encoder:
