@@ -154,3 +154,30 @@ def test_keys_find_words_added_in_one_place():
             assert 0.79 < len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < 0.87
             found += bool(set(band_keys(a)) & set(band_keys(b)))
         assert found >= 0.97 * 200
+
+
+def test_blocks_of_a_group_are_compared_without_rows_of_pairs(spark, documents, monkeypatch):
+    """Texts that are candidates of each other and mostly refuted, in blocks: the same groups as by brute force."""
+    from pulsetrail.llm import simhash
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for number in range(60):
+        words = [f"w{w}" for w in range(120)]
+        for at in rng.choice(115, rng.integers(1, 7), replace=False).tolist():
+            words[at : at + 2] = words[at : at + 2][::-1]
+        rows.append((number, " ".join(words)))
+    sets = [set(shingle_hashes(simhash.words_of(t.encode()), 5).tolist()) for _, t in rows]
+    alike = [(i, j) for i in range(60) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
+    wanted = union(range(60), alike)
+    assert 1 < len(set(wanted[i] for i in range(60))) < 60
+    for block in (7, 1024):
+        monkeypatch.setattr(simhash, "BLOCK_TEXTS", block)
+        df = spark.read.parquet(documents(rows) + "/documents.parquet")
+        found = {r.id: r.keeper_id for r in simhash.near_copies(df).collect()}
+        assert all((found[i] == found[j]) == (wanted[i] == wanted[j]) for i in range(60) for j in range(60))
+    members = spark.createDataFrame([(i, i, [i], i, 1) for i in range(300)], "words_key bigint, fp0 bigint, bands array<bigint>, root bigint, group bigint")
+    runs = spark.createDataFrame([(i, bytes(8)) for i in range(300)], "words_key bigint, runs binary")
+    links = simhash._alike_in_blocks(members.withColumn("first", members.root), runs, ["fp0"], 64, 0.8)
+    # All pairs are candidates and alike; what leaves the task is a link per text.
+    assert links.count() == 299
