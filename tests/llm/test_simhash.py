@@ -2,7 +2,7 @@ import numpy as np
 import xxhash
 
 from pulsetrail.llm.components import components
-from pulsetrail.llm.gray_index import build, fewest, gray_links, search, spanning
+from pulsetrail.llm.gray_index import _between, build, fewest, gray_links, gray_rank, search, spanning
 from pulsetrail.llm.queries import all_queries
 from pulsetrail.llm.simhash import band_keys, shingle_hashes
 
@@ -181,3 +181,17 @@ def test_blocks_of_a_group_are_compared_without_rows_of_pairs(spark, documents,
     links = simhash._alike_in_blocks(members.withColumn("first", members.root), runs, ["fp0"], 64, 0.8)
     # All pairs are candidates and alike; what leaves the task is a link per text.
     assert links.count() == 299
+
+
+def test_few_links_connect_the_same_roots():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 12).astype(np.uint64)
+    codes = base[rng.integers(0, 12, 900)] ^ (np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64))
+    codes = codes[np.argsort(gray_rank(codes))]
+    for labels in (1, 5, 40, 900):
+        label = rng.integers(0, labels, 900)
+        starts = np.array([0, 900])
+        a, b = (np.concatenate(c) for c in zip(*[(label[:0], label[:0]), *search(starts, codes, 4, label)]))
+        x, y = _between(label, search(starts, codes, 4, label, every=False))
+        assert (label[x] != label[y]).all() and len(x) < labels
+        assert spanning(labels, label[a], label[b]).tolist() == spanning(labels, label[x], label[y]).tolist()
