@@ -7,7 +7,7 @@
    Keys, two per anchor, are counted in buckets, each text's once per batch; a window whose key no other
    text or place has is unique.
 3. Suffixes. Windows of shared keys go, with their bytes, to the task of their key. Tasks hold one block of
-   keys at a time and sort its suffixes by ``suffix_sort``; neighbours decide. Blocks are
+   keys at a time and sort its suffixes by ``suffix_sort``, equal stretches once; neighbours decide. Blocks are
    laid out so that anchors fall on the same place of the difference cover's period, so most ties meet the
    sample at once.
 4. A key of more than ``HOT`` texts is dealt out again by the windows themselves: each is counted by a
@@ -280,7 +280,15 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sort_block(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Covered stretches of the contexts of whole keys."""
+    """Covered stretches of the contexts of whole keys. Equal ones are sorted once, as all their windows are there again."""
+    first: dict[bytes, int] = {}
+    same = np.array([first.setdefault(row[6], i) for i, row in enumerate(rows)])
+    copied = np.bincount(same, minlength=len(rows))[same] > 1
+    if copied.any():
+        t, u, start, windows = (np.array([row[c] for row in rows], np.int64)[copied] for c in (1, 2, 3, 4))
+        yield _covered(t, u, start, start + windows + (LENGTH - 1))
+    alone = ~copied[list(first.values())]
+    rows = [rows[i] for i in first.values()]
     parts, begins, at = [], [], 0
     for row in rows:
         # Anchors all fall on the same place of the period.
@@ -293,12 +301,15 @@ def _sort_block(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     of = np.repeat(np.arange(len(rows)), counts)
     inside = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
     again = repeated(data, np.array(begins)[of] + inside, LENGTH)
-    hit = np.flatnonzero(again)
+    hit = np.flatnonzero(again & alone[of])
     if not len(hit):
         return
     new = np.ones(len(hit), bool)
     new[1:] = (np.diff(hit) != 1) | (of[hit[1:]] != of[hit[:-1]])
-    first, last = hit[new], hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
-    t, u, start = (np.array([row[c] for row in rows], np.int64)[of[first]] for c in (1, 2, 3))
-    arrays = [pa.array(t), pa.array(u), pa.array(start + inside[first]), pa.array(start + inside[last] + LENGTH)]
-    yield pa.RecordBatch.from_arrays(arrays, ["t", "u", "start", "stop"])
+    begin, last = hit[new], hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
+    t, u, start = (np.array([row[c] for row in rows], np.int64)[of[begin]] for c in (1, 2, 3))
+    yield _covered(t, u, start + inside[begin], start + inside[last] + LENGTH)
+
+
+def _covered(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["t", "u", "start", "stop"])

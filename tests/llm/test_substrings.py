@@ -8,6 +8,7 @@ import pytest
 
 from pulsetrail.llm import shared_keys, substrings, suffix_sort
 from pulsetrail.llm.queries import all_queries
+from pulsetrail.llm.substrings import LENGTH
 from pulsetrail.llm.suffix_sort import COVER, MEET, PERIOD, Buffer, repeated, sort_bucket
 
 SF = "/root/testdata/sf0.01"
@@ -124,3 +125,17 @@ def test_shuffled_joins(spark, documents, monkeypatch):
 
 def test_empty_table(spark, documents):
     assert run(spark, documents([])) == []
+
+
+def test_equal_stretches_are_sorted_once(monkeypatch):
+    rng = np.random.default_rng(7)
+    plain, other = (rng.integers(97, 123, 320, np.uint8).tobytes() for _ in range(2))
+    # Two equal ones, one that shares a part with these, one that shares nothing.
+    contexts = [plain, plain, plain[:250] + other[250:], other]
+    rows = [(5, t, t, 10 * t, len(c) - LENGTH + 1, 100, c) for t, c in enumerate(contexts)]
+    sorted_bytes = []
+    plainly = substrings.repeated
+    monkeypatch.setattr(substrings, "repeated", lambda data, places, length: sorted_bytes.append(len(places)) or plainly(data, places, length))
+    found = [tuple(r.values()) for b in substrings._sort_block(rows) for r in b.to_pylist()]
+    assert sorted(found) == [(0, 0, 0, 320), (1, 1, 10, 330), (2, 2, 20, 270)]
+    assert sorted_bytes == [3 * (320 - LENGTH + 1)]
