@@ -6,10 +6,10 @@ apart by path and content. Tokens that occur equally often on each page of a hos
 vector and form an equivalence class. Vectors are compared by a fingerprint that adds up over pages, so
 no page ever meets another: one row per host and token is shuffled.
 
-A class is valid if it has a support of at least ``SUPPORT`` pages and one in ``SHARE``, and its tokens come in the same order
-on all of them; its tokens then belong to the template. Valid classes nest: a class lies in a gap of
-the class that holds its parent element. What the template leaves open are its slots, and their content
-is extracted in page order:
+A class is valid if it has a support of at least ``SUPPORT`` pages and one in ``SHARE``, its tokens come in the same order
+in each of its rounds, and on all pages all of its rounds lie in the same gap between two tokens of another
+class, or in none; a class that straddles the tokens of the one around it is not valid. The tokens of valid classes
+belong to the template. What the template leaves open are its slots, and their content is extracted in page order:
 
 * elements that a page is known by its mark-up to keep beside the article (menus, headers, footers,
   sidebars, notices, adverts, forms, scripts, styles, reader comments) are no slots;
@@ -169,10 +169,11 @@ class Page:
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """The tokens of each host's template: host, class, token, place (order on the page).
+    """The tokens of each host's template: host, class (its smallest token), parent and gap (the class it lies in and
+    after how many of its tokens, or NULL), token.
 
     ``pages`` has host, key and html. The first pass adds up occurrence vectors, the second checks that
-    the tokens of each class keep their order.
+    the tokens of each class keep their order and that classes nest.
     """
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,27 +212,66 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
             out: dict[tuple[str, int], list[int]] = {}
             for host, source, classes in zip(*[batch.column(c).to_pylist() for c in ("host", "html", "classes")]):
                 of = {t & MASK: min(tokens) for tokens in classes for t in tokens}
-                rows: dict[int, list[int]] = {}
-                for token in Page(source).tokens:
-                    if token in of:
-                        rows.setdefault(of[token], []).append(token)
-                for number, row in rows.items():
-                    # Repetitions of a class follow each other; one round stands for all.
-                    once = list(dict.fromkeys(row))
-                    order = xxhash.xxh3_64_intdigest(np.array(once, np.uint64).tobytes()) >> 1
-                    low = out.setdefault((host, number), [order, order])
-                    low[:] = min(low[0], order), max(low[1], order)
+                sizes = {min(tokens): len(tokens) for tokens in classes}
+                for number, found in nested([t for t in Page(source).tokens if t in of], of, sizes).items():
+                    order, parent, gap = found or (-1, 0, 0)
+                    row = out.setdefault((host, number), [order, order, parent, gap, True])
+                    row[:2] = min(row[0], order), max(row[1], order)
+                    row[4] &= order >= 0 and row[2:4] == [parent, gap]
             if out:
                 values = list(out.values())
-                arrays = [pa.array([h for h, _ in out], pa.string()), pa.array([n for _, n in out], pa.int64()), pa.array([v[0] for v in values], pa.int64()), pa.array([v[1] for v in values], pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, ["host", "class", "low", "high"])
+                kinds = [pa.int64()] * 4 + [pa.bool_()]
+                arrays = [pa.array([h for h, _ in out], pa.string()), pa.array([n for _, n in out], pa.int64()), *map(pa.array, zip(*values), kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, ["host", "class", "low", "high", "parent", "gap", "sure"])
 
     checked = pages.join(by_host, "host").select("host", "html", "classes")
-    checked = checked.mapInArrow(orders, "host string, class bigint, low bigint, high bigint")
-    ordered = checked.groupBy("host", "class").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low = high")
+    checked = checked.mapInArrow(orders, "host string, class bigint, low bigint, high bigint, parent bigint, gap bigint, sure boolean")
+    place = F.struct("parent", "gap")
+    checked = checked.groupBy("host", "class").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min(place).alias("place"), F.max(place).alias("other"), F.min("sure").alias("sure")
+    )
+    ordered = checked.filter("sure AND low = high AND place = other")
+    ordered = ordered.select("host", "class", *[F.when(F.col("place.gap") > 0, F.col(f"place.{c}")).alias(c) for c in ("parent", "gap")])
     named = by_host.select("host", F.explode("classes").alias("tokens"))
     named = named.select("host", F.array_min("tokens").alias("class"), F.explode("tokens").alias("token"))
-    return named.join(ordered.select("host", "class"), ["host", "class"])
+    return named.join(ordered, ["host", "class"]).select("host", "class", "parent", "gap", "token")
+
+
+def nested(tokens: Sequence[int], of: dict[int, int], sizes: dict[int, int]) -> dict[int, tuple[int, int, int] | None]:
+    """For each class on a page a number of its order, the class around it and after how many of that one's
+    tokens it comes (0, 0: around it is none); None if its rounds differ in these or it straddles another.
+
+    ``tokens`` are those of classes, ``of`` names the class of each and ``sizes`` how many it has.
+    """
+    orders: dict[int, list[int]] = {}
+    places: dict[int, tuple[int, int]] = {}
+    broken: set[int] = set()
+    open_: list[list[int]] = []  # class, tokens seen of this round
+    for token in tokens:
+        number = of[token]
+        if number in broken:
+            continue
+        depth = next((d for d in range(len(open_) - 1, -1, -1) if open_[d][0] == number), None)
+        if depth is None:
+            place = tuple(open_[-1]) if open_ else (0, 0)
+            depth = len(open_)
+            open_.append([number, 0])
+            if places.setdefault(number, place) != place:
+                broken.add(number)
+        # What is open within and not at its end straddles this token.
+        broken.update(inner for inner, _ in open_[depth + 1 :])
+        del open_[depth + 1 :]
+        order, seen = orders.setdefault(number, []), open_[depth][1]
+        if len(order) == seen < sizes[number]:
+            order.append(token)
+        if order[seen] != token:
+            broken.add(number)
+        open_[depth][1] += 1
+        if number in broken or open_[depth][1] == sizes[number]:
+            open_.pop()
+    broken.update(number for number, _ in open_)
+    number_of = lambda order: xxhash.xxh3_64_intdigest(np.array(order, np.uint64).tobytes()) >> 1
+    return {n: None if n in broken else (number_of(order), *places[n]) for n, order in orders.items()}
 
 
 def main_text(df: DataFrame, *, url: str = "url", source: str = "html", carry: Sequence[str] | None = None) -> DataFrame:

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from pulsetrail.llm.html_extract import Page, deduce_templates, main_text
+from pulsetrail.llm.html_extract import Page, deduce_templates, main_text, nested
 from pulsetrail.llm.queries import all_queries
 
 SF = "/root/testdata/sf0.01"
@@ -88,3 +88,26 @@ def test_odd_rows(spark, pages):
 
 def test_empty_table(spark, pages):
     assert run(spark, pages([])) == {}
+
+
+def test_classes_nest():
+    of = {1: 1, 2: 1, 3: 1, 10: 10, 11: 10, 20: 20, 21: 20}
+    sizes = {1: 3, 10: 2, 20: 2}
+    place = lambda tokens: {n: found and found[1:] for n, found in nested(tokens, of, sizes).items()}
+    # A class that repeats lies in one gap of the one around it, another within it.
+    assert place([1, 2, 10, 20, 21, 11, 10, 20, 21, 11, 3]) == {1: (0, 0), 10: (1, 2), 20: (10, 1)}
+    # Its rounds in two gaps; a round across a token of the class around it; a round that is not whole.
+    assert place([1, 10, 11, 2, 10, 11, 3]) == {1: (0, 0), 10: None}
+    assert place([1, 10, 2, 11, 3]) == {1: (0, 0), 10: None}
+    assert place([1, 2, 3, 10, 10, 11, 11]) == {1: (0, 0), 10: None}
+
+
+def test_only_nested_classes_are_templates(spark):
+    """Two elements on each other page: around one that all pages have, or between two of them."""
+    pages = [(host, i, f"<body>{some if i % 2 else every}") for host, some, every in (
+        ("across", "<div class=x></div><div class=m></div><div class=y></div>", "<div class=m></div>"),
+        ("within", "<div class=m></div><div class=x></div><div class=y></div><div class=n></div>", "<div class=m></div><div class=n></div>"),
+    ) for i in range(8)]
+    df = spark.createDataFrame(pages, "host string, key bigint, html string")
+    found = sorted((r.host, r.gap or 0) for r in deduce_templates(df).collect())
+    assert found == [("across", 0)] * 3 + [("within", 0)] * 4 + [("within", 3)] * 2
